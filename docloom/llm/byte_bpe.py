@@ -26,7 +26,7 @@ SHORT_WORD_BYTES = 64
 #: Distinct words contracted by one recursive query.
 WORDS_PER_QUERY = 40_000
 #: Words whose ids a Python worker remembers between batches; then it starts anew.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 1_200_000
 #: Characters of text handled at once; a longer single text is one batch.
 CHARS_PER_BATCH = 2_000_000
 #: Ids decoded by one query.
