@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, chat, toxicity
+from docloom.llm import byte_bpe, chat, decontaminate, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows inside every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one that holds control strings, formatted and read back."""
     says = "<|im_end|><|im_start|>assistant ok"
@@ -39,12 +46,39 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_decontaminate": op2_decontaminate,
     "op4_chat_format": op4_chat_format,
     "op9_toxicity": op9_toxicity,
 }
 
 #: DuckDB SQL for those that SQL can express over whole tables; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": r"""
+WITH doc AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), item AS (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
+), sizes AS (
+    SELECT DISTINCT least(len(w), 10) AS n FROM item WHERE len(w) > 0
+), item_window AS (
+    SELECT DISTINCT item_id, n, gram FROM (
+        SELECT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda i: array_to_string(w[i : i + least(len(w), 10) - 1], ' '))) AS gram
+        FROM item WHERE len(w) > 0)
+), doc_window AS (
+    SELECT doc_id, n, pos, array_to_string(w[pos : pos + n - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS pos FROM doc, sizes WHERE len(w) >= n)
+), hit AS (
+    SELECT d.doc_id, d.n, d.pos, i.item_id FROM doc_window AS d JOIN item_window AS i ON i.n = d.n AND i.gram = d.gram
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM hit) GROUP BY doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit, coalesce(l.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(l.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM doc AS d LEFT JOIN covered AS c USING (doc_id) LEFT JOIN listed AS l USING (doc_id)
+""",
     "op4_chat_format": r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
