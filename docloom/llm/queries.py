@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, chat, decontaminate, toxicity
+from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,17 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    rows = fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+    rows = rows.withColumns({"a": fingerprints.hashes("fp"), "b": fingerprints.hashes("edited_fp")})
+    return rows.select(
+        "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.written("fp").alias("fingerprint"), fingerprints.written("edited_fp").alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("a"), F.col("b")).alias("near_edited"), fingerprints.likeness(F.col("a"), F.col("next_fp")).alias("near_next"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of every document by compression distance."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op4_chat_format": op4_chat_format,
+    "op6_fingerprints": op6_fingerprints,
     "op9_toxicity": op9_toxicity,
 }
 
