@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, toxicity
+from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 5-word shingles are at least 75 percent alike."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of every document by compression distance."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_chat_format": op4_chat_format,
     "op6_fingerprints": op6_fingerprints,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
 }
 
