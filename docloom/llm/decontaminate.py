@@ -93,17 +93,17 @@ def windows_hit(docs: DataFrame, benchmark: DataFrame, bounds: Bounds = Bounds()
     items = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text_col)).alias("w")).where("size(w) > 0")
     # at most nine numbers
     short = sorted(r[0] for r in items.select(F.size("w")).where(F.size("w") < WINDOW).distinct().collect())
-    own = _fingerprints(items, ["item"], short).select("item", "w", F.explode("fps").alias("f"))
+    own = _fingerprints(items, ["item"], short).select("item", "w", F.explode_outer("fps").alias("f"))
     own = own.where(f"f.kind = {WINDOW} OR f.kind = size(w)").select(F.col("f.kind").alias("kind"), F.col("f.hash").alias("hash"), "item", _around("w", "f.pos").alias("b")).distinct()
     n, size = own.agg(F.count("*"), F.coalesce(F.sum(F.expr("aggregate(b.w, 0L, (s, x) -> s + octet_length(x) + 32)")), F.lit(0))).first()
     marked = _fingerprints(texts, ["id"], short)
     if n <= bounds.rows and size <= bounds.bytes:
-        rows = marked.select("id", "w", F.explode(F.expr("concat(array(cast(NULL AS struct<kind:int,pos:int,hash:bigint>)), fps)")).alias("f"))
+        rows = marked.select("id", "w", F.explode_outer(F.expr("concat(array(cast(NULL AS struct<kind:int,pos:int,hash:bigint>)), fps)")).alias("f"))
         rows = rows.select("id", "w", F.col("f.kind").alias("k_"), F.col("f.pos").alias("pos"), F.col("f.hash").alias("h_"))
         met = rows.join(F.broadcast(own), (F.col("k_") == F.col("kind")) & (F.col("h_") == F.col("hash")), "left").where("k_ IS NULL OR kind IS NOT NULL")
         met = met.select("id", F.when(F.col("k_").isNull(), F.size("w")).alias("n_words"), "kind", "pos", "item", F.when(F.col("kind").isNotNull(), _around("w", "pos")).alias("d"), "b")
     else:
-        found = marked.select("id", F.explode("fps").alias("f")).select("id", F.col("f.kind").alias("k_"), F.col("f.pos").alias("pos"), F.col("f.hash").alias("h_"))
+        found = marked.select("id", F.explode_outer("fps").alias("f")).where("f IS NOT NULL").select("id", F.col("f.kind").alias("k_"), F.col("f.pos").alias("pos"), F.col("f.hash").alias("h_"))
         found = found.join(own, (F.col("k_") == F.col("kind")) & (F.col("h_") == F.col("hash"))).select("id", "kind", "pos", "item", "b")
         again = texts.withColumnRenamed("id", "id_")
         met = found.join(again, F.col("id").eqNullSafe(F.col("id_"))).select("id", F.lit(None).cast("int").alias("n_words"), "kind", "pos", "item", _around("w", "pos").alias("d"), "b")
