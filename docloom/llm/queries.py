@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, toxicity
+from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one but for one word."""
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.col("n_removed").cast("bigint").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: DuckDB SQL for those that SQL can express over whole tables; the others are tested against brute force.
