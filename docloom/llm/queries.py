@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, toxicity
+from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,13 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of every document and whether it is drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = quality.resample(docs, quality.learn(docs, table(spark, sf_dir, "labels")), keep=("doc_id",))
+    return rows.select("doc_id", "log_weight", "selected")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 5-word shingles are at least 75 percent alike."""
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
@@ -71,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_chat_format": op4_chat_format,
     "op6_fingerprints": op6_fingerprints,
+    "op7_quality": op7_quality,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
