@@ -44,12 +44,12 @@ def with_fingerprint(df: DataFrame, text_col: str, out: str) -> DataFrame:
         ELSE transform(sequence(0, greatest(size(__h) - {K}, 0)), i -> shiftleft(xxhash64({grams}), {_POSITION_BITS}) | ({_LOW}L - i)) END""").cast("array<bigint>"))
     rows = rows.withColumn("__m", F.expr(f"""array_distinct(CASE WHEN size(__v) = 0 THEN array() WHEN size(__v) <= {W} THEN array(array_min(__v))
         ELSE transform(sequence(0, greatest(size(__v) - {W}, 0)), i -> {least}) END)""").cast("array<bigint>"))
-    kept = F.expr(f"transform(__m, x -> struct(cast({_LOW}L - (x & {_LOW}L) AS int) AS pos, cast(shiftright(x, {_POSITION_BITS}) & 4294967295L AS bigint) AS hash))")
+    kept = F.expr(f"transform(__m, x -> struct(cast({_LOW}L - (x & {_LOW}L) AS int) AS pos, cast((shiftright(x, {_POSITION_BITS}) & 4294967295L) - 2147483648L AS int) AS hash))")
     return rows.select(*keep, kept.alias(out))
 
 
 def written(fingerprint: str) -> Column:
-    return F.array_join(F.transform(F.col(fingerprint), lambda x: F.lpad(F.lower(F.hex(x["hash"])), 8, "0")), "")
+    return F.array_join(F.transform(F.col(fingerprint), lambda x: F.lpad(F.lower(F.hex(x["hash"].cast("bigint") + 2147483648)), 8, "0")), "")
 
 
 def hashes(fingerprint: str) -> Column:
@@ -79,12 +79,15 @@ def next_ids(ids: DataFrame) -> DataFrame:
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id_col, n_chars, text, edited (its last quarter replaced), fp, edited_fp, next_fp (hashes)."""
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = texts.where("id IS NOT NULL").groupBy("id").agg(F.max(F.char_length("text")).alias("n"))
-    following = texts.join(next_ids(ids), "id").select("prev", F.expr("substring(text, 1, cast(prev_n div 4 AS int))").alias("head"), "text")
+    # both joins read the same exchange of the texts by id
+    known = texts.where("id IS NOT NULL")
+    ids = known.groupBy("id").agg(F.max(F.char_length("text")).alias("n"))
+    following = known.join(next_ids(ids), "id").select("prev", F.expr("substring(text, 1, cast(prev_n div 4 AS int))").alias("head"), "text")
     following = with_fingerprint(following, "text", "f").select("prev", "head", hashes("f").alias("next_fp"))
     following = following.groupBy("prev").agg(F.min(F.struct("head", "next_fp")).alias("next"))
-    rows = texts.join(following, F.col("id") == F.col("prev"), "left").withColumn("n_chars", F.char_length("text"))
+    rows = known.join(following, F.col("id") == F.col("prev"), "left").drop("prev")
+    rows = rows.unionAll(texts.where("id IS NULL").withColumn("next", F.lit(None).cast(rows.schema["next"].dataType))).withColumn("n_chars", F.char_length("text"))
     tail = F.expr("cast(n_chars div 4 AS int)")
-    rows = rows.select("id", "n_chars", "text", F.coalesce("next.next_fp", F.array().cast("array<bigint>")).alias("next_fp"), F.concat(F.expr("substring(text, 1, n_chars - cast(n_chars div 4 AS int))"), F.substring(F.coalesce("next.head", F.lit("")), F.lit(1), tail)).alias("edited"))
+    rows = rows.select("id", "n_chars", "text", F.coalesce("next.next_fp", F.array().cast("array<int>")).alias("next_fp"), F.concat(F.expr("substring(text, 1, n_chars - cast(n_chars div 4 AS int))"), F.substring(F.coalesce("next.head", F.lit("")), F.lit(1), tail)).alias("edited"))
     rows = with_fingerprint(with_fingerprint(rows, "text", "fp"), "edited", "edited_fp")
     return rows.withColumnRenamed("id", id_col)
