@@ -219,13 +219,10 @@ def in_batches(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.
             yield batch.slice(start)
 
 
-def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
-    """Per row: ``id_col``, ``ids`` array<int>, ``ids_text`` (decimal, space-joined) hash, and the decoded bytes' hash.
-
-    Columns: id_col, the columns of ``keep``, n_tokens, ids_sha256, decoded_sha256.
-    """
+def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), with_ids: bool = False) -> DataFrame:
+    """Per row: id_col, the columns of keep, n_tokens, ids_sha256 (of the decimal ids joined by a space), decoded_sha256 (of the bytes the ids decode to), and with_ids the ids."""
     rows = docs.select(id_col, *keep, docs[text_col].alias("__text"))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes if c != "__text"), "n_tokens bigint, ids_sha256 string, decoded_sha256 string"])
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes if c != "__text"), "n_tokens bigint, ids_sha256 string, decoded_sha256 string", *(["ids array<int>"] if with_ids else [])])
 
     def run(batches):
         coder = tokenizer(path, pattern)
@@ -243,6 +240,9 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
                 decoded.append(digest.hexdigest())
             kept = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "__text"]
             names = [n for n in batch.schema.names if n != "__text"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array([len(x) for x in ids], pa.int64()), pa.array(shas, pa.string()), pa.array(decoded, pa.string())], [*names, "n_tokens", "ids_sha256", "decoded_sha256"])
+            made = [pa.array([len(x) for x in ids], pa.int64()), pa.array(shas, pa.string()), pa.array(decoded, pa.string())]
+            if with_ids:
+                made.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))))
+            yield pa.RecordBatch.from_arrays([*kept, *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(kept) + len(made)])
 
     return rows.mapInArrow(run, schema)
