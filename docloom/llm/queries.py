@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, quality, toxicity
+from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, quality, token_store, toxicity
+from docloom.llm.shared import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +38,13 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows))
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document in a content-addressed store, and what is read back from it."""
+    folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    token_store.write_store(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return token_store.read_store(spark, folder)
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     rows = fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
@@ -77,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op4_chat_format": op4_chat_format,
+    "op5_token_store": op5_token_store,
     "op6_fingerprints": op6_fingerprints,
     "op7_quality": op7_quality,
     "op8_jaccard_join": op8_jaccard_join,
