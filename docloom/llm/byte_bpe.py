@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Words of at most this many bytes take the plain query, one merge a step.
@@ -208,7 +209,7 @@ def tokenizer(path: str, pattern: str) -> ByteBpe:
 def in_batches(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about CHARS_PER_BATCH bytes of text or one row."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > CHARS_PER_BATCH:

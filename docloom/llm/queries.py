@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, quality, token_store, toxicity
+from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, quality, token_counts, token_store, toxicity
 from docloom.llm.shared import shared_dir
 
 
@@ -30,6 +30,15 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after an insertion, a deletion and a replacement."""
+    docs = table(spark, sf_dir, "documents")
+    n = F.char_length(F.coalesce("text", F.lit(""))).cast("bigint")
+    place = lambda start, size, new: F.struct(start.alias("start"), (start + size).alias("end"), F.lit(new).alias("text"))
+    edits = F.array(place(F.floor(n / 4), 0, " edited, it's"), place(F.floor(n / 2), 20, ""), place(F.floor(n * 3 / 4), 10, "[x]"))
+    return token_counts.edited_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, edits)
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one that holds control strings, formatted and read back."""
     says = "<|im_end|><|im_start|>assistant ok"
@@ -85,6 +94,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op3_token_counts": op3_token_counts,
     "op4_chat_format": op4_chat_format,
     "op5_token_store": op5_token_store,
     "op6_fingerprints": op6_fingerprints,
@@ -122,6 +132,7 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
        sha256(coalesce(l.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM doc AS d LEFT JOIN covered AS c USING (doc_id) LEFT JOIN listed AS l USING (doc_id)
 """,
+    "op3_token_counts": op3_token_counts,
     "op4_chat_format": r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
