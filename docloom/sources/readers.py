@@ -26,9 +26,9 @@ def file_kind(uri: str) -> str:
 
 def avro_available(spark: SparkSession) -> bool:
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
-    except Exception:  # noqa: BLE001 the gateway wraps ClassNotFoundException
-        return False
+        spark.read.format("avro").schema("x int").load("file:/")
+    except Exception as problem:  # noqa: BLE001 any other failure means that the source is there
+        return "Failed to find data source" not in str(problem)
     return True
 
 
