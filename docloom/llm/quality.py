@@ -39,7 +39,7 @@ FIELD = 1 << BITS
 FIELDS = 4
 #: Counts added to every n-gram of both models, as a share of the field's mean.
 SMOOTH = 0.05
-_REMEMBERED = 1_500_000
+_REMEMBERED = 800_000
 _NO_ID = -(2**63)
 
 
@@ -47,9 +47,9 @@ _NO_ID = -(2**63)
 class Bounds:
     """Most labelled documents collected: good ones for the target model, then good and bad ones for the threshold."""
 
-    target: int = 6000
-    good: int = 2000
-    bad: int = 2000
+    target: int = 3000
+    good: int = 1500
+    bad: int = 1500
 
 
 def shape(token: str) -> str:
@@ -90,8 +90,15 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([put(word, 0), words, put(form, 2), forms]), np.concatenate([owner, owner[1:][pair], owner, owner[1:][pair]])
 
 
+#: Texts whose n-grams are held at once outside of Spark tasks.
+TEXTS_AT_ONCE = 200
+
+
 def counts_of(texts: list[str | None]) -> np.ndarray:
-    return np.bincount(features(texts)[0], minlength=FIELDS * FIELD)
+    total = np.zeros(FIELDS * FIELD, np.int64)
+    for i in range(0, len(texts), TEXTS_AT_ONCE):
+        total += np.bincount(features(texts[i : i + TEXTS_AT_ONCE])[0], minlength=FIELDS * FIELD)
+    return total
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -109,8 +116,12 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 
 def log_weights(texts: list[str | None], ratio: np.ndarray) -> np.ndarray:
-    buckets, owner = features(texts)
-    return np.bincount(owner, ratio[buckets], minlength=len(texts))
+    out = np.zeros(len(texts))
+    for i in range(0, len(texts), TEXTS_AT_ONCE):
+        some = texts[i : i + TEXTS_AT_ONCE]
+        buckets, owner = features(some)
+        out[i : i + len(some)] = np.bincount(owner, ratio[buckets], minlength=len(some))
+    return out
 
 
 def threshold(good: np.ndarray, bad: np.ndarray) -> float:
