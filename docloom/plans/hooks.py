@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -22,6 +23,18 @@ class Hooks:
         self.found[name].append(function)
         return function
 
+    def load(self, path: str) -> list[str]:
+        """Register all functions of a Python file that bear a hook's name."""
+        spec = importlib.util.spec_from_file_location(f"docloom_plugin_{abs(hash(path))}", path)
+        if spec is None or spec.loader is None:
+            raise ValueError(f"not a Python file: {path}")
+        module = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(module)
+        named = [n for n in NAMES if callable(getattr(module, n, None))]
+        for name in named:
+            self.register(name, getattr(module, name))
+        return named
+
     def apply(self, name: str, value: Any, *args: Any, **kwargs: Any) -> Any:
         """The first registered function's result; the value itself without one or if it returns None."""
         for function in self.found.get(name, ())[:1]:

@@ -82,3 +82,11 @@ def latest(spark: SparkSession, pattern: str, by: str = "name", oldest: bool = F
     if not found:
         raise SourceNotFound(f"nothing matches {pattern}")
     return (min if oldest else max)(found, key=key).getPath().toString()
+
+
+def latest_table(spark: SparkSession, pattern: str, by: str = "name") -> DataFrame | None:
+    """The newest earlier output, None if there is none yet."""
+    try:
+        return read_table(spark, latest(spark, pattern, by))
+    except SourceNotFound:
+        return None

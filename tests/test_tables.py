@@ -207,3 +207,21 @@ def test_flags():
     assert shout("a") == "a"
     flags.translate = True
     assert shout("a") == "A"
+
+
+def test_codes(spark, tmp_path):
+    from docloom.enums import is_url, language_name, member_name
+    from docloom.plans.hooks import Hooks
+    from docloom.sources.readers import latest_table
+
+    df = spark.createDataFrame([("DE", "https://a.b/c?d"), ("french", "gs://bucket/x"), ("zz", "http://"), (None, None), ("en", "file:///x")], "lang string, url string")
+    assert [r[0] for r in df.select(language_name(df.lang)).collect()] == ["German", "French", None, None, "English"]
+    assert [r[0] for r in df.select(is_url(df.url)).collect()] == [True, True, False, False, True]
+    assert [r[0] for r in df.select(is_url(df.url, "http")).collect()] == [True, False, False, False, False]
+    assert member_name("Bolivia (Plurinational State of)") == "Bolivia"
+    (tmp_path / "plug.py").write_text("def pre_chunk(df):\n    return df.limit(1)\n")
+    hooks = Hooks()
+    assert hooks.load(str(tmp_path / "plug.py")) == ["pre_chunk"] and hooks.apply("pre_chunk", df).count() == 1
+    assert latest_table(spark, str(tmp_path / "none*.parquet")) is None
+    df.write.parquet(str(tmp_path / "t_1.parquet"))
+    assert latest_table(spark, str(tmp_path / "t_*.parquet")).count() == 5
