@@ -73,7 +73,8 @@ def variants(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     stay = np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ at[1:]))])
     full = np.array([stay[-1]], np.uint64)
     if n < NEAR_WORDS:
-        return mix(full ^ np.uint64(n)), np.array([_FULL])
+        # another hash, which no variant of a longer line has
+        return mix(mix(full) ^ np.uint64(n)), np.array([_FULL])
     moved = np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ at[:-1]))])
     # the first word has no place to move to: what stands before it is taken off again
     without = stay[:-1] + (moved[-1] - moved[1:])
@@ -128,8 +129,6 @@ def _emit_variants(bitmap, bits: int, buckets: int):
         marks = bitmap.value
         shift = 64 - bits
         for block in _blocks(batches):
-            if len(_WORDS) > 1_500_000:
-                _WORDS.clear()
             lines: dict[bytes, list[tuple]] = {}
             for i, th, text in zip(block.column("id").to_pylist(), block.column("th").to_pylist(), block.column("text").to_pylist()):
                 for no, words in enumerate(line_words(text)):
@@ -158,6 +157,7 @@ def _emit_variants(bitmap, bits: int, buckets: int):
             for part in np.split(order, cuts):
                 own, runs = np.unique(owner[part], return_counts=True)
                 yield pa.RecordBatch.from_pylist([{"bucket": int(bucket[part[0]]), "ids": ids[own].tobytes(), "ths": ths[own].tobytes(), "lines": nos[own].tobytes(), "runs": runs.astype(np.uint32).tobytes(), "sigs": _five(sigs[part] & np.uint64(2**40 - 1)), "places": places[part].astype(np.uint32).tobytes()}], _SCHEMA)
+            _WORDS.clear()
 
     return run
 
