@@ -1,38 +1,5 @@
-"""Connected components of an edge table by alternating large-star and small-star steps."""
+"""Connected components for joins on pairs: the engine's own."""
 
-from __future__ import annotations
+from docloom.operators.graph import connected_components
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from docloom.llm.shared import cut
-
-MOST_ROUNDS = 60
-
-
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum((F.xxhash64("u", "v") % 1_000_003).cast("bigint"))).first())
-
-
-def connected_components(edges: DataFrame) -> DataFrame:
-    """From edges (u, v): rows (node, component), component being the smallest node it reaches; one row a node.
-
-    Edges of null or equal ends are left out. Each step is two shuffles of the edges by an end; minima are taken
-    by partial aggregation, so no node's neighbours are ever gathered.
-    """
-    edges = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct())
-    before = _state(edges)
-    for _ in range(MOST_ROUNDS):
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        met = large.join(least, "u")
-        small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = cut(small)
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
-    nodes = edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    return nodes.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct().join(nodes.select("node"), "node", "left_anti"))
+__all__ = ["connected_components"]
