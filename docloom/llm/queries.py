@@ -133,6 +133,26 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
 FROM doc AS d LEFT JOIN covered AS c USING (doc_id) LEFT JOIN listed AS l USING (doc_id)
 """,
     "op3_token_counts": op3_token_counts,
+    "op8_jaccard_join": r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, gram FROM (
+        SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS gram FROM doc WHERE len(w) > 0)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle AS a JOIN shingle AS b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS (
+    SELECT a, b FROM common JOIN size AS x ON x.doc_id = a JOIN size AS y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reached(node, seen) AS (
+    SELECT a, a FROM link UNION SELECT r.node, l.b FROM reached AS r JOIN link AS l ON l.a = r.seen
+), least AS (
+    SELECT node, min(seen) AS component_id FROM reached GROUP BY node
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
+FROM doc AS d LEFT JOIN size AS s USING (doc_id) LEFT JOIN least AS l ON l.node = d.doc_id
+""",
     "op4_chat_format": r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
