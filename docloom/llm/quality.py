@@ -39,7 +39,7 @@ FIELD = 1 << BITS
 FIELDS = 4
 #: Counts added to every n-gram of both models, as a share of the field's mean.
 SMOOTH = 0.05
-_REMEMBERED = 800_000
+_REMEMBERED = 400_000
 _NO_ID = -(2**63)
 
 
@@ -142,6 +142,7 @@ def raw_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         total = np.zeros(FIELDS * FIELD, np.int64)
         for block in _blocks(batches):
             total += counts_of(block.column(0).to_pylist())
+        _TOKENS.clear()
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
 
@@ -182,6 +183,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             weights = log_weights(block.column("__text").to_pylist(), shared.value)
             out = block.drop_columns(["__text"]).combine_chunks().append_column("log_weight", pa.array(weights, pa.float64()))
             yield from out.to_batches()
+        _TOKENS.clear()
 
     return rows.mapInArrow(run, schema)
 
@@ -217,18 +219,30 @@ def kth_largest(df: DataFrame, column: str, k: int, bins: int = 4096) -> float |
     return low
 
 
+def resampling(docs: DataFrame, model: Model, seed: int, **columns) -> DataFrame:
+    """The scored rows with their draw, written once."""
+    return cut(score(docs, model, **columns).withColumn("drawn", F.col("log_weight") + gumbel(seed)))
+
+
+def _least_drawn(scored: DataFrame, model: Model) -> float | None:
+    """The smallest draw that is kept."""
+    k = scored.where(F.col("log_weight") >= model.threshold).count() if math.isfinite(model.threshold) else scored.count()
+    return kth_largest(scored, "drawn", k)
+
+
 def resample(docs: DataFrame, model: Model, seed: int = 1, **columns) -> DataFrame:
     """Per row of docs: id, th, log_weight, selected (drawn by Gumbel top-k)."""
-    scored = score(docs, model, **columns).withColumn("drawn", F.col("log_weight") + gumbel(seed))
-    scored = cut(scored)
-    k = scored.where(F.col("log_weight") >= model.threshold).count() if math.isfinite(model.threshold) else scored.count()
-    least = kth_largest(scored, "drawn", k)
+    scored = resampling(docs, model, seed, **columns)
+    least = _least_drawn(scored, model)
     return scored.withColumn("selected", F.lit(False) if least is None else F.col("drawn") >= F.lit(least))
 
 
-def keep_selected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are drawn."""
-    rows = resample(docs, learn(docs, labels, id_col=id_col, text_col=text_col), id_col=id_col, text_col=text_col)
-    gone = rows.where(~F.col("selected")).select(F.col("id").alias("__id"), F.col("th").alias("__th")).distinct()
-    same = (F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)) == F.col("__id")) & (F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)) == F.col("__th"))
-    return docs.join(gone, same, "left_anti")
+def keep_selected(docs: DataFrame, labels: DataFrame, seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are drawn. They are weighed once for the k-th draw and once more to be kept, so no text is shuffled."""
+    model = learn(docs, labels, id_col=id_col, text_col=text_col)
+    least = _least_drawn(resampling(docs, model, seed, id_col=id_col, text_col=text_col), model)
+    if least is None:
+        return docs.limit(0)
+    whole = docs.select(F.col(id_col), F.col(text_col), F.struct(*docs.columns).alias("__row"))
+    drawn = score(whole, model, id_col, text_col, keep=("__row",)).withColumn("drawn", F.col("log_weight") + gumbel(seed))
+    return drawn.where(F.col("drawn") >= F.lit(least)).select("__row.*")
