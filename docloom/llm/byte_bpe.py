@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 #: Words of at most this many bytes take the plain query, one merge a step.
 SHORT_WORD_BYTES = 64
 #: Distinct words contracted by one recursive query.
-WORDS_PER_QUERY = 40_000
-#: Words whose ids a Python worker remembers between batches; then it starts anew.
-REMEMBERED_WORDS = 1_200_000
+WORDS_PER_QUERY = 20_000
+#: Words whose ids a Python worker remembers between batches, unless told otherwise; then it starts anew.
+REMEMBERED_WORDS = 700_000
 #: Characters of text handled at once; a longer single text is one batch.
 CHARS_PER_BATCH = 2_000_000
 #: Ids decoded by one query.
-IDS_PER_QUERY = 500_000
+IDS_PER_QUERY = 300_000
 
 #: One merge of each live word a step; a word without a pair to merge is put out once, done, and leaves.
 _CONTRACT_SHORT = """
@@ -107,7 +107,9 @@ class ByteBpe:
         import regex
 
         self.split = regex.compile(pattern).findall
-        self.remembered: dict[str, tuple[bytes, str]] = {}
+        self.most = REMEMBERED_WORDS
+        self.remembered: dict[str, bytes] = {}
+        self.written = [str(i) for i in range(max(ranks.values(), default=0) + 1)]
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         left, right, merged = [], [], []
         for token, rank in ranks.items():
@@ -119,7 +121,7 @@ class ByteBpe:
         safe = np.ones(max(ranks.values(), default=0) + 1, bool)
         for part in (left, right):
             safe[part[merged < part]] = False
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
         self.con.execute("SET preserve_insertion_order = false")
         merges = pa.table({"l": left, "r": right, "id": merged, "safe": safe[merged]})
         vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "piece": pa.array((t.hex() for t in ranks), pa.string())})
@@ -143,7 +145,7 @@ class ByteBpe:
         return np.split(np.asarray(done["tok"], np.int32), cuts)
 
     def learn(self, new: list[str]) -> None:
-        """Contract words and remember their ids (little-endian int32) and the ids as text."""
+        """Contract words and remember their ids (little-endian int32)."""
         coded = [(w, w.encode("utf-8", "surrogatepass")) for w in new]
         for query, part, size in (
             (_CONTRACT_SHORT, [x for x in coded if len(x[1]) <= SHORT_WORD_BYTES], WORDS_PER_QUERY),
@@ -152,18 +154,18 @@ class ByteBpe:
             for i in range(0, len(part), size):
                 some = part[i : i + size]
                 for (word, _), ids in zip(some, self._contract([b for _, b in some], query), strict=True):
-                    self.remembered[word] = (ids.tobytes(), " ".join(map(str, ids.tolist())))
+                    self.remembered[word] = ids.tobytes()
 
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
         """Ids of each text, and the same as decimal numbers joined by one space."""
-        if len(self.remembered) > REMEMBERED_WORDS:
+        if len(self.remembered) > self.most:
             self.remembered.clear()
         split = [self.split(t) for t in texts]
         known = self.remembered
         self.learn(list(set().union(*split).difference(known)))
         for words in split:
-            ids, written = zip(*map(known.__getitem__, words), strict=True) if words else ((), ())
-            yield np.frombuffer(b"".join(ids), np.int32), " ".join(written)
+            ids = np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
+            yield ids, " ".join(map(self.written.__getitem__, ids.tolist()))
 
     def decode_batch(self, many: list[np.ndarray]) -> Iterator[list[bytes]]:
         """The bytes of each id sequence, as a list of pieces in order."""
@@ -220,13 +222,14 @@ def in_batches(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.
             yield batch.slice(start)
 
 
-def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), with_ids: bool = False) -> DataFrame:
-    """Per row: id_col, the columns of keep, n_tokens, ids_sha256 (of the decimal ids joined by a space), decoded_sha256 (of the bytes the ids decode to), and with_ids the ids."""
+def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), with_ids: bool = False, remember: int = REMEMBERED_WORDS) -> DataFrame:
+    """Per row: id_col, the columns of keep, n_tokens, ids_sha256 (of the decimal ids joined by a space), decoded_sha256 (of the bytes the ids decode to), and with_ids the ids. ``remember``: words that a worker keeps, about 200 bytes each."""
     rows = docs.select(id_col, *keep, docs[text_col].alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes if c != "__text"), "n_tokens bigint, ids_sha256 string, decoded_sha256 string", *(["ids array<int>"] if with_ids else [])])
 
     def run(batches):
         coder = tokenizer(path, pattern)
+        coder.most = remember
         for batch in in_batches(batches, "__text"):
             texts = [t or "" for t in batch.column("__text").to_pylist()]
             ids, shas = [], []

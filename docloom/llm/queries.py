@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document and back again."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, remember=1_300_000)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
