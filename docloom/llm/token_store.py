@@ -37,7 +37,7 @@ from docloom.llm.shared import cut
 
 WINDOW, AVERAGE, MOST = 8, 256, 4096
 END_ID = 1
-_REMEMBERED = 800_000
+_REMEMBERED = 1_200_000
 _OPEN: dict = {}
 
 
@@ -51,24 +51,32 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+
+    def learn(self, words: list[bytes]) -> None:
+        """Words in one text, apart by blanks; their tokens are told apart by where they stand in it."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(found.ids, self.kind)
+        at = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
+        bounds = np.searchsorted(at, np.concatenate([[0], np.cumsum(lengths)])).tolist()
+        data, w = ids.tobytes(), self.width
+        for word, a, b in zip(words, bounds[:-1], bounds[1:], strict=True):
+            self.known[word] = data[a * w : b * w]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > _REMEMBERED:
             self.known.clear()
-        split = [(t or "").translate(_BLANKS).split(" ") for t in texts]
+        # bytes split at ASCII white space only, which is white space by any definition; other stays inside the words.
+        # The tokenizer lowers all letters, so lowering those of ASCII first only makes fewer words
+        split = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
         new = list(set().union(*split).difference(self.known))
-        for i in range(0, len(new), 50_000):
-            some = new[i : i + 50_000]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, self.kind).tobytes()
+        for i in range(0, len(new), 20_000):
+            self.learn(new[i : i + 20_000])
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
-#: Only white space that is so by any definition separates words here; what other there is stays inside them.
-_BLANKS = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
-
-
 def encoder(path: str) -> WordEncoder:
     if path not in _OPEN:
         import os
