@@ -36,7 +36,7 @@ from docloom.llm.shared import cut
 EXACT_WORDS, NEAR_WORDS = 4, 10
 #: Bits of the bitmap: 32 for each line, but at most this many (64 MB).
 MOST_BITS_LOG2 = 29
-VARIANTS_PER_BUCKET = 3_000_000
+VARIANTS_PER_BUCKET = 600_000
 _FULL = np.uint32(0xFFFFFFFF)
 _NO_ID = -(2**63)
 _WORDS = _Hashes()
