@@ -35,7 +35,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their byte-level BPE ids, and the hash of what the ids decode to."""
-    return byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=[c for c in docs.columns if c not in ("doc_id", "text")], with_ids=True)
+    return byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=[c for c in docs.columns if c not in ("doc_id", "text")], with_ids=True, remember=400_000, close=True)
 
 
 STAGES = [

@@ -22,6 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from docloom.llm.shared import give_back_memory
+
 #: Words of at most this many bytes take the plain query, one merge a step.
 SHORT_WORD_BYTES = 64
 #: Distinct words contracted by one recursive query.
@@ -201,6 +203,13 @@ class ByteBpe:
 _OPEN: dict[tuple[str, str], ByteBpe] = {}
 
 
+def close_all() -> None:
+    for coder in _OPEN.values():
+        coder.con.close()
+    _OPEN.clear()
+    give_back_memory()
+
+
 def tokenizer(path: str, pattern: str) -> ByteBpe:
     """One tokenizer for each rank file and Python worker."""
     if (path, pattern) not in _OPEN:
@@ -222,8 +231,8 @@ def in_batches(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.
             yield batch.slice(start)
 
 
-def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), with_ids: bool = False, remember: int = REMEMBERED_WORDS) -> DataFrame:
-    """Per row: id_col, the columns of keep, n_tokens, ids_sha256 (of the decimal ids joined by a space), decoded_sha256 (of the bytes the ids decode to), and with_ids the ids. ``remember``: words that a worker keeps, about 200 bytes each."""
+def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), with_ids: bool = False, remember: int = REMEMBERED_WORDS, close: bool = False) -> DataFrame:
+    """Per row: id_col, the columns of keep, n_tokens, ids_sha256 (of the decimal ids joined by a space), decoded_sha256 (of the bytes the ids decode to), and with_ids the ids. ``remember``: words that a worker keeps, about 200 bytes each; ``close``: only until its task ends."""
     rows = docs.select(id_col, *keep, docs[text_col].alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes if c != "__text"), "n_tokens bigint, ids_sha256 string, decoded_sha256 string", *(["ids array<int>"] if with_ids else [])])
 
@@ -248,5 +257,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
             if with_ids:
                 made.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))))
             yield pa.RecordBatch.from_arrays([*kept, *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(kept) + len(made)])
+        if close:
+            close_all()
 
     return rows.mapInArrow(run, schema)

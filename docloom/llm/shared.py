@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,3 +24,11 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder, so that a lost executor costs no recomputation of what led to them."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def give_back_memory() -> None:
+    """Return what a Python worker has freed to the system, so that the tasks it is used for next start small."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
