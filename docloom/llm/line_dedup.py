@@ -2,9 +2,10 @@ r"""Line deduplication by a deletion-neighbourhood join.
 
 A line's words are its runs without ASCII white space, lower-cased in A-Z. Lines
 of ``EXACT_WORDS`` words and more are duplicates when all words agree; lines of
-``NEAR_WORDS`` and more also when one word is replaced, inserted or deleted. A
-line goes when a line earlier in (id, text hash, line number) is its duplicate,
-so the earliest of any group of duplicates stays.
+``NEAR_WORDS`` and more also when one word is replaced, inserted or deleted (in
+shorter ones a word is a third of the line or more). A line goes when a line
+earlier in (id, text hash, line number) is its duplicate, so the earliest of any
+group of duplicates stays. Lines without a word stay.
 
 Every line emits the hash of its words (its full variant) and, from NEAR_WORDS
 on, of its words without the p-th, for every p. Equal variants meet; they prove
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from docloom.llm.jaccard_join import _Hashes, _blocks, _five, _from_five, mix
 from docloom.llm.shared import cut
 
-EXACT_WORDS, NEAR_WORDS = 4, 10
+EXACT_WORDS, NEAR_WORDS = 1, 4
 #: Bits of the bitmap: 32 for each line, but at most this many (64 MB).
 MOST_BITS_LOG2 = 29
 VARIANTS_PER_BUCKET = 600_000
@@ -51,7 +52,7 @@ def _floor_power(n: int) -> int:
 
 
 def end_keys(words: list[bytes]) -> list[int]:
-    """Hashes of the beginnings and ends that a duplicate of the line must share one of; none for short lines."""
+    """Hashes of the beginnings and ends that a duplicate of the line must share one of; none for lines without a word."""
     import xxhash
 
     h, n = xxhash.xxh3_64_intdigest, len(words)
@@ -60,7 +61,8 @@ def end_keys(words: list[bytes]) -> list[int]:
     if n < NEAR_WORDS:
         return [h(b" ".join(words), 1)]
     keys = []
-    for size in {_floor_power(n // 2), _floor_power((n - 1) // 2)}:
+    # the second one is for lines of a word less
+    for size in {_floor_power(n // 2), _floor_power(max(n - 1, NEAR_WORDS) // 2)}:
         keys += [h(b" ".join(words[:size]), 2), h(b" ".join(words[-size:]), 3)]
     return keys
 

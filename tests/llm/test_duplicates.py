@@ -191,5 +191,49 @@ def test_edited_lines(spark):
     assert sorted(((str(r.doc_id), r.n_lines, r.n_removed, r.text) for r in out.collect()), key=str) == brute_lines(rows)
 
 
+def plain_lines(rows):
+    """What dedup_lines keeps, by comparing every line with every earlier one; rows have distinct ids. Nothing is read from the operator."""
+    seen, out = [], []
+    for i, t in sorted(rows):
+        stay = []
+        for line in t.split("\n"):
+            words = line.translate(LOWER).encode().split()
+            near = lambda s: len(words) > 3 and len(s) > 3 and brute_distance(words, s) < 2  # noqa: E731, B023
+            if not words or not any(words == s or near(s) for s in seen):
+                stay.append(line)
+            seen.append(words)
+        out.append((i, len(t.split("\n")), len(t.split("\n")) - len(stay), "\n".join(stay)))
+    return out
+
+
+def brute_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        row, old = [i + 1], row
+        for j, y in enumerate(b):
+            row.append(min(row[j] + 1, old[j + 1] + 1, old[j] + (x != y)))
+    return row[-1]
+
+
+def test_lines_of_any_length(spark):
+    random.seed(10)
+    say = lambda n: [random.choice("abcdefghij") for _ in range(n)]
+    rows = [(1, "les.\nand ornd.\nonly here\n\na b c d\none two three four five six"), (2, "Les.\nAND  ornd.\n \na b c\na b c x\none two three 4 five six"), (3, "les.\na b x\nb c d\none two three five six\nnone two three four five six")]
+    bases = [say(n) for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)]
+    for i in range(4, 60):
+        lines = []
+        for _ in range(3):
+            line = list(random.choice(bases))
+            for _ in range(random.choice([0, 1, 2])):
+                p = random.randrange(len(line) + 1)
+                line[p : p + random.choice([0, 1])] = random.choice([[], say(1)])
+                line = line or ["z"]
+            lines.append(" ".join(line))
+        rows.append((i, "\n".join(lines)))
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in out.collect()) == plain_lines(rows)
+    assert [n for _, _, n, _ in plain_lines(rows)[:3]] == [0, 4, 3]
+
+
 def test_sha_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
