@@ -7,17 +7,20 @@ shorter ones a word is a third of the line or more). A line goes when a line
 earlier in (id, text hash, line number) is its duplicate, so the earliest of any
 group of duplicates stays. Lines without a word stay.
 
-Every line emits the hash of its words (its full variant) and, from NEAR_WORDS
-on, of its words without the p-th, for every p. Equal variants meet; they prove
-an edit of at most one word when both lack the word at the same p, or when one of
-them is full, and only then do they count.
-
-Most lines have no duplicate and need not emit: one edit leaves the first or the
-last half of a line as it is, so a first pass over (lengths rounded to a power of
-two) beginnings and ends marks those that occur twice in a bitmap of bounded
-size, and only lines with a marked beginning or end emit variants. A crowded
-bitmap lets more lines through and loses none. Within a block of texts equal
-lines emit once.
+Most lines have no duplicate: one edit leaves the first or the last half of a
+line as it is, so a first pass over (lengths rounded to a power of two)
+beginnings and ends marks those that occur twice in a bitmap of bounded size, and
+only lines with a marked beginning or end go on. A crowded bitmap lets more lines
+through and loses none.
+
+Lines of the same words meet first, with their words: the earliest of them stands
+for all, the others go. Each that is left emits the hash of its words (its full
+variant) and of its words without the p-th, for every p. Lines with an equal
+variant are candidates when both lack the word at the same p, or when one of them
+is full; each is joined with the words of one earlier candidate and goes when one
+edit at most tells them apart. Where the words are further apart two hashes were
+equal by chance, and the lines of such pairs are looked at with other hashes until
+none is left, so no hash decides.
 
 Defined cases: a null text stays null and has no lines; rows of the same id and
 text are not earlier than each other and lose the same lines; rows without an id
@@ -31,13 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.jaccard_join import _Hashes, _blocks, _five, _from_five, mix
-from docloom.llm.shared import cut
+from docloom.llm.jaccard_join import _Hashes, _blocks, mix
+from docloom.llm.shared import cut, give_back_memory
 
 EXACT_WORDS, NEAR_WORDS = 1, 4
 #: Bits of the bitmap: 32 for each line, but at most this many (64 MB).
 MOST_BITS_LOG2 = 29
-VARIANTS_PER_BUCKET = 600_000
+#: Characters of all lines for each bucket; a bucket holds no more, however many lines go on.
+CHARS_PER_BUCKET = 14_400_000
+LINES_PER_ROW = 5_000
+MOST_WORDS = 200_000
 _FULL = np.uint32(0xFFFFFFFF)
 _NO_ID = -(2**63)
 _WORDS = _Hashes()
@@ -67,16 +73,15 @@ def end_keys(words: list[bytes]) -> list[int]:
     return keys
 
 
-def variants(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the line's variants and the places of the missing words (_FULL for none)."""
+def variants(words: list[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the variants of a line of NEAR_WORDS or more and the places of the missing words (_FULL for none)."""
+    import xxhash
+
     n = len(words)
-    h = np.fromiter((_WORDS[w] for w in words), np.uint64, n)
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) if seed else _WORDS[w] for w in words), np.uint64, n)
     at = mix(np.arange(n + 1, dtype=np.uint64) + np.uint64(1))
     stay = np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ at[1:]))])
     full = np.array([stay[-1]], np.uint64)
-    if n < NEAR_WORDS:
-        # another hash, which no variant of a longer line has
-        return mix(mix(full) ^ np.uint64(n)), np.array([_FULL])
     moved = np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ at[:-1]))])
     # the first word has no place to move to: what stands before it is taken off again
     without = stay[:-1] + (moved[-1] - moved[1:])
@@ -120,12 +125,25 @@ def _marked_ends(source: DataFrame, lines: int, buckets: int):
     return source.sparkSession.sparkContext.broadcast(bitmap), bits
 
 
-_SCHEMA = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "ths", "lines", "runs", "sigs", "places"))])
-_COLUMNS = "bucket int, ids binary, ths binary, lines binary, runs binary, sigs binary, places binary"
+_LINES = "bucket int, ids binary, ths binary, lines binary, words binary"
+_ARROW_LINES = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "ths", "lines", "words"))])
+_VARIANTS = "bucket int, ids binary, ths binary, lines binary, runs binary, sigs binary, places binary"
+_ARROW_VARIANTS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "ths", "lines", "runs", "sigs", "places"))])
+_KINDS = {"ids": np.int64, "ths": np.int64, "lines": np.int32}
+
+
+def _line_row(bucket: int, places: list[tuple], words: list[bytes] | None) -> dict:
+    """Places (id, th, line) with the words of each; words are null for lines that go."""
+    return {"bucket": bucket, **{c: np.array(x, kind).tobytes() for (c, kind), x in zip(_KINDS.items(), zip(*places, strict=True), strict=True)}, "words": None if words is None else b"\n".join(words)}
+
 
+def _places(row: dict) -> list[tuple]:
+    return list(zip(*(np.frombuffer(row[c], kind).tolist() for c, kind in _KINDS.items()), strict=True))
 
-def _emit_variants(bitmap, bits: int, buckets: int):
-    """Packed variants by bucket; rows without variants are lines that an equal one in the same block precedes."""
+
+def _emit_lines(bitmap, bits: int, buckets: int):
+    """Lines with a marked beginning or end, equal ones of a block once, by the bucket of their words."""
+    import xxhash
 
     def run(batches):
         marks = bitmap.value
@@ -139,87 +157,180 @@ def _emit_variants(bitmap, bits: int, buckets: int):
                         if marks[key >> 3] >> (key & 7) & 1:
                             lines.setdefault(b" ".join(words), []).append((i, th, no))
                             break
-            first, gone = [], []
+            gone: list[tuple] = []
+            parts: dict[int, list[tuple]] = {}
             for key, places in lines.items():
-                places.sort()
-                first.append((places[0], key))
-                gone += [p for p in places if p != places[0]]
+                first = min(places)
+                gone += [p for p in places if p != first]
+                parts.setdefault(xxhash.xxh3_64_intdigest(key, 4) % buckets, []).append((first, key))
+            rows = [_line_row(b, [p for p, _ in own], [k for _, k in own]) for b, own in parts.items()]
             if gone:
-                i, th, no = (np.array(x) for x in zip(*gone, strict=True))
-                yield pa.RecordBatch.from_pylist([{"bucket": int(i[0] % buckets), "ids": i.astype(np.int64).tobytes(), "ths": th.astype(np.int64).tobytes(), "lines": no.astype(np.int32).tobytes(), "runs": b"", "sigs": b"", "places": b""}], _SCHEMA)
-            if not first:
-                continue
-            both = [variants(key.split()) for _, key in first]
-            sigs, places = (np.concatenate([b[k] for b in both]) for k in (0, 1))
-            owner = np.repeat(np.arange(len(both)), [len(b[0]) for b in both])
-            ids, ths, nos = (np.array([p[k] for p, _ in first], kind) for k, kind in ((0, np.int64), (1, np.int64), (2, np.int32)))
-            bucket = ((sigs >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            for part in np.split(order, cuts):
-                own, runs = np.unique(owner[part], return_counts=True)
-                yield pa.RecordBatch.from_pylist([{"bucket": int(bucket[part[0]]), "ids": ids[own].tobytes(), "ths": ths[own].tobytes(), "lines": nos[own].tobytes(), "runs": runs.astype(np.uint32).tobytes(), "sigs": _five(sigs[part] & np.uint64(2**40 - 1)), "places": places[part].astype(np.uint32).tobytes()}], _SCHEMA)
-            _WORDS.clear()
+                rows.append(_line_row(gone[0][0] % buckets, gone, None))
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, _ARROW_LINES)
+
+    return run
+
+
+def _first_lines(batches):
+    """Of the lines of the same words the earliest, with its words, if it can have near ones; the others as lines that go."""
+    held: dict[int, list[dict]] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["words"] is None:
+                yield pa.RecordBatch.from_pylist([row], _ARROW_LINES)
+            else:
+                held.setdefault(row["bucket"], []).append(row)
+    while held:
+        bucket, rows = held.popitem()
+        firsts: dict[bytes, tuple] = {}
+        gone = []
+        for row in rows:
+            for place, key in zip(_places(row), row["words"].split(b"\n"), strict=True):
+                other = firsts.setdefault(key, place)
+                if place != other:
+                    firsts[key] = min(place, other)
+                    gone.append(max(place, other))
+        stay = [(p, k) for k, p in firsts.items() if k.count(b" ") >= NEAR_WORDS - 1]
+        for a in range(0, len(gone), LINES_PER_ROW):
+            yield pa.RecordBatch.from_pylist([_line_row(bucket, gone[a : a + LINES_PER_ROW], None)], _ARROW_LINES)
+        for a in range(0, len(stay), LINES_PER_ROW):
+            part = stay[a : a + LINES_PER_ROW]
+            yield pa.RecordBatch.from_pylist([_line_row(bucket, [p for p, _ in part], [k for _, k in part])], _ARROW_LINES)
+    give_back_memory()
+
+
+def _emit_variants(buckets: int, seed: int, hash_bits: int):
+    """Packed variants by bucket."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                both = [variants(key.split(), seed) for key in row["words"].split(b"\n")]
+                sigs, places = (np.concatenate([b[k] for b in both]) for k in (0, 1))
+                sigs >>= np.uint64(64 - hash_bits)
+                owner = np.repeat(np.arange(len(both)), [len(b[0]) for b in both])
+                ids, ths, nos = (np.frombuffer(row[c], kind) for c, kind in _KINDS.items())
+                bucket = (sigs % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+                out = []
+                for part in np.split(order, cuts):
+                    own, runs = np.unique(owner[part], return_counts=True)
+                    out.append({"bucket": int(bucket[part[0]]), "ids": ids[own].tobytes(), "ths": ths[own].tobytes(), "lines": nos[own].tobytes(), "runs": runs.astype(np.uint32).tobytes(), "sigs": sigs[part].tobytes(), "places": places[part].astype(np.uint32).tobytes()})
+                yield pa.RecordBatch.from_pylist(out, _ARROW_VARIANTS)
+            if len(_WORDS) > MOST_WORDS:
+                _WORDS.clear()
+        _WORDS.clear()
+        give_back_memory()
 
     return run
 
 
-def later_lines(rank: np.ndarray, sigs: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Which variants show an earlier duplicate: the same missing place, or a full variant on either side."""
+def earlier_partners(rank: np.ndarray, sigs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Variants whose hash shows an earlier line, and one of that line: the next earlier of the same missing place, else a full one, or any if the variant is full."""
     order = np.lexsort((rank, places, sigs))
     r, s, p = rank[order], sigs[order], places[order]
     head = np.concatenate([[True], s[1:] != s[:-1]])
-    inner = head | np.concatenate([[True], p[1:] != p[:-1]])
-    starts = np.flatnonzero(head)
-    group, sub = np.cumsum(head) - 1, np.cumsum(inner) - 1
-    earliest_same = r[np.flatnonzero(inner)][sub]
-    earliest_any = np.minimum.reduceat(r, starts)[group]
+    starts, group = np.flatnonzero(head), np.cumsum(head) - 1
+    same = ~(head | np.concatenate([[True], p[1:] != p[:-1]]))
     full = p == _FULL
-    earliest_full = np.minimum.reduceat(np.where(full, r, np.iinfo(np.int64).max), starts)[group]
-    later = (r > earliest_same) | (r > earliest_full) | (full & (r > earliest_any))
-    out = np.zeros(len(rank), bool)
-    out[order] = later
-    return out
+
+    def earliest(ranks):
+        # the place of each group's smallest rank
+        by = np.lexsort((ranks, group))[starts]
+        return by[group]
+
+    none = np.iinfo(np.int64).max
+    by_full, by_any = earliest(np.where(full, r, none)), earliest(r)
+    with_full, with_any = full[by_full] & (r > r[by_full]), full & (r > r[by_any])
+    partner = np.where(same, np.arange(len(r)) - 1, np.where(with_full, by_full, by_any))
+    found = np.flatnonzero(same | with_full | with_any)
+    return order[found], order[partner[found]]
 
 
-def _duplicates(batches):
+_PAIRS = [f"{side}{c}" for side in ("", "p_") for c in ("id", "th", "line")]
+
+
+def _near_pairs(batches):
+    """Candidates: a line and an earlier one that has a variant's hash in common with it."""
     held: dict[int, list[dict]] = {}
-    names = ["id", "th", "line"]
     for batch in batches:
         for row in batch.to_pylist():
-            if row["sigs"]:
-                held.setdefault(row["bucket"], []).append(row)
-            else:
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row[c], kind)) for c, kind in (("ids", np.int64), ("ths", np.int64), ("lines", np.int32))], names)
+            held.setdefault(row["bucket"], []).append(row)
     while held:
         rows = held.popitem()[1]
         whole = lambda c, kind: np.frombuffer(b"".join(r[c] for r in rows), kind)  # noqa: E731, B023
-        ids, ths, lines, runs = whole("ids", np.int64), whole("ths", np.int64), whole("lines", np.int32), whole("runs", np.uint32)
-        order = np.lexsort((lines, ths, ids))
-        new = np.concatenate([[True], (np.diff(ids[order]) != 0) | (np.diff(ths[order]) != 0) | (np.diff(lines[order]) != 0)])
+        ids, ths, lines = (whole(c, kind) for c, kind in _KINDS.items())
         rank = np.empty(len(ids), np.int64)
-        rank[order] = np.cumsum(new) - 1
-        owner = np.repeat(np.arange(len(ids)), runs)
-        later = np.unique(owner[later_lines(rank[owner], _from_five(b"".join(r["sigs"] for r in rows)), whole("places", np.uint32))])
+        rank[np.lexsort((lines, ths, ids))] = np.arange(len(ids))
+        owner = np.repeat(np.arange(len(ids)), whole("runs", np.uint32))
+        later, earlier = earlier_partners(rank[owner], whole("sigs", np.uint64), whole("places", np.uint32))
         if len(later):
-            yield pa.RecordBatch.from_arrays([pa.array(ids[later]), pa.array(ths[later]), pa.array(lines[later])], names)
+            a, b = np.unique(np.stack([owner[later], owner[earlier]]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[side]) for side in (a, b) for x in (ids, ths, lines)], _PAIRS)
+    give_back_memory()
+
+
+def one_edit(a: list[bytes], b: list[bytes]) -> bool:
+    """Whether one word replaced, inserted or deleted at most makes one line of the other."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[i] == b[i]:
+        i += 1
+    return a[i + (len(a) >= len(b)) :] == b[i + (len(b) >= len(a)) :]
 
 
-def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _unpacked_lines(batches):
+    for batch in batches:
+        for row in batch.to_pylist():
+            columns = [pa.array(np.frombuffer(row[c], kind)) for c, kind in _KINDS.items()]
+            words = [] if row["words"] is None else [pa.array(row["words"].split(b"\n"), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *words], ["id", "th", "line", "words"][: 3 + len(words)])
+
+
+def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, th, line, near) of the lines that have a candidate: whether the words of one are at most one edit away."""
+
+    def run(batches):
+        for batch in batches:
+            left, right = batch.column("words").to_pylist(), batch.column("p_words").to_pylist()
+            near = [one_edit(x.split(), y.split()) for x, y in zip(left, right, strict=True)]
+            yield batch.select(["id", "th", "line"]).append_column("near", pa.array(near, pa.bool_()))
+
+    rows = pairs.join(lines, ["id", "th", "line"]).join(lines.toDF("p_id", "p_th", "p_line", "p_words"), ["p_id", "p_th", "p_line"])
+    compared = rows.select("id", "th", "line", "words", "p_words").mapInArrow(run, "id bigint, th bigint, line int, near boolean")
+    return compared.groupBy("id", "th", "line").agg(F.max("near").alias("near"))
+
+
+def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64) -> DataFrame:
     """Rows (id, th, line) of the lines that go, id filled and th the hash of the text."""
     source = _source(docs, id_col, text_col)
     parallel = docs.sparkSession.sparkContext.defaultParallelism
     chars, lines = source.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0)), F.coalesce(F.sum(F.char_length("text") - F.char_length(F.translate("text", "\n", "")) + 1), F.lit(0))).first()
     bitmap, bits = _marked_ends(source, lines, max(parallel, -(-lines // 4_000_000)))
-    # most texts have a word for each six characters; a quarter of them emit
-    buckets = max(parallel, -(-chars // (24 * VARIANTS_PER_BUCKET)))
-    packed = source.mapInArrow(_emit_variants(bitmap, bits, buckets), _COLUMNS)
-    return packed.repartition(buckets, "bucket").mapInArrow(_duplicates, "id bigint, th bigint, line int")
-
-
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the duplicate lines taken out of text_col, and n_lines, n_removed."""
-    gone = duplicate_lines(docs, id_col, text_col).groupBy("id", "th").agg(F.collect_set("line").alias("__gone"))
+    buckets = max(parallel, -(-chars // CHARS_PER_BUCKET))
+    firsts = cut(source.mapInArrow(_emit_lines(bitmap, bits, buckets), _LINES).repartition(buckets, "bucket").mapInArrow(_first_lines, _LINES))
+    gone = firsts.where("words IS NULL").mapInArrow(_unpacked_lines, "id bigint, th bigint, line int")
+    firsts = firsts.where("words IS NOT NULL")
+    worded = firsts.mapInArrow(_unpacked_lines, "id bigint, th bigint, line int, words binary")
+    # a line whose candidate was a chance of the hash alone may have missed its own: once more with other hashes
+    unsettled, seed = None, 0
+    while True:
+        packed = firsts.mapInArrow(_emit_variants(buckets, seed, hash_bits), _VARIANTS).repartition(buckets, "bucket")
+        tried = cut(_verified(packed.mapInArrow(_near_pairs, ", ".join(f"{c} {'int' if 'line' in c else 'bigint'}" for c in _PAIRS)), worded))
+        gone = gone.unionAll(tried.where("near").select("id", "th", "line"))
+        failed = tried.where("NOT near").select("id", "th", "line")
+        unsettled = failed if unsettled is None else cut(unsettled.join(failed, ["id", "th", "line"], "left_semi"))
+        if unsettled.isEmpty():
+            return gone
+        seed += 1
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64) -> DataFrame:
+    """docs with the duplicate lines taken out of text_col, and n_lines, n_removed. ``hash_bits`` of a variant choose candidates."""
+    gone = duplicate_lines(docs, id_col, text_col, hash_bits).groupBy("id", "th").agg(F.collect_set("line").alias("__gone"))
     gone = gone.withColumnRenamed("id", "__id").withColumnRenamed("th", "__th")
     rows = docs.join(gone, (F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)) == F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__th")), "left")
     rows = rows.withColumn("__lines", F.split(F.col(text_col), "\n"))

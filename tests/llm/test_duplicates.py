@@ -235,5 +235,27 @@ def test_lines_of_any_length(spark):
     assert [n for _, _, n, _ in plain_lines(rows)[:3]] == [0, 4, 3]
 
 
+def test_equal_hashes_of_unequal_lines(spark):
+    # their full variants agree in the lowest 43 bits
+    a, b = "k11 k23 k45 k43", "k19 k22 k18 k43"
+    rows = [(1, a), (2, b), (3, a), (4, b), (5, b + " more")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [(r.doc_id, r.n_removed) for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [(1, 0), (2, 0), (3, 1), (4, 1), (5, 1)]
+
+
+def test_candidates_by_chance(spark):
+    random.seed(12)
+    bases = [[f"w{random.randint(0, 30)}" for _ in range(random.choice([4, 5, 8, 12]))] for _ in range(40)]
+    rows = []
+    for i in range(80):
+        line = list(random.choice(bases))
+        line[random.randrange(len(line))] = random.choice(["x", "y", line[0]])
+        rows.append((i, " ".join(line)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    # so few bits that unequal variants meet all the time
+    out = line_dedup.dedup_lines(docs, hash_bits=11).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in out) == plain_lines(rows)
+
+
 def test_sha_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
