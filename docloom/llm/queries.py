@@ -132,7 +132,6 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
        sha256(coalesce(l.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM doc AS d LEFT JOIN covered AS c USING (doc_id) LEFT JOIN listed AS l USING (doc_id)
 """,
-    "op3_token_counts": op3_token_counts,
     "op8_jaccard_join": r"""
 WITH RECURSIVE doc AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
