@@ -131,6 +131,30 @@ def test_jaccard_near_threshold(spark, length):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in out.collect()) == brute_components(rows)
 
 
+def test_jaccard_links(spark):
+    random.seed(13)
+    say = lambda n: [f"w{random.randint(0, 5000)}" for _ in range(n)]
+    rows = []
+    for length in (12, 60, 300):
+        base = say(length)
+        for _ in range(14):
+            text = list(base)
+            for _ in range(random.randint(0, max(1, length // 25))):
+                text[random.randrange(length)] = random.choice("xyz")
+            rows.append((len(rows), " ".join(text)))
+    rows += [(len(rows), rows[20][1]), (len(rows) + 1, ""), (len(rows) + 2, "alone")]
+    sets = {i: frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := t.split()) else frozenset() for i, t in rows}
+    alike = lambda x, y: bool(x & y) and 100 * len(x & y) >= 75 * len(x | y)
+    first = {}
+    for i, x in sets.items():
+        first.setdefault(x, i)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    links = {(r.a, r.b, r.n_a, r.n_b, r.common) for r in jaccard_join.jaccard_links(docs).collect()}
+    assert links == {(i, j, len(x), len(y), len(x & y)) for x, i in first.items() for y, j in first.items() if i < j and alike(x, y)} and len(links) > 30
+    counts = {r.doc_id: r.n_links for r in jaccard_join.jaccard_link_counts(docs).collect()}
+    assert counts == {i: sum(alike(x, y) for j, y in sets.items() if j != i) for i, x in sets.items()}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (200, 200), (None, 5)]
     out = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
