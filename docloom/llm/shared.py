@@ -21,9 +21,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared folder, so that a lost executor costs no recomputation of what led to them."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, written to the shared folder, so that a lost executor costs no recomputation of what led to them.
+
+    What led to them is let go: Spark deletes shuffle files once the driver's garbage collector finds nothing that refers to
+    them, and in a chain of small steps the driver alone would fill its memory last and the executors' disks first.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    rows = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return rows
 
 
 def give_back_memory() -> None:
