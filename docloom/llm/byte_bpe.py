@@ -30,6 +30,8 @@ SHORT_WORD_BYTES = 64
 WORDS_PER_QUERY = 20_000
 #: Words whose ids a Python worker remembers between batches, unless told otherwise; then it starts anew.
 REMEMBERED_WORDS = 700_000
+#: Token rows of all steps that one query for long words holds.
+ROWS_PER_QUERY = 1_500_000
 #: Characters of text handled at once; a longer single text is one batch.
 CHARS_PER_BATCH = 2_000_000
 #: Ids decoded by one query.
@@ -56,34 +58,30 @@ WITH RECURSIVE contracted(word, pos, tok, done) AS (
 SELECT word, pos, tok FROM contracted WHERE done ORDER BY word, pos
 """
 
-#: For long words: where no pair made by a merge can rank before that merge, all its occurrences in the word
-#: follow each other, so one step takes them together (in a run of equal tokens every second one).
+#: For long words: a step contracts every pair that is the leftmost of minimum rank among those up to the longest token's
+#: bytes away, for what is merged before it further off cannot reach its tokens. A query ends after a bounded number of
+#: steps and the next goes on from its last state, so that no more than these are held.
 _CONTRACT_LONG = """
 WITH RECURSIVE contracted(word, pos, tok, step) AS (
     SELECT word, pos, tok, 0 FROM start
   UNION ALL
-    SELECT word, pos, CASE WHEN merge THEN best ELSE tok END, step + 1
+    SELECT word, pos, CASE WHEN merge THEN (here >> 32)::INTEGER ELSE tok END, step + 1
     FROM (
         SELECT *, coalesce(lag(merge) OVER (PARTITION BY word ORDER BY pos), false) AS gone
         FROM (
-            SELECT *, (id IS NOT DISTINCT FROM best AND CASE WHEN safe
-                       THEN row_number() OVER (PARTITION BY word, id, run ORDER BY pos) % 2 = 1 OR tok <> nxt
-                       ELSE pos = first_pos END) AS merge
+            SELECT *, min(here) OVER (PARTITION BY word) AS best,
+                   coalesce(here = min(here) OVER (PARTITION BY word ORDER BY pos
+                                                   ROWS BETWEEN {reach} PRECEDING AND {reach} FOLLOWING), false) AS merge
             FROM (
-                SELECT *, min(CASE WHEN id = best THEN pos END) OVER (PARTITION BY word) AS first_pos,
-                       n - row_number() OVER (PARTITION BY word, id ORDER BY pos) AS run
-                FROM (
-                    SELECT c.*, m.id, m.safe, min(m.id) OVER (PARTITION BY word) AS best
-                    FROM (SELECT *, lead(tok) OVER w AS nxt, row_number() OVER w AS n FROM contracted
-                          WINDOW w AS (PARTITION BY word ORDER BY pos)) AS c
-                    LEFT JOIN merges AS m ON m.l = c.tok AND m.r = c.nxt
-                )
+                SELECT c.*, (m.id::BIGINT << 32) | c.pos AS here
+                FROM (SELECT *, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS nxt FROM contracted) AS c
+                LEFT JOIN merges AS m ON m.l = c.tok AND m.r = c.nxt
             )
         )
     )
-    WHERE best IS NOT NULL AND NOT gone
+    WHERE best IS NOT NULL AND NOT gone AND step < {steps}
 )
-SELECT word, pos, tok FROM (
+SELECT word, pos, tok, step FROM (
     SELECT *, max(step) OVER (PARTITION BY word) AS last FROM contracted
 ) WHERE step = last ORDER BY word, pos
 """
@@ -120,12 +118,10 @@ class ByteBpe:
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(rank)
         left, right, merged = (np.array(x, np.int32) for x in (left, right, merged))
-        safe = np.ones(max(ranks.values(), default=0) + 1, bool)
-        for part in (left, right):
-            safe[part[merged < part]] = False
+        self.reach = max(map(len, ranks), default=1)
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
         self.con.execute("SET preserve_insertion_order = false")
-        merges = pa.table({"l": left, "r": right, "id": merged, "safe": safe[merged]})
+        merges = pa.table({"l": left, "r": right, "id": merged})
         vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "piece": pa.array((t.hex() for t in ranks), pa.string())})
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
             self.con.register("rows_", rows)
@@ -140,9 +136,15 @@ class ByteBpe:
             "pos": (np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)).astype(np.int32),
             "tok": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)],
         })
-        self.con.register("start", start)
-        done = self.con.execute(query).fetchnumpy()
-        self.con.unregister("start")
+        while True:
+            self.con.register("start", start)
+            # so many steps that the states of a query stay within a bounded number of rows
+            steps = max(1, ROWS_PER_QUERY // start.num_rows)
+            done = self.con.execute(query.replace("{steps}", str(steps)).replace("{reach}", str(self.reach))).fetchnumpy()
+            self.con.unregister("start")
+            if "step" not in done or not (done["step"] == steps).any():
+                break
+            start = pa.table({c: np.asarray(done[c], np.int32) for c in ("word", "pos", "tok")})
         cuts = np.searchsorted(done["word"], np.arange(1, len(words)))
         return np.split(np.asarray(done["tok"], np.int32), cuts)
 
