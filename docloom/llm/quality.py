@@ -16,7 +16,9 @@ the draw cover all documents.
 Defined cases: a null or empty text has no n-gram, weight 0 (log); labels that
 are null are not used; without good labelled rows every weight is 0 and all
 documents stay; rows of equal id and text share one draw; ties with the k-th
-stay; rows without an id share the noise of a null.
+stay; rows without an id share the noise of a null; an id labelled both ways is
+not used; of an id with several texts the least is learned from; other columns
+pass through ``keep_selected``, whatever their names; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -53,12 +55,13 @@ class Bounds:
 
 
 def shape(token: str) -> str:
-    out = ""
-    for c in token[:24]:
+    """Of the whole token, runs of letters of a case or of digits as one sign."""
+    out: list[str] = []
+    for c in token:
         kind = "a" if c.islower() else "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != kind or not kind.isalnum():
-            out += kind
-    return out
+            out.append(kind)
+    return "".join(out)
 
 
 class _Tokens(dict):
@@ -160,9 +163,11 @@ class Model:
 
 def learn(docs: DataFrame, labels: DataFrame, bounds: Bounds = Bounds(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     rows = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y")).where(F.col("__y").isin(0, 1) & F.col("__id").isNotNull())
+    rows = rows.groupBy("__id").agg(F.min("__y").alias("__y"), F.max("__y").alias("__other")).where("__y = __other").drop("__other")
     first = lambda y, n: rows.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(n)
-    ids = first(1, bounds.target + bounds.good).unionAll(first(0, bounds.bad)).distinct()
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(ids), "__id").where("__text IS NOT NULL").orderBy(F.xxhash64("__id", F.lit(7)), "__id", "__text").select("__y", "__text").collect()
+    ids = first(1, bounds.target + bounds.good).unionAll(first(0, bounds.bad))
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(ids), "__id").groupBy("__id", "__y").agg(F.min("__text").alias("__text"))
+    texts = texts.where("__text IS NOT NULL").orderBy(F.xxhash64("__id", F.lit(7)), "__id").select("__y", "__text").collect()
     good = list(dict.fromkeys(r["__text"] for r in texts if r["__y"] == 1))
     bad = list(dict.fromkeys(r["__text"] for r in texts if r["__y"] == 0))
     held = min(bounds.good, len(good) // 4)
