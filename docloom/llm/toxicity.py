@@ -7,14 +7,20 @@ words cost both the same). A logistic curve over a document's largest margins,
 calibrated on labelled documents that the dictionaries have not seen, gives the
 score.
 
+The toxic dictionary is trained on the words of toxic texts whose contexts favour
+toxic documents (``toxic_words``), the ordinary one on the other words of
+ordinary texts, a word once for every two contexts up to ``MOST_SAMPLES``.
+
 The fit uses a bounded sample of labelled rows, at most ``Bounds.toxic`` and
-``Bounds.ordinary`` documents, taken in the order of a hash of their id; scoring
-covers every whole text.
+``Bounds.ordinary`` documents, taken in the order of a hash of their id, of each
+the least of its texts, whole; scoring covers every whole text.
 
 Defined cases: a null text counts as empty; an empty text has no window and gets
-the score of margins of 0; labels that are null are not used; without toxic or
-ordinary labelled rows every score is the share of toxic rows among the labelled
-(0 if there are none). Repeated rows are scored alike.
+the score of margins of 0; labels that are null are not used, nor is an id that
+is labelled both ways; without toxic or ordinary labelled rows every score is the
+share of toxic rows among the labelled (0 if there are none). Repeated rows are
+scored alike. Other columns are not read; those of ``keep`` must not be named
+score. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,6 +42,8 @@ FEATURES = 6
 #: A word is toxic material when its contexts favour toxic documents by this log-likelihood ratio and lift.
 LEAST_RATIO, LEAST_LIFT = 15.0, 6.0
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 65536
+#: Samples of a toxic word, and most samples of an ordinary one: how often a word stands in the text that a dictionary is trained on.
+TOXIC_SAMPLES, MOST_SAMPLES = 20, 10
 _SPACED = re.compile(rb"\S+")
 _WORD = re.compile(r"[^\W\d_]+")
 #: The last bytes of a trained dictionary's header: the three repeat offsets, after which its content follows.
@@ -151,9 +159,9 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
     chosen = toxic_words(toxic_seen, plain_seen)
     common = _contexts(plain_seen)
     # each word with a neighbour of itself, else the trainer cuts its last bytes off; rounds, so that no word's samples stand together
-    samples = [f" {w} {w} ".encode() for _ in range(20) for w in sorted(chosen)]
-    plain = [f" {w} ".encode() for i in range(10) for w in sorted(common) if w not in chosen and min(common[w], 20) // 2 > i]
-    draft = Model(_dictionary(samples, TOXIC_BYTES, 50, 8) if samples else b" ", _dictionary(plain[:200_000], ORDINARY_BYTES, 16, 6) if plain else b" ", (0.0,) * FEATURES)
+    samples = [f" {w} {w} ".encode() for _ in range(TOXIC_SAMPLES) for w in sorted(chosen)]
+    plain = [f" {w} ".encode() for i in range(MOST_SAMPLES) for w in sorted(common) if w not in chosen and common[w] // 2 > i]
+    draft = Model(_dictionary(samples, TOXIC_BYTES, 50, 8) if samples else b" ", _dictionary(plain, ORDINARY_BYTES, 16, 6) if plain else b" ", (0.0,) * FEATURES)
     scorer = Scorer(draft)
     x = np.array([scorer.features(t) for t in (*toxic_new, *plain_new)])
     y = np.array([1.0] * len(toxic_new) + [0.0] * len(plain_new))
@@ -170,10 +178,12 @@ def held_out(id_col):
 def learn(docs: DataFrame, labels: DataFrame, bounds: Bounds = Bounds(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on labelled rows that are not held out; only ids within ``bounds`` are broadcast and only their texts collected."""
     rows = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y")).where(F.col("__y").isin(0, 1) & F.col("__id").isNotNull() & ~held_out(F.col("__id")))
+    rows = rows.groupBy("__id").agg(F.min("__y").alias("__y"), F.max("__y").alias("__other")).where("__y = __other").drop("__other")
     counts = {r["__y"]: r["n"] for r in rows.groupBy("__y").agg(F.count("*").alias("n")).collect()}
     picked = [rows.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(most) for y, most in ((1, bounds.toxic), (0, bounds.ordinary))]
-    ids = picked[0].unionAll(picked[1]).distinct()
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(ids), "__id").where("__text IS NOT NULL").orderBy(F.xxhash64("__id"), "__id").select("__y", "__text").collect()
+    ids = picked[0].unionAll(picked[1])
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(ids), "__id").groupBy("__id", "__y").agg(F.min("__text").alias("__text"))
+    texts = texts.where("__text IS NOT NULL").orderBy(F.xxhash64("__id"), "__id").select("__y", "__text").collect()
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return fit([r["__text"] for r in texts if r["__y"] == 1], [r["__text"] for r in texts if r["__y"] == 0], share)
 
