@@ -10,15 +10,21 @@ folders:
 * ``recipes``: documents in ascending order of id (nulls first, then by hash of
   the recipe), with ``part`` (range of ids), ``start`` (ids of all documents
   before it), n_tokens, hashes and sizes of its chunks, ``leaf`` (their digest).
-* ``manifest``: per part its documents, ids, and the Merkle root over the leaves.
+* ``manifest``: a Merkle tree: level 0 has a digest for every ``FAN`` documents
+  of a part by their starts, each level above one for every ``FAN`` digests below,
+  the last a single root; each with how many leaves and ids it stands for.
 
-Reading checks every chunk against its hash and every part against its root. A
-document's checksum comes from its chunks': crc32 is linear, so each chunk's is
-shifted by the bytes behind it and all are combined by exclusive or; no ids
-travel for that. ``reconstruct`` gives the ids themselves.
+Reading makes every leaf anew from the recipe's hashes and sizes, the tree anew
+from the leaves, and every chunk's hash from its ids; a difference is an error,
+in ``read_store`` and in ``reconstruct``. A document's checksum comes from its
+chunks': crc32 is linear, so each chunk's is shifted by the bytes behind it and
+all are combined by exclusive or; no ids travel for that. ``reconstruct`` gives
+the ids themselves.
 
 Defined cases: a null text counts as empty, a document of the end id alone;
-repeated rows are documents of their own, one after the other.
+repeated rows are documents of their own, one after the other; strings of the
+vocabulary's special tokens are encoded as the library does by default; other
+columns are not read, whatever their names; an empty table gives an empty store.
 """
 
 from __future__ import annotations
@@ -36,6 +42,8 @@ from docloom.llm.jaccard_join import _blocks, mix
 from docloom.llm.shared import cut
 
 WINDOW, AVERAGE, MOST = 8, 256, 4096
+#: Children of a node of the Merkle tree.
+FAN = 1024
 END_ID = 1
 _REMEMBERED = 1_200_000
 _OPEN: dict = {}
@@ -48,7 +56,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # texts with one of these go to the library as they are: a special token may reach over blanks and ends what stands before it
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
         self.kind = np.dtype(f"<u{self.width}")
         self.known: dict[bytes, bytes] = {}
@@ -68,13 +77,14 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > _REMEMBERED:
             self.known.clear()
+        whole = {i: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind).tobytes() for i, t in enumerate(texts) if t and any(x in low for low in (t.lower(),) for x in self.special)}
         # bytes split at ASCII white space only, which is white space by any definition; other stays inside the words.
         # The tokenizer lowers all letters, so lowering those of ASCII first only makes fewer words
-        split = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
+        split = [[] if i in whole else (t or "").encode("utf-8", "replace").lower().split() for i, t in enumerate(texts)]
         new = list(set().union(*split).difference(self.known))
         for i in range(0, len(new), 20_000):
             self.learn(new[i : i + 20_000])
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        return [whole[i] if i in whole else b"".join(map(self.known.__getitem__, words)) for i, words in enumerate(split)]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -90,7 +100,7 @@ def cuts(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Ends of all chunks of several documents' ids, which stand one after the other and end at ``ends``."""
     rolled = np.zeros(len(ids), np.uint64)
     wide = mix(ids.astype(np.uint64) + np.uint64(1))
-    for j in range(WINDOW):
+    for j in range(min(WINDOW, len(wide))):
         rolled[j:] += wide[: len(wide) - j] << np.uint64(j)
     # a window that reaches over a document's start does not cut
     starts = np.concatenate([[0], ends[:-1]])
@@ -133,7 +143,7 @@ def _chunked(path: str):
                     seen.setdefault(name, ids)
                     before = e
                 chunk = final + 1
-                rows.append(_BLANK_ROW | {"kind": "recipe", "key": int.from_bytes(hashes[0][:8], "little", signed=True), "id": i, "n_tokens": sum(sizes), "hashes": hashes, "sizes": sizes})
+                rows.append(_BLANK_ROW | {"kind": "recipe", "key": len(rows) * 0x9E3779B97F4A7C1 % 2**63, "id": i, "n_tokens": sum(sizes), "hashes": hashes, "sizes": sizes})
             rows += [_BLANK_ROW | {"kind": "chunk", "key": int.from_bytes(name[:8], "little", signed=True), "hash": name, "width": w, "ids": ids} for name, ids in seen.items()]
             yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
@@ -152,27 +162,54 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
-def _roots(recipes: DataFrame) -> DataFrame:
-    leaves = F.transform(F.array_sort(F.collect_list(F.struct("start", "leaf"))), lambda x: x["leaf"])
-    return recipes.groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sha2(F.array_join(leaves, ""), 256).alias("root"))
+def _leaf() -> F.Column:
+    """A recipe's digest: of id, sizes and hashes of its chunks."""
+    written = F.array_join(F.transform(F.arrays_zip("hashes", "sizes"), lambda x: F.concat(F.hex(x["hashes"]), F.lit(":"), x["sizes"].cast("string"))), ",")
+    return F.sha2(F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("")), written), 256)
+
+
+def _digests(rows: DataFrame) -> DataFrame:
+    """From (part, node, place, digest, n_docs, n_tokens) a digest of every node, over its at most FAN children in the order of their places."""
+    below = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "digest"))), lambda x: x["digest"]), "")
+    return rows.groupBy("part", "node").agg(F.sha2(below, 256).alias("digest"), F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+
+
+def _tree(recipes: DataFrame) -> DataFrame:
+    """All nodes (level, part, node, digest, n_docs, n_tokens) over the leaves of recipes, the root last; no node has more than FAN children."""
+    leaves = recipes.select("part", F.floor(F.col("number") / FAN).alias("node"), F.col("number").alias("place"), _leaf().alias("digest"), F.lit(1).cast("bigint").alias("n_docs"), "n_tokens")
+    level = cut(_digests(leaves).withColumn("level", F.lit(0)))
+    levels = [level]
+    # the nodes of a part up to one, then the parts themselves
+    while level.count() > 1:
+        inside = level.agg(F.max("node")).first()[0] > 0
+        place, part = ("node", F.col("part")) if inside else ("part", F.floor(F.col("part") / FAN).cast("int"))
+        rows = level.select(part.alias("part"), (F.floor(F.col("node") / FAN) if inside else F.lit(0).cast("bigint")).alias("node"), F.col(place).cast("bigint").alias("place"), "digest", "n_docs", "n_tokens")
+        level = cut(_digests(rows).withColumn("level", F.lit(len(levels))))
+        levels.append(level)
+    out = levels[0]
+    for other in levels[1:]:
+        out = out.unionByName(other)
+    return out
 
 
 def write_store(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(_chunked(path), _ROWS)
     raw = f"{folder}/raw"
+    # chunks meet by their hash; recipes stay apart from them, dealt by their rows, so that copies do not meet in one task
     rows.repartition("key").mapInArrow(_once, _ROWS).write.partitionBy("kind").option("compression", "zstd").parquet(raw)
     spark = docs.sparkSession
     recipes = spark.read.schema(_ROWS).parquet(raw).where("kind = 'recipe'").select("id", "n_tokens", "hashes", "sizes")
-    recipes = recipes.withColumn("leaf", F.sha2(F.concat(F.coalesce(F.col("id").cast("string").cast("binary"), F.lit(b"")), F.lit(b"|"), F.array_join(F.transform("hashes", lambda x: F.hex(x)), "").cast("binary")), 256))
+    recipes = recipes.withColumn("leaf", _leaf())
     ranged = cut(recipes.repartitionByRange("id", "leaf").withColumn("part", F.spark_partition_id()))
     totals = ranged.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # one row a part
     bases = totals.withColumn("base", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "base")
     # equal rows have equal counts, so either order gives the same starts
     inside = Window.partitionBy("part").orderBy(F.asc_nulls_first("id"), "leaf").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.withColumn("number", (F.row_number().over(Window.partitionBy("part").orderBy(F.asc_nulls_first("id"), "leaf")) - 1).cast("bigint"))
     placed = ranged.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("within")).drop("base", "within")
     placed.write.option("compression", "zstd").parquet(f"{folder}/recipes")
-    _roots(spark.read.parquet(f"{folder}/recipes")).write.parquet(f"{folder}/manifest")
+    _tree(spark.read.parquet(f"{folder}/recipes")).write.parquet(f"{folder}/manifest")
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,11 +217,13 @@ def _chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _recipes(spark: SparkSession, folder: str) -> DataFrame:
-    """The recipes of parts whose root agrees with the manifest's; another part is an error."""
+    """The recipes, if the tree made anew from them is the manifest's; a difference is an error."""
     recipes, manifest = (spark.read.parquet(f"{folder}/{x}") for x in ("recipes", "manifest"))
-    bad = _roots(recipes).alias("a").join(manifest.alias("b"), "part", "full_outer").where("NOT (a.root <=> b.root AND a.n_tokens <=> b.n_tokens)").count()
+    keys, values = ["level", "part", "node"], ["digest", "n_docs", "n_tokens"]
+    found = _tree(recipes).select(*keys, *(F.col(c).alias(f"found_{c}") for c in values))
+    bad = manifest.join(found, keys, "full_outer").where(" OR ".join(f"NOT {c} <=> found_{c}" for c in values)).count()
     if bad:
-        raise ValueError(f"{bad} parts of {folder} differ from the manifest")
+        raise ValueError(f"{bad} nodes over the recipes of {folder} differ from the manifest")
     return recipes
 
 
@@ -236,8 +275,20 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_store(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
     """Per document, from the files: id_col, start, n_tokens, ids_crc32 (of all its ids as little-endian unsigned 32-bit integers)."""
     recipes = _recipes(spark, folder)
-    uses = recipes.select("start", "n_tokens", F.posexplode("hashes").alias("at", "hash"), "sizes")
-    uses = uses.select("start", "hash", F.get("sizes", "at").cast("bigint").alias("size"), (4 * (F.col("n_tokens") - F.expr("aggregate(slice(sizes, 1, at + 1), 0L, (s, x) -> s + x)"))).alias("behind"))
+
+    def placed(batches):
+        # one row a chunk, with its size and the bytes of the ids behind it
+        for batch in batches:
+            starts, tokens, hashes, sizes = (batch.column(c) for c in ("start", "n_tokens", "hashes", "sizes"))
+            counts = np.diff(hashes.offsets.to_numpy())
+            size = sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            upto = np.cumsum(size)
+            ends = np.cumsum(counts)
+            base = np.repeat(np.concatenate([[0], upto])[ends - counts], counts)
+            behind = 4 * (np.repeat(tokens.to_numpy(), counts) - (upto - base))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(starts.to_numpy(), counts)), hashes.flatten(), pa.array(size), pa.array(behind)], ["start", "hash", "size", "behind"])
+
+    uses = recipes.select("start", "n_tokens", "hashes", "sizes").mapInArrow(placed, "start bigint, hash binary, size bigint, behind bigint")
     stored = _chunks(spark, folder).mapInArrow(_checksums, "hash binary, crc bigint, size bigint").withColumnRenamed("size", "stored")
 
     def shift(batches):
@@ -255,12 +306,16 @@ def read_store(spark: SparkSession, folder: str, id_col: str = "doc_id") -> Data
 def reconstruct(spark: SparkSession, folder: str, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id_col, start, ids array<bigint>) of the documents whose ids a table lists."""
     wanted = _recipes(spark, folder).join(ids.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
-    uses = wanted.select("id", "start", F.posexplode("hashes").alias("at", "hash")).join(_chunks(spark, folder), "hash")
+    uses = wanted.select("id", "start", F.posexplode("hashes").alias("at", "hash"), F.col("n_tokens")).join(_chunks(spark, folder), "hash", "left")
 
     def unpack(batches):
         for batch in batches:
+            for name, ids in zip(batch.column("hash").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                if hashlib.blake2b(ids, digest_size=16).digest() != name:
+                    raise ValueError(f"chunk {name.hex()} is damaged")
             values = [np.frombuffer(x, f"<u{w}").astype(np.int64) for x, w in zip(batch.column("ids").to_pylist(), batch.column("width").to_pylist(), strict=True)]
             yield batch.select(["id", "start", "at"]).append_column("ids", pa.array(values, pa.list_(pa.int64())))
 
-    rows = uses.select("id", "start", "at", "width", "ids").mapInArrow(unpack, "id bigint, start bigint, at int, ids array<bigint>")
+    present = F.when(F.col("ids").isNotNull(), F.col("ids")).otherwise(F.raise_error(F.lit("a document lacks chunks")).cast("binary"))
+    rows = uses.select("id", "start", "at", "hash", "width", present.alias("ids")).mapInArrow(unpack, "id bigint, start bigint, at int, ids array<bigint>")
     return rows.groupBy("id", "start").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"])).alias("ids")).withColumnRenamed("id", id_col)

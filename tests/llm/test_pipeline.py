@@ -53,3 +53,15 @@ def test_stages_pass_columns_on(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         made = stage(spark, docs, str(tmp_path))
         assert made.columns == docs.columns and made.count() == 0
+
+
+def test_stages_with_clashing_columns(spark, tmp_path):
+    names = ["n_lines", "n_removed", "n_tokens", "ids", "ids_sha256", "id", "th", "text_", "key", "row", "component_id", "log_weight", "gone"]
+    rows = [(i, sentence(i, 40) + "\nsame line of every text here") for i in range(20)] + [(20, None), (21, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit("clash") for c in names})
+    spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "tiny")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, str(tmp_path)).collect()
+        assert made and (name == "byte_bpe" or made[0].asDict().keys() == set(docs.columns))
+        assert all(r["text_"] == "clash" for r in made)

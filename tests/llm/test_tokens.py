@@ -73,7 +73,6 @@ def test_store(spark, docs, cases, nothing, tmp_path):
 
     path = P.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     token_store.write_store(docs, str(tmp_path / "s"), path)
     out = sorted(token_store.read_store(spark, str(tmp_path / "s")).collect(), key=lambda r: r.start)
     ids = {(i, t): np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in cases}
@@ -88,6 +87,55 @@ def test_store(spark, docs, cases, nothing, tmp_path):
     assert token_store.read_store(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_special_tokens_as_the_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y <|ENDOFTEXT|>", "<|endoftext|>", "plain Words", None, "<|endof text|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumns({"hash": F.lit(1), "key": F.lit(2), "part": F.lit(3), "start": F.lit(4)})
+    token_store.write_store(docs, str(tmp_path / "s"), path)
+    found = {r.doc_id: r.ids for r in token_store.reconstruct(spark, str(tmp_path / "s"), docs).collect()}
+    plain = Tokenizer.from_file(path)
+    assert found == {i: [*plain.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("what", ["hashes", "sizes", "order", "chunk", "manifest"])
+def test_damage_is_found(spark, docs, tmp_path, what):
+    folder, other = str(tmp_path / "s"), str(tmp_path / "t")
+    token_store.write_store(docs, folder, P.path("word_bpe_49k.json"))
+    tables = {t: spark.read.parquet(f"{folder}/{t}") for t in ("recipes", "manifest", "raw")}
+    if what in ("hashes", "sizes"):
+        tables["recipes"] = tables["recipes"].withColumn(what, F.reverse(what))
+    elif what == "order":
+        tables["recipes"] = tables["recipes"].withColumn("id", F.coalesce("id", F.lit(0)) + 1)
+    elif what == "chunk":
+        tables["raw"] = tables["raw"].withColumn("ids", F.when(F.length("ids") > 0, F.concat(F.unhex(F.lit("FFFF")), F.expr("substring(ids, 3)"))).otherwise(F.col("ids")))
+    else:
+        tables["manifest"] = tables["manifest"].withColumn("digest", F.reverse("digest"))
+    for t, df in tables.items():
+        (df.write.partitionBy("kind") if t == "raw" else df.write).parquet(f"{other}/{t}")
+    with pytest.raises(Exception, match="differ from the manifest|is damaged|lacks chunks"):
+        token_store.read_store(spark, other).collect()
+    with pytest.raises(Exception, match="differ from the manifest|is damaged|lacks chunks"):
+        token_store.reconstruct(spark, other, docs).collect()
+
+
+def test_tree_has_no_wide_node(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_store, "FAN", 3)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id bigint, text string")
+    token_store.write_store(docs, str(tmp_path / "s"), P.path("word_bpe_49k.json"))
+    nodes = spark.read.parquet(str(tmp_path / "s" / "manifest")).collect()
+    top = max(n.level for n in nodes)
+    assert [n.n_docs for n in nodes if n.level == top] == [40] and all(n.n_docs <= 3 for n in nodes if n.level == 0)
+    assert token_store.read_store(spark, str(tmp_path / "s")).count() == 40
+
+
+def test_long_words_of_few_letters(encoding):
+    coder = byte_bpe.ByteBpe(byte_bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)
+    for text in ("a" * 4000, "ab" * 1500, "etaoin" * 400, "".join("etaoinshrdlu"[(i * i + i // 7) % 12] for i in range(6000))):
+        assert next(coder.encode_batch([text]))[0].tolist() == encoding.encode_ordinary(text)
+
+
 def test_shifted_checksums():
     data = np.random.default_rng(1).integers(0, 256, 5000, np.uint8).tobytes()
     whole = token_store.shifted_crc(np.array([zlib.crc32(data[:1234]), zlib.crc32(data[1234:])]), np.array([5000 - 1234, 0]))
