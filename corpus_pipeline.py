@@ -19,8 +19,10 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one go, and documents of which nothing is left; n_chars follows the text."""
-    rows = line_dedup.dedup_lines(docs).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
-    return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    rows = line_dedup.dedup_lines(whole).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    follows = {"text": F.col("text"), "n_chars": F.char_length("text")}
+    return rows.select(*(follows.get(c, F.col("row")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +36,9 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their byte-level BPE ids, and the hash of what the ids decode to."""
-    return byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=[c for c in docs.columns if c not in ("doc_id", "text")], with_ids=True, remember=400_000, close=True)
+    """The documents with their byte-level BPE ids, and the hash of what the ids decode to; a column of an output's name gives way."""
+    made = ("doc_id", "text", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    return byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=[c for c in docs.columns if c not in made], with_ids=True, remember=400_000, close=True)
 
 
 STAGES = [
