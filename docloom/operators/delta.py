@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.operators.dedupe import remove_duplicates
 from docloom.operators.filters import changed_rows
 from docloom.operators.joins import semi
 from docloom.operators.sets import concatenate, onto
@@ -55,7 +56,7 @@ def compare(df: DataFrame, steps: Sequence[Comparison | Expiry], default: str =
 
 def compare_with_previous(new: DataFrame, previous: DataFrame, columns: Sequence[str], steps: Sequence[Comparison | Expiry], on: str = "id", how: str = "left") -> DataFrame:
     """Join the earlier values of ``columns`` (suffix _prev) and compare; an outer join also finds deleted rows."""
-    old = previous.select(F.col(on).alias("__id"), *(F.col(c).alias(f"{c}_prev") for c in columns)).dropDuplicates(["__id"])
+    old = remove_duplicates(previous.select(F.col(on).alias("__id"), *(F.col(c).alias(f"{c}_prev") for c in columns)), ["__id"])
     joined = new.join(old, F.col(on) == F.col("__id"), "full_outer" if how == "outer" else how)
     return compare(joined.withColumn(on, F.coalesce(on, "__id")).drop("__id"), steps)
 
@@ -68,11 +69,13 @@ def not_expired(df: DataFrame, expiry: Expiry | None) -> DataFrame:
     return df if expiry is None or expiry.column not in df.columns else df.where(F.coalesce(F.col(expiry.column) >= expiry.moment(), F.lit(True)))
 
 
-def prepare(df: DataFrame, load_type: str, previous: DataFrame | None = None, on: str = "id", previous_on: str | None = None, action: str = "action", force: bool = False, modified: str | None = None, expiry: Expiry | None = None) -> tuple[DataFrame, DataFrame | None]:
+def prepare(df: DataFrame, load_type: str, previous: DataFrame | None = None, on: str = "id", previous_on: str | None = None, action: str = "action", force: bool = False, modified: str | None = None, expiry: Expiry | None = Expiry()) -> tuple[DataFrame, DataFrame | None]:
     """(rows to process, rows carried over from the earlier output).
 
-    ``force`` processes carried rows again as updates. ``modified`` ("metadata" or "content") processes only rows whose
-    flag of that name says so; the others come from the earlier output as they were.
+    Earlier rows that are deleted or past ``expiry`` (if they have its column) are not carried. ``force`` processes carried
+    rows again as updates and leaves ``modified`` aside. ``modified`` ("metadata" or "content") processes only rows whose
+    flag of that name says so, if there is one; the others come from the earlier output as they were. Without an earlier
+    output everything but deletions is processed, whatever ``modified`` says.
     """
     load_type, previous_on = load_type.upper(), previous_on or on
     if action not in df.columns:
@@ -80,23 +83,21 @@ def prepare(df: DataFrame, load_type: str, previous: DataFrame | None = None, on
     if load_type == "FULL":
         return df, None
     if previous is None:
-        todo, carried = df.where(F.col(action) != "D").withColumn(action, F.when(F.col(action) == "N", "U").otherwise(F.col(action))), None
+        return df.where(F.coalesce(F.col(action) != "D", F.lit(True))).withColumn(action, F.when(F.col(action) == "N", "U").otherwise(F.col(action))), None
+    if action not in previous.columns:
+        previous = previous.withColumn(action, F.lit("N"))
+    todo = changed_rows(df, load_type, action)
+    if load_type == "DELTA":
+        carried = semi(previous, df.where(F.col(action) == "N"), previous_on, on)
     else:
-        todo = changed_rows(df, load_type, action)
-        if load_type == "DELTA":
-            carried = semi(previous, df.where(F.col(action) == "N"), previous_on, on)
-        else:
-            carried = semi(previous, df.where(F.col(action).isin("I", "U", "D")), previous_on, on, keep=False)
-        carried = not_expired(carried, expiry).withColumn(action, F.lit("N"))
-        if force:
-            todo, carried = concatenate(todo, carried.withColumn(action, F.lit("U"))), None
-    if modified:
+        carried = semi(previous, df.where(F.col(action).isin("I", "U", "D")), previous_on, on, keep=False)
+    carried = not_expired(carried, expiry).where(F.coalesce(F.col(action) != "D", F.lit(True))).withColumn(action, F.lit("N"))
+    if force:
+        return concatenate(todo, carried.withColumn(action, F.lit("U"))), None
+    if modified and f"{modified}_is_modified" in todo.columns:
         flag = F.coalesce(F.col(f"{modified}_is_modified").isin("I", "U"), F.lit(False))
-        if previous is not None:
-            kept = semi(previous, todo.where(~flag), previous_on, on)
-            taken = kept if carried is None else concatenate(kept, semi(carried, kept, previous_on, keep=False))
-            carried = taken
-        todo = todo.where(flag)
+        kept = semi(previous, todo.where(~flag), previous_on, on)
+        return todo.where(flag), concatenate(kept, semi(carried, kept, previous_on, keep=False))
     return todo, carried
 
 

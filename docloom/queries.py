@@ -172,14 +172,15 @@ def clean_reference_links(spark, d):
 
 def _merged(kind: str) -> None:
     def query(spark, d):
-        a = table(spark, d, "customer").where("c_custkey % 3 > 0").select("c_custkey", "c_name", F.col("c_acctbal").alias("amount"))
-        b = table(spark, d, "orders").where("o_custkey % 2 = 0").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("amount"))
+        # every third customer and every second order have keys that the other side lacks
+        a = table(spark, d, "customer").select(F.expr("CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END").alias("c_custkey"), "c_name", F.col("c_acctbal").alias("amount"))
+        b = table(spark, d, "orders").select("o_orderkey", F.expr("CASE WHEN o_custkey % 2 = 1 THEN o_custkey + 100000000 ELSE o_custkey END").alias("o_custkey"), F.col("o_totalprice").alias("amount"))
         return joins.merge(a, b, kind, left_on="c_custkey", right_on="o_custkey")
 
     query.__name__ = f"merge_{kind}"
     registered(f"""SELECT c_custkey, c_name, a.amount AS amount_x, o_orderkey, o_custkey, b.amount AS amount_y
-        FROM (SELECT c_custkey, c_name, c_acctbal AS amount FROM customer WHERE c_custkey % 3 > 0) AS a
-        {'FULL' if kind == 'outer' else kind} JOIN (SELECT o_orderkey, o_custkey, o_totalprice AS amount FROM orders WHERE o_custkey % 2 = 0) AS b ON c_custkey = o_custkey""")(query)
+        FROM (SELECT CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_name, c_acctbal AS amount FROM customer) AS a
+        {'FULL' if kind == 'outer' else kind} JOIN (SELECT o_orderkey, CASE WHEN o_custkey % 2 = 1 THEN o_custkey + 100000000 ELSE o_custkey END AS o_custkey, o_totalprice AS amount FROM orders) AS b ON c_custkey = o_custkey""")(query)
 
 
 for _kind in ("left", "right", "inner", "outer"):
@@ -235,15 +236,20 @@ def agg_action_counts(spark, d):
 
 
 def _loads(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Documents now, and an earlier load that lacks some, has others, and differs in some hashes."""
+    """Documents now, and an earlier load that names some otherwise, differs in some hashes, and has deleted and expired rows."""
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.md5("text").alias("md5"), "lang")
-    now = docs.where("id % 11 <> 3")
-    before = docs.where("id % 10 <> 0").withColumn("md5", F.when(F.col("id") % 7 == 0, "old").otherwise(F.col("md5")))
-    return now, before.withColumn("action", F.lit("I")).withColumn("metadata_is_modified", F.lit("N"))
-
-
-_LOADS = """now AS (SELECT doc_id AS id, md5(text) AS md5, lang FROM documents WHERE doc_id % 11 <> 3),
-    before AS (SELECT doc_id AS id, CASE WHEN doc_id % 7 = 0 THEN 'old' ELSE md5(text) END AS md5, lang, 'I' AS action FROM documents WHERE doc_id % 10 <> 0),
+    now = docs.withColumn("id", F.expr("CASE WHEN id % 11 = 3 THEN id + 100000000 ELSE id END"))
+    before = docs.select(
+        F.expr("CASE WHEN id % 10 = 0 THEN -id - 1 ELSE id END").alias("id"), F.expr("CASE WHEN id % 7 = 0 THEN 'old' ELSE md5 END").alias("md5"), "lang",
+        F.expr("CASE WHEN id % 9 = 0 THEN 'D' ELSE 'I' END").alias("action"), F.expr("CASE WHEN id % 8 = 0 THEN TIMESTAMP '2000-01-01' WHEN id % 8 = 1 THEN TIMESTAMP '2200-01-01' END").alias("metadata_expiry"),
+    )
+    return now, before.withColumn("metadata_is_modified", F.lit("N"))
+
+
+_LOADS = """now AS (SELECT CASE WHEN doc_id % 11 = 3 THEN doc_id + 100000000 ELSE doc_id END AS id, md5(text) AS md5, lang FROM documents),
+    before AS (SELECT CASE WHEN doc_id % 10 = 0 THEN -doc_id - 1 ELSE doc_id END AS id, CASE WHEN doc_id % 7 = 0 THEN 'old' ELSE md5(text) END AS md5, lang,
+                      CASE WHEN doc_id % 9 = 0 THEN 'D' ELSE 'I' END AS action, doc_id % 8 = 0 AS expired FROM documents),
+    living AS (SELECT * FROM before WHERE action <> 'D' AND NOT expired),
     compared AS (SELECT coalesce(now.id, before.id) AS id, now.md5, now.lang, CASE WHEN now.md5 = before.md5 THEN 'N' WHEN now.md5 IS NULL THEN 'D' WHEN before.md5 IS NULL THEN 'I' ELSE 'U' END AS action
                  FROM now FULL JOIN before ON now.id = before.id)"""
 
@@ -276,15 +282,15 @@ def _prepared(load_type: str, sql: str, suffix: str = "", **options) -> None:
 
 
 _prepared("FULL", "SELECT id, action, 'process' AS part FROM compared")
-_prepared("DELTA", "SELECT id, action, 'process' AS part FROM compared WHERE action IN ('I', 'U') UNION ALL SELECT id, 'N', 'carry' FROM before WHERE EXISTS (SELECT 1 FROM compared AS c WHERE c.id = before.id AND c.action = 'N')")
-_prepared("INCREMENTAL", "SELECT id, action, 'process' AS part FROM compared WHERE action IN ('I', 'U') UNION ALL SELECT id, 'N', 'carry' FROM before WHERE NOT EXISTS (SELECT 1 FROM compared AS c WHERE c.id = before.id AND c.action IN ('I', 'U', 'D'))")
-_prepared("DELTA", "SELECT id, action, 'process' AS part FROM compared WHERE action IN ('I', 'U') UNION ALL SELECT id, 'U', 'process' FROM before WHERE EXISTS (SELECT 1 FROM compared AS c WHERE c.id = before.id AND c.action = 'N')", "_force", force=True)
+_prepared("DELTA", "SELECT id, action, 'process' AS part FROM compared WHERE action IN ('I', 'U') UNION ALL SELECT id, 'N', 'carry' FROM living WHERE EXISTS (SELECT 1 FROM compared AS c WHERE c.id = living.id AND c.action = 'N')")
+_prepared("INCREMENTAL", "SELECT id, action, 'process' AS part FROM compared WHERE action IN ('I', 'U') UNION ALL SELECT id, 'N', 'carry' FROM living WHERE NOT EXISTS (SELECT 1 FROM compared AS c WHERE c.id = living.id AND c.action IN ('I', 'U', 'D'))")
+_prepared("DELTA", "SELECT id, action, 'process' AS part FROM compared WHERE action IN ('I', 'U') UNION ALL SELECT id, 'U', 'process' FROM living WHERE EXISTS (SELECT 1 FROM compared AS c WHERE c.id = living.id AND c.action = 'N')", "_force", force=True)
 
 
 @registered(f"""WITH {_LOADS}, flagged AS (SELECT *, CASE WHEN id % 2 = 0 THEN 'U' ELSE 'N' END AS flag FROM compared)
 SELECT id, action, 'process' AS part FROM flagged WHERE action IN ('I', 'U') AND flag = 'U'
 UNION ALL SELECT b.id, b.action, 'carry' FROM before AS b JOIN flagged AS f ON f.id = b.id WHERE f.action IN ('I', 'U') AND f.flag = 'N'
-UNION ALL SELECT b.id, 'N', 'carry' FROM before AS b JOIN flagged AS f ON f.id = b.id WHERE f.action = 'N'""")
+UNION ALL SELECT b.id, 'N', 'carry' FROM living AS b JOIN flagged AS f ON f.id = b.id WHERE f.action = 'N'""")
 def delta_filter(spark, d):
     now, before = _compared_loads(spark, d)
     todo, carried = delta.prepare(now.withColumn("metadata_is_modified", F.expr("CASE WHEN id % 2 = 0 THEN 'U' ELSE 'N' END")), "DELTA", before, modified="metadata")

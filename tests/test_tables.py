@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.errors import ConfigError, RuleError, SinkError, SourceNotFound
-from docloom.operators import aggregate, delta, joins, project, publish, quality_checks, sets
+from docloom.errors import ConfigError, ModelCallError
+from docloom.functions.ports import Throttle
+from docloom.operators import aggregate, delta, embed, joins, project, publish, quality_checks, sets
 from docloom.plans.config import deployment, overlay, step_settings
-from docloom.plans.hooks import Flags
+from docloom.plans.hooks import Flags, Hooks
 from docloom.plans.pipeline import Pipeline, Step, expand_steps, from_config
 from docloom.sources.readers import file_kind, latest, read_records, read_table
 from docloom.sources.sinks import SourceSpec, embedding_name, move_to_processed, target_path, write_table
@@ -92,6 +94,17 @@ def test_prepare_without_previous(spark):
     assert {r.id: r.action for r in got.collect()} == {"2": "U", "3": "U"} and kept is None
 
 
+def test_deleted_rows_are_not_carried(spark):
+    previous = load(spark, ("1", "D", "N"), ("2", "I", "N"), ("3", "U", "N")).withColumn("metadata_expiry", F.when(F.col("id") == "3", F.to_timestamp(F.lit("2000-01-01"))))
+    for load_type, current in (("INCREMENTAL", load(spark, ("9", "I", "N"))), ("DELTA", load(spark, ("1", "N", "N"), ("2", "N", "N"), ("3", "N", "N")))):
+        assert [r.id for r in delta.prepare(current, load_type, previous)[1].collect()] == ["2"]
+    forced, none = delta.prepare(load(spark, ("2", "N", "N")), "DELTA", previous, force=True, modified="metadata")
+    assert [(r.id, r.action) for r in forced.collect()] == [("2", "U")] and none is None
+    first, none = delta.prepare(load(spark, ("2", "N", "N")), "DELTA", None, modified="metadata")
+    assert [r.action for r in first.collect()] == ["U"] and none is None
+    assert delta.prepare(load(spark, ("7", "I", "N")), "INCREMENTAL", previous.drop("action"))[1].count() == 2
+
+
 def test_expired_rows_are_not_carried(spark):
     previous = load(spark, ("1", "I", "N")).withColumn("metadata_expiry", F.to_timestamp(F.lit("2000-01-01")))
     kept = delta.prepare(load(spark, ("2", "I", "N")), "INCREMENTAL", previous, expiry=delta.Expiry(now="2020-01-01"))[1]
@@ -225,3 +238,31 @@ def test_codes(spark, tmp_path):
     assert latest_table(spark, str(tmp_path / "none*.parquet")) is None
     df.write.parquet(str(tmp_path / "t_1.parquet"))
     assert latest_table(spark, str(tmp_path / "t_*.parquet")).count() == 5
+
+
+def test_default_pipeline_runs_from_records_to_vectors(spark):
+    records = spark.createDataFrame([('{"name": "A", "content": [{"content_type": "text", "name": "x", "content": "one two three"}]}',), ("broken",)], "value string")
+    hooks = Hooks()
+    seen = []
+    for name in ("post_transform", "documents_clean", "pre_chunk", "post_chunk", "pre_embed", "post_embed"):
+        hooks.register(name, lambda df, *a, name=name, **k: seen.append(name))
+    out = from_config(spark, {}, hooks).run({"input": records})
+    rows = out["embed"].collect()
+    assert seen == ["post_transform", "documents_clean", "pre_chunk", "post_chunk", "pre_embed", "post_embed"]
+    assert all(any(r.embedding) and r.chunk for r in rows) and len(out["transform"].collect()) == 1
+    again = from_config(spark, {}).run({"input": records})["transform"]
+    assert [r.id for r in again.collect()] == [r.id for r in out["transform"].collect()]
+    with pytest.raises(ConfigError):
+        from_config(spark, {"pipeline": [{"name": "f", "type": "file_check", "pattern": "/nowhere/*.x"}]}).run({"input": records})
+
+
+def test_calls_are_paced_and_bounded(spark):
+    class Refusing:
+        def answer(self, prompts):
+            if len(prompts) > 1:
+                raise ModelCallError("too many")
+            return [p.upper() for p in prompts]
+
+    rows = spark.createDataFrame([("a b c",), ("d",)], "text string").coalesce(1)
+    asked = lambda most: sorted(str(r.out) for r in embed.ask(rows, "x", Refusing, "out", {"text": "text"}, "{{ text }}", Throttle(cool_down=0), most).collect())
+    assert asked(3) == ["A B C", "D"] and asked(100) == ["None", "None"]
