@@ -105,21 +105,27 @@ def _pieces(text: str, tag: str) -> list[str]:
 
 
 def _table_rows(piece: str, size: int) -> list[str]:
-    """A table cut between rows, its head repeated in each part."""
-    head = re.search(r"<thead.*?</thead>", piece, re.S)
-    rows = re.findall(r"<tr.*?</tr>", piece.replace(head[0], "") if head else piece, re.S)
+    """A table cut between rows, its head and its own tags repeated in each part; what stands before, between and behind its rows is a piece of its own."""
+    opened, closed = re.search(r"<table[\s>]", piece), piece.rfind("</table>")
+    if not opened or closed < opened.start():
+        return [piece]
+    before, table, behind = piece[: opened.start()], piece[opened.start() : closed], piece[closed + len("</table>") :]
+    head = re.search(r"<thead[\s>].*?</thead>", table, re.S)
+    body = table[: head.start()] + table[head.end() :] if head else table
+    rows = list(re.finditer(r"<tr[\s>].*?</tr>", body, re.S))
     if len(rows) < 2:
         return [piece]
-    start, end = piece[: piece.index(rows[0])], piece[piece.rindex(rows[-1]) + len(rows[-1]) :]
-    lead = re.sub(r"<thead.*?</thead>", "", start, flags=re.S)
-    frame = lambda body: f"{lead}{head[0] if head and head[0] in start else ''}{body}{end}"
-    out, held = [], ""
+    own = re.compile(r"</?(?:table|tbody)(?:\s[^>]*)?>")
+    frame = lambda held: f"<table>{head[0] if head else ''}<tbody>{held}</tbody></table>"
+    out, held, at = [before], "", 0
     for row in rows:
-        if held and len(frame(held + row)) > size:
+        aside = own.sub("", body[at : row.start()])
+        if held and (aside.strip() or len(frame(held + row[0])) > size):
             out.append(frame(held))
             held = ""
-        held += row
-    return [*out, frame(held)]
+        out.append(aside)
+        held, at = held + row[0], row.end()
+    return [p for p in (*out, frame(held), own.sub("", body[at:]), behind) if p.strip()]
 
 
 def fill(pieces: list[str], size: int, length=len, joint: str = "") -> list[str]:

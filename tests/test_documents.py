@@ -1,4 +1,7 @@
 import json
+import random
+import re
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -50,6 +53,18 @@ def test_html():
     assert split_html("<p>short</p>", 100, 0) == ["<p>short</p>"]
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_split_tables_hold_each_word_once(seed):
+    r, n = random.Random(seed), iter(range(10**6))
+    say = lambda k: " ".join(f"w{next(n)}" for _ in range(k))
+    html = ""
+    for _ in range(r.randint(1, 3)):
+        rows = [f"<tr><td>{say(r.randint(1, 9))}</td></tr>" + (f"<caption>{say(3)}</caption>" if r.random() < 0.2 else "") for _ in range(r.randint(2, 12))]
+        html += f"<h2>{say(2)}</h2><p>{say(r.randint(3, 40))}</p><table><thead><tr><th>HEAD</th></tr></thead><tbody>{''.join(rows)}</tbody></table>tail {say(2)}<p>{say(r.randint(3, 40))}</p>"
+    words = Counter(w for p in split_html(html, 300, 0) for w in re.findall(r"w\d+", p))
+    assert words == Counter(re.findall(r"w\d+", html))
+
+
 DOC = {"id": 7, "attributes": {"title": "T", "meta": {"d": "desc"}, "blocks": [{"title": f"b{i}", "parts": [{"text": f"p{i}.{j}"} for j in range(2)]} for i in range(12)], "t2": [{"rows": [["a", "b"]], "columns": ["x", "y"], "groups": ["g"]}]}}
 MAPPING = {"id": "$.id", "name": "$.attributes.title", "metadata": {"description": "$.attributes.meta.d", "none": "$.no"}, "content": [{"title": "$.attributes.blocks[*].title", "data": "$.attributes.blocks[*].parts[*].text"}, {"rows": "$.attributes.t2[*].rows", "columns": "$.attributes.t2[*].columns", "metadata": {"access_groups": "$.attributes.t2[*].groups"}}]}
 
