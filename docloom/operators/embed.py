@@ -3,26 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.columns import is_zero_vector, require
-from docloom.functions.ports import PROMPTS, TEMPLATES, Chat, Embedder, render
+from docloom.functions.ports import PROMPTS, TEMPLATES, Chat, Embedder, Throttle, render
+from docloom.functions.tokens import count_tokens, token_batches
 from docloom.session import materialize
 
 
-def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], out: str = "embedding") -> DataFrame:
+def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], out: str = "embedding", throttle: Throttle = Throttle(), most_tokens: float = 100_000) -> DataFrame:
     """(column, out) of the distinct texts; a text that fails gets a zero vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = make()
+        model, pace = make(), replace(throttle)
         for batch in batches:
-            found = batch.column(0).to_pylist()
-            vectors = model.embed(found) or []
+            found, vectors = batch.column(0).to_pylist(), []
             zero = [0.0] * model.dimensions
-            vectors = [v or zero for v in vectors] + [zero] * (len(found) - len(vectors))
+            # calls of bounded size, each within the quota; one that fails gives zero vectors for its texts
+            for some in token_batches(found, most_tokens):
+                made = pace.call(lambda some=some: model.embed(some), sum(map(count_tokens, some))) or []
+                vectors += [v or zero for v in made] + [zero] * (len(some) - len(made))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.list_(pa.float32()))], [column, out])
 
     return texts.select(column).where(F.col(column).isNotNull()).distinct().mapInArrow(run, f"`{column}` string, `{out}` array<float>")
@@ -38,17 +42,19 @@ def create_embeddings(df: DataFrame, column: str, make: Callable[[], Embedder],
     return joined.withColumn(out, F.coalesce("__own", "__new")).drop("__own", "__new", "__text")
 
 
-def ask(df: DataFrame, prompt: str, make: Callable[[], Chat], out: str, variables: dict[str, str] | None = None, template: str | None = None) -> DataFrame:
+def ask(df: DataFrame, prompt: str, make: Callable[[], Chat], out: str, variables: dict[str, str] | None = None, template: str | None = None, throttle: Throttle = Throttle(), most_tokens: float = 100_000) -> DataFrame:
     """Adds the answers to a prompt rendered from each row; a variable without such a column stands for itself. The rows are written once, as a model's answers may differ from call to call."""
     variables, template = variables or PROMPTS[prompt], template or TEMPLATES[prompt]
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = make()
+        model, pace = make(), replace(throttle)
         for batch in batches:
             columns = {v: batch.column(c).to_pylist() if c in names else [c] * batch.num_rows for v, c in variables.items()}
             prompts = [render(template, dict(zip(columns, row, strict=True))) for row in zip(*columns.values(), strict=True)]
-            answers = model.answer(prompts)
+            answers: list[str | None] = []
+            for some in token_batches(prompts, most_tokens):
+                answers += pace.call(lambda some=some: model.answer(some), sum(map(count_tokens, some))) or [None] * len(some)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, pa.string())], [*batch.schema.names, out])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)

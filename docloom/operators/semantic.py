@@ -11,6 +11,7 @@ from docloom.functions.columns import question_id
 from docloom.functions.ports import Chat
 from docloom.operators.aggregate import concat_texts, group_records
 from docloom.operators.cluster import across_definitions, density_labels
+from docloom.operators.dedupe import remove_duplicates
 from docloom.operators.embed import ask, create_embeddings
 from docloom.operators.sets import concatenate
 from docloom.session import materialize
@@ -80,7 +81,8 @@ def merge_recursively(questions: DataFrame, make_embedder, make_chat: Callable[[
         if not chosen.isEmpty():
             merged = merge_small_clusters(chosen.drop("root").withColumnRenamed("group", "cluster_id"), make_chat)
             merged = merged.withColumn("root", F.substring_index("cluster_id", "|", 1)).select("root", "question_id", "source_id", "question", "answer")
-            rows = materialize(concatenate(rows.join(members.select("root", "question_id"), ["root", "question_id"], "left_anti"), merged).dropDuplicates(["root", "question_id", "source_id"]))
+            rest = rows.join(members.select("root", "question_id"), ["root", "question_id"], "left_anti")
+            rows = materialize(remove_duplicates(concatenate(rest, merged), ["root", "question_id", "source_id"], order_by=["question", "answer"]))
             done = materialize(done.unionByName(new.select("signature")))
         elif eps > settle:
             break

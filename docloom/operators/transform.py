@@ -46,10 +46,10 @@ def map_records(records: DataFrame, json_col: str, mapping: dict[str, Any] | Non
 
 
 def curate(documents: DataFrame, metadata_keys: list[str], content_column: str = "content_full") -> DataFrame:
-    """The curated table: one column for each metadata key, hashes, and a new id where there is none."""
+    """The curated table: one column for each metadata key, hashes, and where there is no id one made of the content, the same in every run."""
     if content_column not in ("content_full", "content_raw", "html_content"):
         raise ValueError(f"not a content column: {content_column}")
-    rows = documents.where("error IS NULL").withColumn("id", F.coalesce("id", F.uuid()))
+    rows = documents.where("error IS NULL").withColumn("id", F.coalesce("id", F.md5(F.to_json(F.struct("title", "metadata", "content_full")))))
     meta = lambda k: F.get_json_object("metadata", f"$['{k}']")
     typed = {"created": "timestamp", "modified": "timestamp", "expiry": "timestamp"}
     listed = ("tags", "access_groups", "region")

@@ -10,10 +10,12 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.errors import ConfigError
-from docloom.operators import chunk, delta, joins, project, sets
+from docloom.functions.ports import Chat, Embedder, HashingEmbedder, TemplateChat
+from docloom.operators import chunk, delta, embed, joins, project, semantic, sets, transform, translate
 from docloom.plans.hooks import Hooks
 from docloom.plans.rules import clean
 from docloom.session import materialize
+from docloom.sources.readers import matching
 
 #: Steps that a configuration may name, and what a lone chunk step stands for in question pipelines.
 STEPS = ("transform", "clean", "chunk", "metadata", "embed", "file_check", "translate", "merge", "drop", "run", "concatenate")
@@ -40,10 +42,21 @@ class Pipeline:
     steps: Sequence[Step]
     hooks: Hooks = field(default_factory=Hooks)
     kinds: dict[str, Run] = field(default_factory=dict)
+    make_embedder: Callable[[], Embedder] = HashingEmbedder
+    make_chat: Callable[[], Chat] = TemplateChat
 
     def __post_init__(self) -> None:
         self.kinds = {
+            "transform": self._transform,
             "clean": lambda df, rules=(), **_: clean(df, rules, self.hooks),
+            "metadata": lambda df, prompts=("description", "keywords", "questions"), **o: self.hooks.apply("metadata_transform", embed.generate_metadata(df, prompts, self.make_chat, **o)),
+            "embed": lambda df, column="chunk", **o: self.hooks.apply("post_embed", embed.create_embeddings(self.hooks.apply("pre_embed", df), column, self.make_embedder, **o)),
+            "file_check": self._file_check,
+            "translate": lambda df, columns, source="metadata_language", target="English", **o: translate.translate(df, columns, source, target, self.make_chat, **o),
+            "semantic.chunk": lambda df, **o: semantic.create_questions(df, self.make_chat, **o)[0],
+            "semantic.cluster": lambda df, **o: semantic.clustered(df, self.make_embedder, **o),
+            "semantic.merge": lambda df, **o: semantic.merge_small_clusters(df, self.make_chat, **o),
+            "semantic.validate": lambda questions, documents, **o: semantic.validate(questions, documents, self.make_chat, **o),
             "chunk": lambda df, **o: self.hooks.apply("post_chunk", chunk.chunk_documents(self.hooks.apply("pre_chunk", df), **o)),
             "merge": lambda a, b, **o: joins.merge(a, b, **o),
             "concatenate": lambda *tables, **_: sets.concatenate(*tables),
@@ -51,6 +64,18 @@ class Pipeline:
             "run": lambda df, **o: self.hooks.apply("run", df, **o),
         } | self.kinds
 
+    def _transform(self, df: DataFrame, json_col: str = "value", mapping: Mapping[str, Any] | None = None, root: str | None = None, delimiter: str | None = None, content_column: str = "content_full", **_: Any) -> DataFrame:
+        """Records in, curated documents out; records that cannot be read drop out here."""
+        documents = self.hooks.apply("post_transform", materialize(transform.map_records(df, json_col, dict(mapping) if mapping else None, root, delimiter)))
+        return transform.curate(documents, transform.metadata_keys(documents), content_column)
+
+    def _file_check(self, df: DataFrame, pattern: str | None = None, least: int = 1, **_: Any) -> DataFrame:
+        """The table as it is, once at least so many files match the pattern; without a pattern, once it has so many rows."""
+        found = len(matching(df.sparkSession, pattern)) if pattern else df.limit(least).count()
+        if found < least:
+            raise ConfigError(f"{pattern or 'the input'} has {found} files or rows instead of {least} or more")
+        return df
+
     def define(self, kind: str, run: Run) -> None:
         self.kinds[kind] = run
 

@@ -69,7 +69,8 @@ def read_table(spark: SparkSession, uri: str, columns: Sequence[str] | None = No
     return df.select(*columns) if columns else df
 
 
-def _glob(spark: SparkSession, pattern: str) -> list:
+def matching(spark: SparkSession, pattern: str) -> list:
+    """The files that a glob finds, in any store that Spark reads."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     return list(found or [])
@@ -78,7 +79,7 @@ def _glob(spark: SparkSession, pattern: str) -> list:
 def latest(spark: SparkSession, pattern: str, by: str = "name", oldest: bool = False) -> str:
     """The greatest path of a glob by name, size or time."""
     key = {"name": lambda s: (s.getPath().getName(), s.getModificationTime()), "size": lambda s: s.getLen(), "updated": lambda s: s.getModificationTime(), "time_created": lambda s: s.getModificationTime()}[by]
-    found = _glob(spark, pattern)
+    found = matching(spark, pattern)
     if not found:
         raise SourceNotFound(f"nothing matches {pattern}")
     return (min if oldest else max)(found, key=key).getPath().toString()

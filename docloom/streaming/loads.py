@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,9 +31,22 @@ def windowed_counts(events: DataFrame, time: str = "ts", by: Sequence[str] = ("e
 
 
 def incremental(stream: DataFrame, path: str, step: Callable[[DataFrame], DataFrame], checkpoint: str, key: str = "id") -> StreamingQuery:
-    """Write each micro-batch to its own folder, so a batch that runs again replaces itself."""
+    """Write what each micro-batch adds or changes to its own folder, so a batch that runs again replaces itself.
+
+    Rows are held against what earlier batches wrote: those whose ``action`` says N and that are there already are not
+    processed again.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        step(delta.prepare(batch, "FULL", on=key)[0]).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        try:
+            earlier = batch.sparkSession.read.parquet(path).where(F.col("batch") < number).drop("batch")
+        except AnalysisException:  # no batch has been written
+            earlier = None
+        if "action" not in batch.columns:
+            batch = batch.withColumn("action", F.lit("I"))
+        if earlier is not None:
+            known = earlier.select(F.col(key).alias("__known")).distinct()
+            batch = batch.join(known, F.col(key) == F.col("__known"), "left").withColumn("action", F.when((F.col("action") == "N") & F.col("__known").isNull(), "U").otherwise(F.col("action"))).drop("__known")
+        step(delta.prepare(batch, "INCREMENTAL", earlier, on=key)[0]).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
