@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.graph import connected_components
@@ -12,29 +15,63 @@ from docloom.session import materialize
 
 #: Coordinates by which vectors are put into cells as wide as the radius.
 CELL_AXES = 3
-
-
-def distance(a: Column, b: Column) -> Column:
-    """Euclidean, summed in double precision in the order of the coordinates."""
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda s, x: s + x))
+#: Vectors of a cell that travel together: an Arrow batch holds up to ten thousand pairs of such lists.
+LIST = 64
+
+
+def _within(eps: float):
+    """Pairs of two lists of vectors (of one, if they are the same list) within eps."""
+
+    def pairs(ids, x, other_ids, y, same: bool):
+        x64, y64 = x.astype(np.float64), y.astype(np.float64)
+        about = (x64 * x64).sum(1)[:, None] + (y64 * y64).sum(1)[None, :] - 2 * x64 @ y64.T
+        scale = 1 + np.abs(x64).max(initial=0) ** 2 * max(1, x64.shape[1]) + np.abs(y64).max(initial=0) ** 2 * max(1, y64.shape[1])
+        i, j = np.nonzero(about <= eps * eps + 1e-9 * scale)
+        if same:
+            i, j = i[i < j], j[i < j]
+        # exactly, in the order of the coordinates
+        total = np.zeros(len(i))
+        for k in range(x64.shape[1]):
+            total += (x64[i, k] - y64[j, k]) * (x64[i, k] - y64[j, k])
+        d = np.sqrt(total)
+        near = d <= eps
+        return ids[i[near]], other_ids[j[near]], d[near]
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                own, other = (batch.column(c)[row].values for c in ("members", "others"))
+                ids, other_ids = (m.field("id").to_numpy(zero_copy_only=False) for m in (own, other))
+                x, y = (m.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(m), -1) for m in (own, other))
+                a, b, d = pairs(ids, x, other_ids, y, batch.column("same")[row].as_py())
+                if len(d):
+                    swap = np.array(a > b, bool)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.where(swap, b, a), own.field("id").type), pa.array(np.where(swap, a, b), own.field("id").type), pa.array(d)], ["a", "b", "distance"])
+
+    return run
 
 
 def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "embedding") -> DataFrame:
-    """Pairs (a, b, distance) with a < b within eps.
+    """Pairs (a, b, distance) with a < b within eps; ids are distinct, and vectors of other lengths or with nulls are near none.
 
     Two vectors within eps differ by eps at most in every coordinate, so they lie in the same or adjoining cells of a
-    grid over a few coordinates: an equi-join on cells, with the exact distance after it.
+    grid over a few coordinates: an equi-join on cells. The vectors of a cell travel in lists of bounded length, and two
+    lists are compared by one product of matrices, with the exact distance after it.
     """
     axes = range(CELL_AXES)
-    cell = [F.floor(F.get(vector, F.lit(i)).cast("double") / eps).cast("int") for i in axes]
-    # sizes guard vectors with fewer coordinates
-    cell = [F.coalesce(c, F.lit(0)) for c in cell]
-    rows = df.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("a"), F.col(vector).alias("va"), *(c.alias(f"c{i}") for i, c in zip(axes, cell, strict=True)))
-    other = df.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("b"), F.col(vector).alias("vb"), *(c.alias(f"d{i}") for i, c in zip(axes, cell, strict=True)))
-    for i in axes:
-        other = other.withColumn(f"d{i}", F.explode(F.array(*(F.col(f"d{i}") + s for s in (-1, 0, 1)))))
-    both = rows.join(other, [F.col(f"c{i}") == F.col(f"d{i}") for i in axes]).where("a < b")
-    return both.select("a", "b", distance(F.col("va"), F.col("vb")).alias("distance")).where(F.col("distance") <= eps)
+    # vectors of one length share a grid
+    cell = F.array(F.size(vector), *(F.coalesce(F.floor(F.get(vector, F.lit(i)).cast("double") / eps).cast("int"), F.lit(0)) for i in axes))
+    rows = df.where(F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull())).select(F.col(id_col).alias("id"), F.col(vector).alias("v"), cell.alias("cell"))
+    rows = rows.where(F.size("v") > 0)
+    sizes = rows.groupBy("cell").agg(F.ceil(F.count("*") / LIST).cast("int").alias("lists"))
+    dealt = rows.join(sizes, "cell").withColumn("list", F.pmod(F.xxhash64("id"), "lists"))
+    lists = dealt.groupBy("cell", "list").agg(F.collect_list(F.struct("id", "v")).alias("members"))
+    steps = [F.array(F.col("cell")[0], *(F.col("cell")[i + 1] + s for i, s in enumerate(way))) for way in product((-1, 0, 1), repeat=CELL_AXES)]
+    # of two lists one finds the other
+    other = lists.select(F.explode(F.array(*steps)).alias("near"), F.struct("cell", "list").alias("place"), F.col("members").alias("others"))
+    both = lists.withColumn("own", F.struct("cell", "list")).join(other, F.col("cell") == F.col("near")).where("own <= place")
+    kind = dict(rows.dtypes)["id"]
+    return both.select("members", "others", (F.col("own") == F.col("place")).alias("same")).mapInArrow(_within(eps), f"a {kind}, b {kind}, distance double")
 
 
 def density_labels(df: DataFrame, eps: float = 0.25, min_samples: int = 2, id_col: str = "id", vector: str = "embedding", out: str = "label") -> DataFrame:
