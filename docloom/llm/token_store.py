@@ -174,21 +174,20 @@ def _digests(rows: DataFrame) -> DataFrame:
     return rows.groupBy("part", "node").agg(F.sha2(below, 256).alias("digest"), F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
-def _tree(recipes: DataFrame) -> DataFrame:
+def _tree(recipes: DataFrame, leaf: F.Column) -> DataFrame:
     """All nodes (level, part, node, digest, n_docs, n_tokens) over the leaves of recipes, the root last; no node has more than FAN children."""
-    leaves = recipes.select("part", F.floor(F.col("number") / FAN).alias("node"), F.col("number").alias("place"), _leaf().alias("digest"), F.lit(1).cast("bigint").alias("n_docs"), "n_tokens")
+    leaves = recipes.select("part", F.floor(F.col("number") / FAN).alias("node"), F.col("number").alias("place"), leaf.alias("digest"), F.lit(1).cast("bigint").alias("n_docs"), "n_tokens")
     level = cut(_digests(leaves).withColumn("level", F.lit(0)))
-    levels = [level]
-    # the nodes of a part up to one, then the parts themselves
-    while level.count() > 1:
-        inside = level.agg(F.max("node")).first()[0] > 0
+    out, depth = level, 0
+    # the numbers of nodes and parts tell how many levels follow: first the nodes of each part become one, then the parts themselves
+    nodes, parts = (x or 0 for x in level.agg(F.max("node"), F.max("part")).first())
+    while nodes or parts:
+        inside, depth = nodes > 0, depth + 1
         place, part = ("node", F.col("part")) if inside else ("part", F.floor(F.col("part") / FAN).cast("int"))
         rows = level.select(part.alias("part"), (F.floor(F.col("node") / FAN) if inside else F.lit(0).cast("bigint")).alias("node"), F.col(place).cast("bigint").alias("place"), "digest", "n_docs", "n_tokens")
-        level = cut(_digests(rows).withColumn("level", F.lit(len(levels))))
-        levels.append(level)
-    out = levels[0]
-    for other in levels[1:]:
-        out = out.unionByName(other)
+        level = _digests(rows).withColumn("level", F.lit(depth))
+        out = out.unionByName(level)
+        nodes, parts = (nodes // FAN, parts) if inside else (0, parts // FAN)
     return out
 
 
@@ -209,7 +208,7 @@ def write_store(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id",
     ranged = ranged.withColumn("number", (F.row_number().over(Window.partitionBy("part").orderBy(F.asc_nulls_first("id"), "leaf")) - 1).cast("bigint"))
     placed = ranged.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("within")).drop("base", "within")
     placed.write.option("compression", "zstd").parquet(f"{folder}/recipes")
-    _tree(spark.read.parquet(f"{folder}/recipes")).write.parquet(f"{folder}/manifest")
+    _tree(spark.read.parquet(f"{folder}/recipes"), F.col("leaf")).write.parquet(f"{folder}/manifest")
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -220,7 +219,7 @@ def _recipes(spark: SparkSession, folder: str) -> DataFrame:
     """The recipes, if the tree made anew from them is the manifest's; a difference is an error."""
     recipes, manifest = (spark.read.parquet(f"{folder}/{x}") for x in ("recipes", "manifest"))
     keys, values = ["level", "part", "node"], ["digest", "n_docs", "n_tokens"]
-    found = _tree(recipes).select(*keys, *(F.col(c).alias(f"found_{c}") for c in values))
+    found = _tree(recipes, _leaf()).select(*keys, *(F.col(c).alias(f"found_{c}") for c in values))
     bad = manifest.join(found, keys, "full_outer").where(" OR ".join(f"NOT {c} <=> found_{c}" for c in values)).count()
     if bad:
         raise ValueError(f"{bad} nodes over the recipes of {folder} differ from the manifest")
