@@ -61,6 +61,13 @@ def compare_with_previous(new: DataFrame, previous: DataFrame, columns: Sequence
     return compare(joined.withColumn(on, F.coalesce(on, "__id")).drop("__id"), steps)
 
 
+def transform_actions(new: DataFrame, previous: DataFrame, on: str = "id", expiry: Expiry = Expiry()) -> DataFrame:
+    """The action by md5, D where the document has expired, and flags that tell whether its metadata or its content changed."""
+    steps = [Comparison("md5"), expiry, Comparison("metadata_md5", output="metadata_is_modified"), Comparison("content_md5", output="content_is_modified")]
+    hashes = ["md5", "metadata_md5", "content_md5"]
+    return compare_with_previous(new, previous, hashes, steps, on).drop(*(f"{c}_prev" for c in hashes))
+
+
 def find_inserts(new: DataFrame, previous: DataFrame, on: str = "id", previous_on: str | None = None) -> DataFrame:
     return semi(new, previous, on, previous_on, keep=False)
 

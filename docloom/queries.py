@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.columns import is_zero_vector, iso_time, question_id
-from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, joins, project, publish, quality_checks, semantic, sets, text, transform
+from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, joins, project, publish, quality_checks, semantic, sets, text, transform, translate
 from docloom.plans import rules
+from docloom.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,9 +157,9 @@ def clean_replace_regex(spark, d):
     return text.replace_substrings(table(spark, d, "documents"), ["text"], ["(th|qu)e"], r"<\1>").select("doc_id", F.md5("text").alias("text_md5"))
 
 
-@registered("SELECT doc_id, md5(replace(text, '(a', '[a')) AS text_md5 FROM documents")
+@registered("SELECT doc_id, md5(replace(text || ' (a (b(a' || doc_id, '(a', '[a')) AS text_md5 FROM documents")
 def clean_replace_literal(spark, d):
-    return text.replace_substrings(table(spark, d, "documents"), ["text"], ["(a"], "[a").select("doc_id", F.md5("text").alias("text_md5"))
+    return text.replace_substrings(table(spark, d, "documents").withColumn("text", F.concat("text", F.lit(" (a (b(a"), "doc_id")), ["text"], ["(a"], "[a").select("doc_id", F.md5("text").alias("text_md5"))
 
 
 @registered("SELECT p_partkey, regexp_replace(regexp_replace(p_name, '[aeiou]', '', 'g'), ' +', '', 'g') AS p_name FROM part")
@@ -377,9 +380,9 @@ def cluster_uuid(spark, d):
     return aggregate.size_category(df, "cluster_id", 3).select("vec_id", "cluster_id", "cluster_uuid", "size_category")
 
 
-@registered("SELECT cluster_id FROM (SELECT label AS cluster_id, count(DISTINCT vec_id % 2) AS kinds, count(*) AS n FROM embeddings GROUP BY label) WHERE kinds = 1 AND n > 1")
+@registered("SELECT cluster_id FROM (SELECT label AS cluster_id, count(DISTINCT CASE WHEN label % 2 = 0 THEN label ELSE vec_id % 2 END) AS kinds, count(*) AS n FROM embeddings GROUP BY label) WHERE kinds = 1 AND n > 1")
 def cluster_static(spark, d):
-    return aggregate.static_clusters(table(spark, d, "embeddings").select(F.col("label").alias("cluster_id"), (F.col("vec_id") % 2).alias("previous")), "cluster_id", "previous")
+    return aggregate.static_clusters(table(spark, d, "embeddings").select(F.col("label").alias("cluster_id"), F.expr("CASE WHEN label % 2 = 0 THEN label ELSE vec_id % 2 END").alias("previous")), "cluster_id", "previous")
 
 
 @registered("SELECT conv_id, turn, md5('question: ' || role || '|answer: ' || text) AS question_id FROM conversations")
@@ -388,18 +391,19 @@ def question_ids(spark, d):
 
 
 def _questions(spark, d) -> DataFrame:
-    rows = table(spark, d, "conversations").where("turn < 2").select(F.col("conv_id").cast("string").alias("cluster_id"), F.concat_ws("-", "conv_id", "turn").alias("question_id"), F.concat(F.lit("s"), "turn").alias("source_id"), F.concat(F.lit("q"), "turn").alias("question"), F.concat(F.lit("a"), "conv_id").alias("answer"))
+    rows = table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("cluster_id"), F.concat_ws("-", "conv_id", "turn").alias("question_id"), F.concat(F.lit("s"), "turn").alias("source_id"), F.concat(F.lit("q"), "turn").alias("question"), F.concat(F.lit("a"), "conv_id").alias("answer"))
     return rows
 
 
-@registered("""WITH q AS (SELECT conv_id, turn, conv_id::VARCHAR AS cluster_id, conv_id || '-' || turn AS question_id, 's' || turn AS source_id, 'q' || turn AS question, 'a' || conv_id AS answer FROM conversations WHERE turn < 2)
+@registered("""WITH q AS (SELECT conv_id, turn, conv_id::VARCHAR AS cluster_id, conv_id || '-' || turn AS question_id, 's' || turn AS source_id, 'q' || turn AS question, 'a' || conv_id AS answer FROM conversations)
 SELECT cluster_id, question_id, source_id, question, answer, false AS is_sufficient FROM q WHERE conv_id % 3 = 0
 UNION ALL SELECT cluster_id, md5('question: all|answer: of ' || conv_id), source_id, 'all', 'of ' || conv_id, turn = 0 FROM q WHERE conv_id % 3 = 1""")
 def merge_results_explode(spark, d):
     q = _questions(spark, d)
     c = F.col("cluster_id").cast("bigint")
-    reply = F.to_json(F.struct(F.array(F.struct(F.lit("all").alias("question"), F.concat(F.lit("of "), "cluster_id").alias("answer"), F.array(F.concat("cluster_id", F.lit("-0")), F.concat("cluster_id", F.lit("-1")), F.lit("unknown")).alias("source_ids"), F.array(F.concat("cluster_id", F.lit("-0"))).alias("sufficient_ids"))).alias("items")))
-    responses = q.select("cluster_id").distinct().select("cluster_id", F.when(c % 3 == 0, F.lit(None)).when(c % 3 == 1, reply).otherwise("no json").alias("response"))
+    reply = F.to_json(F.struct(F.array(F.struct(F.lit("all").alias("question"), F.concat(F.lit("of "), "cluster_id").alias("answer"), F.array_append("ids", "unknown").alias("source_ids"), F.array(F.concat("cluster_id", F.lit("-0"))).alias("sufficient_ids"))).alias("items")))
+    clusters = q.groupBy("cluster_id").agg(F.collect_set("question_id").alias("ids"))
+    responses = clusters.select("cluster_id", F.when(c % 3 == 0, F.lit(None)).when(c % 3 == 1, reply).otherwise("no json").alias("response"))
     return semantic.expand_merge_results(q, responses)
 
 
@@ -411,7 +415,7 @@ def root_document_join(spark, d):
 
 @registered("SELECT o_orderkey, o_custkey % 2 = 0 AND o_custkey IN (SELECT c_custkey FROM customer) AS known FROM orders")
 def join_exists_flag(spark, d):
-    customers = table(spark, d, "customer").where("c_custkey % 2 = 0").withColumnRenamed("c_custkey", "o_custkey")
+    customers = table(spark, d, "customer").withColumn("o_custkey", F.expr("CASE WHEN c_custkey % 2 = 1 THEN -c_custkey ELSE c_custkey END"))
     return joins.exists_flag(table(spark, d, "orders"), customers, "o_custkey", "known").select("o_orderkey", "known")
 
 
@@ -464,6 +468,137 @@ def transform_mapping(spark, d):
     return transform.curate(transform.map_records(records, "value", mapping), ["url", "classification"]).select("id", "title", "content_type", "metadata_url")
 
 
+@registered("SELECT page_id::VARCHAR AS id, md5(list_aggregate(list_transform(range(0, 12), lambda i: 'part ' || i || ' of ' || page_id), 'string_agg', chr(10))) AS content_md5 FROM pages")
+def transform_wildcard(spark, d):
+    """Twelve parts of every document in their order."""
+    parts = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.struct(F.concat(F.lit("part "), i, F.lit(" of "), F.col("page_id")).alias("body")))
+    records = table(spark, d, "pages").select(F.to_json(F.struct("page_id", "url", parts.alias("parts"))).alias("value"))
+    rows = transform.map_records(records, "value", {"id": "$.page_id", "name": "$.url", "content": [{"data": "$.parts[*].body"}]})
+    # what stands between the parts is the mapping's own choice of blanks
+    return rows.select("id", F.md5(F.regexp_replace(F.trim("content_full"), r"\s*\n\s*", "\n")).alias("content_md5"))
+
+
+@registered(f"WITH {_LOADS} SELECT now.id, CASE WHEN now.md5 = before.md5 THEN 'N' WHEN before.md5 IS NULL THEN 'I' ELSE 'U' END AS action FROM now LEFT JOIN before ON now.id = before.id")
+def delta_left(spark, d):
+    return delta.compare_with_previous(*_loads(spark, d), ["md5"], [delta.Comparison("md5")]).select("id", "action")
+
+
+@registered("""WITH now AS (SELECT doc_id AS id, md5(text) AS md5, md5(lang) AS metadata_md5, md5(source) AS content_md5, doc_id % 13 = 5 AS expired FROM documents),
+    before AS (SELECT CASE WHEN id % 10 = 0 THEN -id - 1 ELSE id END AS id, CASE WHEN id % 7 = 0 THEN 'old' ELSE md5 END AS md5, CASE WHEN id % 14 = 0 THEN 'old' ELSE metadata_md5 END AS metadata_md5, CASE WHEN id % 14 = 7 THEN 'old' ELSE content_md5 END AS content_md5 FROM now)
+SELECT n.id, CASE WHEN expired THEN 'D' WHEN b.id IS NULL THEN 'I' WHEN n.md5 = b.md5 THEN 'N' ELSE 'U' END AS action,
+       CASE WHEN b.id IS NULL THEN 'I' WHEN n.metadata_md5 = b.metadata_md5 THEN 'N' ELSE 'U' END AS metadata_is_modified,
+       CASE WHEN b.id IS NULL THEN 'I' WHEN n.content_md5 = b.content_md5 THEN 'N' ELSE 'U' END AS content_is_modified
+FROM now AS n LEFT JOIN before AS b ON b.id = n.id""")
+def delta_transform_actions(spark, d):
+    """Action by hash, then by expiry; flags of metadata and content."""
+    now = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.md5("text").alias("md5"), F.md5("lang").alias("metadata_md5"), F.md5("source").alias("content_md5"), F.expr("CASE WHEN doc_id % 13 = 5 THEN TIMESTAMP '2000-01-01' END").alias("metadata_expiry"))
+    before = now.select(
+        F.expr("CASE WHEN id % 10 = 0 THEN -id - 1 ELSE id END").alias("id"), F.expr("CASE WHEN id % 7 = 0 THEN 'old' ELSE md5 END").alias("md5"),
+        F.expr("CASE WHEN id % 14 = 0 THEN 'old' ELSE metadata_md5 END").alias("metadata_md5"), F.expr("CASE WHEN id % 14 = 7 THEN 'old' ELSE content_md5 END").alias("content_md5"),
+    )
+    return delta.transform_actions(now, before).select("id", "action", "metadata_is_modified", "content_is_modified")
+
+
+@registered(f"WITH {_LOADS}, merged AS (SELECT id, md5, lang FROM now UNION ALL SELECT id, md5, lang FROM before WHERE NOT EXISTS (SELECT 1 FROM now WHERE now.id = before.id)) SELECT md5, lang, min(id) AS id FROM merged GROUP BY md5, lang")
+def delta_merge_dedupe(spark, d):
+    now, before = _loads(spark, d)
+    merged = delta.merge_loads(now, delta.processed_before(before, now))
+    return dedupe.remove_duplicates(merged, ["md5", "lang"], order_by=["id"])
+
+
+def _written(name: str, ending: str, sql: str) -> None:
+    def query(spark, d):
+        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-")
+        df = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"), F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
+        uri = sinks.write_table(df, f"{folder}/orders-{uuid.uuid4().hex}.{ending}")
+        return readers.read_table(spark, uri).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", iso_time(F.col("o_orderdate").cast("timestamp")).alias("o_orderdate"))
+
+    query.__name__ = f"sink_{name}"
+    registered(sql)(query)
+
+
+for _name, _ending in (("parquet", "parquet"), ("ndjson", "nd.json"), ("csv", "csv")):
+    _written(_name, _ending, "SELECT o_orderkey, o_custkey, o_totalprice, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS o_orderdate FROM orders")
+
+
+class _Answers:
+    """A chat that rates by the answer's first word, and translates into lower case all but what speaks of buildings."""
+
+    def answer(self, prompts):
+        return [self.reply(p) for p in prompts]
+
+    def reply(self, prompt):
+        if prompt.startswith("Translate"):
+            return None if "BUILDING" in prompt else prompt.split("\n", 1)[1].lower()
+        return '{"rating": "%s"}' % prompt.split("Answer: ", 1)[1].split(" ", 1)[0]
+
+
+@registered("SELECT c_custkey, c_mktsegment AS original_segment, CASE WHEN c_nationkey % 3 = 1 AND c_mktsegment <> 'BUILDING' THEN lower(c_mktsegment) ELSE c_mktsegment END AS translated_segment, CASE WHEN c_nationkey % 3 = 1 AND c_mktsegment = 'BUILDING' THEN 'de' ELSE 'en' END AS segment_language FROM customer WHERE c_nationkey % 3 < 2")
+def translate_columns(spark, d):
+    """Texts in the target language and those that fail stay; rows without a language go."""
+    df = table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), F.expr("CASE c_nationkey % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'de' END").alias("lang"))
+    return translate.translate(df, ["segment"], "lang", "en", _Answers).drop("lang")
+
+
+def _asked(spark, d) -> DataFrame:
+    return table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("question_id"), F.col("o_custkey").cast("string").alias("source_id"), F.concat(F.lit("q"), "o_orderkey").alias("question"),
+        F.expr("concat(element_at(array('consistent', 'extrinsic', 'unheard'), cast(o_orderkey % 3 + 1 AS int)), ' ', o_orderkey)").alias("answer"), F.when(F.col("o_orderkey") % 4 == 0, "U").otherwise("I").alias("action"),
+    )
+
+
+@registered("SELECT o_orderkey::VARCHAR AS question_id, CASE WHEN o_orderkey % 3 = 0 THEN 'consistent' ELSE 'extrinsic' END AS rating FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 3 < 2")
+def semantic_validate(spark, d):
+    documents = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("content"))
+    return semantic.validate(_asked(spark, d), documents, _Answers).select("question_id", "rating")
+
+
+@registered("SELECT o_orderkey::VARCHAR AS question_id FROM orders WHERE o_orderkey % 3 = 0")
+def semantic_consistent(spark, d):
+    return semantic.consistent_only(_asked(spark, d).withColumn("rating", F.substring_index("answer", " ", 1))).select("question_id")
+
+
+@registered("SELECT o_orderkey::VARCHAR AS question_id, CASE WHEN o_orderkey % 5 > 0 THEN 'N' WHEN o_orderkey % 4 = 0 THEN 'U' ELSE 'I' END AS action FROM orders")
+def semantic_actions(spark, d):
+    """Questions of an earlier output are unchanged; every fifth one has another id there."""
+    before = table(spark, d, "orders").select(F.expr("CASE WHEN o_orderkey % 5 = 0 THEN concat('x', o_orderkey) ELSE string(o_orderkey) END").alias("question_id"))
+    return semantic.question_actions(_asked(spark, d), before).select("question_id", "action")
+
+
+@registered("SELECT o_orderkey::VARCHAR AS question_id, c_custkey::VARCHAR AS id, c_name AS title, c_mktsegment AS action_source_article FROM orders JOIN customer ON c_custkey = o_custkey")
+def semantic_articles(spark, d):
+    articles = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("action"))
+    return semantic.with_articles(_asked(spark, d), articles).select("question_id", "id", "title", "action_source_article")
+
+
+@registered("SELECT conv_id, '[' || string_agg('{\"turn\":' || turn || ',\"role\":\"' || role || '\"}', ',' ORDER BY turn, role) || ']' AS records FROM conversations GROUP BY conv_id")
+def agg_prompt_records(spark, d):
+    return aggregate.group_records(table(spark, d, "conversations"), "conv_id", ["turn", "role"])
+
+
+@registered("""SELECT page_id::VARCHAR AS id, url AS title, 'about ' || page_id AS description, page_id % 2 = 0 AS is_public, md5(CASE WHEN length(html) <= 2000 THEN html ELSE 'chunk' END) AS document_md5,
+    page_id % 7 > 0 AS valid FROM pages""")
+def publish_chunks(spark, d):
+    """Records of chunks with whole short documents, and whether each is fit to be published."""
+    df = table(spark, d, "pages").select(
+        F.col("page_id").alias("chunk_id"), F.col("url").alias("title"), F.concat(F.lit("about "), "page_id").alias("metadata_description"), F.when(F.col("page_id") % 7 > 0, F.concat(F.lit("https://a.org/"), "page_id")).otherwise("nowhere").alias("metadata_url"),
+        F.when(F.col("page_id") % 2 == 0, "PUBLIC").otherwise("PRIVATE").alias("content_type"), F.col("html").alias("content"), F.lit("chunk").alias("chunk"), F.array(F.lit(1.0).cast("float")).alias("embedding"),
+    )
+    rows = publish.chunk_records(df, 2000)
+    return rows.select("id", "metadata.title", "metadata.description", "metadata.is_public", F.md5("document").alias("document_md5"), publish.valid_chunks(rows).alias("valid"))
+
+
+@registered("SELECT 'seg-' || c_mktsegment AS id, count(*) AS n_references, count(*) FILTER (WHERE c_custkey % 3 = 0) AS n_sufficient, min(c_name) AS first_title FROM customer GROUP BY c_mktsegment")
+def publish_questions(spark, d):
+    """One record a question, with its references and the places of those that suffice."""
+    df = table(spark, d, "customer").select(
+        F.concat(F.lit("seg-"), "c_mktsegment").alias("question_id"), F.lit("q").alias("question"), F.lit("a").alias("answer"), F.array(F.lit(1.0).cast("float")).alias("embedding"), F.format_string("%012d", "c_custkey").alias("source_id"),
+        F.col("c_name").alias("title"), F.lit("d").alias("metadata_description"), F.lit("u").alias("metadata_url"), F.lit("PUBLIC").alias("content_type"), (F.col("c_custkey") % 3 == 0).alias("is_sufficient"),
+    )
+    rows = publish.question_records(df)
+    return rows.select("id", F.size("metadata.references").cast("bigint").alias("n_references"), F.size("metadata.sufficient_references").cast("bigint").alias("n_sufficient"), F.array_min("metadata.references.title").alias("first_title"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
