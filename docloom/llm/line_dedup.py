@@ -308,7 +308,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Rows (id, th, line) of the lines that go, id filled and th the hash of the text."""
     source = _source(docs, id_col, text_col)
     parallel = docs.sparkSession.sparkContext.defaultParallelism
-    chars, lines = source.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0)), F.coalesce(F.sum(F.char_length("text") - F.char_length(F.translate("text", "\n", "")) + 1), F.lit(0))).first()
+    chars, lines = source.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0)), F.coalesce(F.sum(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1), F.lit(0))).first()
     bitmap, bits = _marked_ends(source, lines, max(parallel, -(-lines // 4_000_000)))
     buckets = max(parallel, -(-chars // CHARS_PER_BUCKET))
     firsts = cut(source.mapInArrow(_emit_lines(bitmap, bits, buckets), _LINES).repartition(buckets, "bucket").mapInArrow(_first_lines, _LINES))
