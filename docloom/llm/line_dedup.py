@@ -73,19 +73,30 @@ def end_keys(words: list[bytes]) -> list[int]:
     return keys
 
 
-def variants(words: list[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the variants of a line of NEAR_WORDS or more and the places of the missing words (_FULL for none)."""
+def variants(lines: list[list[bytes]], seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of lines of NEAR_WORDS or more, one after the other: hashes of their variants, the places of the missing words (_FULL for none), and the line of each."""
     import xxhash
 
-    n = len(words)
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) if seed else _WORDS[w] for w in words), np.uint64, n)
-    at = mix(np.arange(n + 1, dtype=np.uint64) + np.uint64(1))
-    stay = np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ at[1:]))])
-    full = np.array([stay[-1]], np.uint64)
-    moved = np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ at[:-1]))])
-    # the first word has no place to move to: what stands before it is taken off again
-    without = stay[:-1] + (moved[-1] - moved[1:])
-    return np.concatenate([mix(full ^ np.uint64(n)), mix(without ^ np.uint64(n - 1))]), np.concatenate([[_FULL], np.arange(n, dtype=np.uint32)])
+    counts = np.fromiter(map(len, lines), np.int64, len(lines))
+    n = int(counts.sum())
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) if seed else _WORDS[w] for words in lines for w in words), np.uint64, n)
+    line = np.repeat(np.arange(len(lines)), counts)
+    ends = np.cumsum(counts)
+    first, last = ends - counts, ends - 1
+    place = np.arange(n) - first[line]
+    at = mix(np.arange(counts.max(initial=0) + 1, dtype=np.uint64) + np.uint64(1))
+    # sums over all lines wrap around; differences inside a line are right all the same
+    here, moved = mix(h ^ at[place + 1]), mix(h ^ at[place])
+    stay, move = np.cumsum(here), np.cumsum(moved)
+    before = stay - here
+    full = stay[last] - before[first]
+    # the words before the missing one stay, those behind it move up by one place
+    without = before - before[first][line] + move[last][line] - move
+    sigs, places = np.empty(n + len(lines), np.uint64), np.full(n + len(lines), _FULL, np.uint32)
+    sigs[first + np.arange(len(lines))] = mix(full ^ counts.astype(np.uint64))
+    rest = np.arange(n) + line + 1
+    sigs[rest], places[rest] = mix(without ^ (counts - 1).astype(np.uint64)[line]), place
+    return sigs, places, np.repeat(np.arange(len(lines)), counts + 1)
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -206,18 +217,20 @@ def _emit_variants(buckets: int, seed: int, hash_bits: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                both = [variants(key.split(), seed) for key in row["words"].split(b"\n")]
-                sigs, places = (np.concatenate([b[k] for b in both]) for k in (0, 1))
+                sigs, places, owner = variants([key.split() for key in row["words"].split(b"\n")], seed)
                 sigs >>= np.uint64(64 - hash_bits)
-                owner = np.repeat(np.arange(len(both)), [len(b[0]) for b in both])
-                ids, ths, nos = (np.frombuffer(row[c], kind) for c, kind in _KINDS.items())
                 bucket = (sigs % np.uint64(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+                sigs, places, owner, bucket = (x[order] for x in (sigs, places, owner, bucket))
+                # a run is a line's variants in a bucket
+                heads = np.flatnonzero(np.concatenate([[True], (np.diff(bucket) != 0) | (np.diff(owner) != 0)]))
+                runs = np.diff(heads, append=len(owner)).astype(np.uint32)
+                columns = {c: np.frombuffer(row[c], kind)[owner[heads]] for c, kind in _KINDS.items()} | {"runs": runs}
+                cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
                 out = []
-                for part in np.split(order, cuts):
-                    own, runs = np.unique(owner[part], return_counts=True)
-                    out.append({"bucket": int(bucket[part[0]]), "ids": ids[own].tobytes(), "ths": ths[own].tobytes(), "lines": nos[own].tobytes(), "runs": runs.astype(np.uint32).tobytes(), "sigs": sigs[part].tobytes(), "places": places[part].astype(np.uint32).tobytes()})
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    i, j = np.searchsorted(heads, (a, b))
+                    out.append({"bucket": int(bucket[a]), **{c: x[i:j].tobytes() for c, x in columns.items()}, "sigs": sigs[a:b].tobytes(), "places": places[a:b].tobytes()})
                 yield pa.RecordBatch.from_pylist(out, _ARROW_VARIANTS)
             if len(_WORDS) > MOST_WORDS:
                 _WORDS.clear()
