@@ -47,13 +47,21 @@ def recursive_split(text: str, size: int = 2000, overlap: int = 200, separators:
     return [c.strip() for c in out if c.strip()]
 
 
-_SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"')\]]*\s+|\n{2,}")
+_SENTENCE = re.compile(r"(?<=[.!?…。！？])([\"')\]]*)\s+|\n{2,}")
+
+
+def sentences(text: str) -> list[str]:
+    """Sentences with the quotes and brackets that close them."""
+    out, start = [], 0
+    for end in _SENTENCE.finditer(text):
+        out.append(text[start : end.start() if end[1] is None else end.end(1)])
+        start = end.end()
+    return [s.strip() for s in (*out, text[start:]) if s.strip()]
 
 
 def sentence_split(text: str, size: int = 1000, overlap: int = 200, length: Callable[[str], int] = len) -> list[str]:
     """Chunks of whole sentences (ended by a mark and white space, or a blank line); a longer sentence is cut at spaces."""
-    sentences = [s.strip() for s in _SENTENCE.split(text) if s and s.strip()]
-    parts = [p for s in sentences for p in ([s] if length(s) <= size else recursive_split(s, size, 0, (" ", ""), length))]
+    parts = [p for s in sentences(text) for p in ([s] if length(s) <= size else recursive_split(s, size, 0, (" ", ""), length))]
     return _with_overlap(parts, size, overlap, length, " ")
 
 

@@ -51,6 +51,12 @@ def static_clusters(df: DataFrame, key: str, previous: str) -> DataFrame:
     return per.crossJoin(F.broadcast(least)).where("kinds = 1 AND n > 1 AND least >= 0").select(key)
 
 
+def head_values(df: DataFrame, key: str, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Per key the values of its first row; among rows of the same order the least values."""
+    first = F.min_by(F.struct(*columns), F.struct(*order_by, *(F.col(c).alias(f"__{c}") for c in columns)))
+    return df.groupBy(key).agg(first.alias("__head")).select(key, "__head.*")
+
+
 def group_records(df: DataFrame, key: str, columns: Sequence[str], out: str = "records") -> DataFrame:
     """One JSON list of records per key, for prompts."""
     return df.groupBy(key).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*columns)))).alias(out))

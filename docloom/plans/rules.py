@@ -6,7 +6,8 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from docloom.errors import RuleError
 from docloom.operators import dedupe, filters, text
@@ -48,3 +49,14 @@ def clean(df: DataFrame, rules: Sequence[Mapping[str, Any]], hooks: Hooks | None
     """All rules in order, then the ``documents_clean`` hook. Catalyst merges the filters; nothing is counted between."""
     out = reduce(lambda d, r: rule(r)(d), rules, df)
     return hooks.apply("documents_clean", out) if hooks else out
+
+
+def removed_counts(df: DataFrame, rules: Sequence[Mapping[str, Any]]) -> DataFrame:
+    """(step, rule, rows, removed) of each rule in order: the rows that it leaves and those that it takes out. A report: each step is counted in a run of its own."""
+    counts, out = [df.agg(F.count("*").alias("rows")).select(F.lit(0).alias("step"), F.lit("").alias("rule"), "rows")], df
+    for step, spec in enumerate(rules, 1):
+        out = rule(spec)(out)
+        counts.append(out.agg(F.count("*").alias("rows")).select(F.lit(step).alias("step"), F.lit(str(spec.get("rule") or spec.get("type"))).alias("rule"), "rows"))
+    # one row a rule
+    before = F.lag("rows").over(Window.partitionBy(F.lit(0)).orderBy("step"))
+    return reduce(DataFrame.unionAll, counts).withColumn("removed", before - F.col("rows")).where("step > 0")

@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.columns import is_zero_vector, iso_time, question_id
+from docloom.functions.columns import is_refusal, is_zero_vector, iso_time, question_id
+from docloom.functions.splitters import SEPARATORS, Strategy
 from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, joins, project, publish, quality_checks, semantic, sets, text, transform, translate
 from docloom.plans import rules
 from docloom.sources import readers, sinks
@@ -547,6 +548,118 @@ def _asked(spark, d) -> DataFrame:
     )
 
 
+class _Titles:
+    """A chat that names the title of a prompt, in questions also the customer's segment; it fails on those that name building sites."""
+
+    def answer(self, prompts):
+        return [self.reply(p) for p in prompts]
+
+    def reply(self, prompt):
+        title, rest = prompt.split("# ", 1)[1].split("\n", 1)
+        if rest == "BUILDING":
+            return None
+        return '{"items": [{"question": "%s", "answer": "%s"}, {"question": "who", "answer": "%s"}]}' % (title, rest, title) if prompt.startswith("Turn") else title
+
+
+@registered("SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_name END AS metadata_description, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_name END AS metadata_keywords FROM customer")
+def metadata_generated(spark, d):
+    """Two generated columns; a failed call leaves an empty text."""
+    df = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("title"), F.col("c_mktsegment").alias("translated_chunk"), F.lit("en").alias("chunk_language"))
+    return embed.generate_metadata(df, ["description", "keywords"], _Titles).select("c_custkey", "metadata_description", "metadata_keywords")
+
+
+@registered("""WITH q AS (SELECT c_custkey::VARCHAR AS source_id, unnest([c_name, 'who']) AS question, unnest([c_mktsegment, c_name]) AS answer FROM customer WHERE c_mktsegment <> 'BUILDING')
+SELECT source_id, question, answer, 'en' AS language, md5('question: ' || question || '|answer: ' || answer) AS question_id, md5(md5('question: ' || question || '|answer: ' || answer) || '|' || source_id) AS question_uuid FROM q""")
+def questions_created(spark, d):
+    df = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("content"), F.lit("en").alias("metadata_language"))
+    return semantic.create_questions(df, _Titles)[0]
+
+
+@registered("SELECT c_custkey::VARCHAR AS id FROM customer WHERE c_mktsegment = 'BUILDING'")
+def questions_failed(spark, d):
+    """Articles for which the model has no answer, after all attempts."""
+    df = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("content"), F.lit("en").alias("metadata_language"))
+    return semantic.create_questions(df, _Titles)[1].select("id")
+
+
+@registered("SELECT o_custkey, o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nth FROM orders) WHERE nth = 1")
+def cluster_heads(spark, d):
+    return aggregate.head_values(table(spark, d, "orders"), "o_custkey", ["o_orderkey", "o_orderpriority"], ["o_orderdate"])
+
+
+@registered("SELECT c_custkey, c_custkey % 4 = 0 OR c_custkey % 4 = 3 AS refused FROM customer")
+def refusal_flag(spark, d):
+    """Refusals in an answer's first line; later lines do not count."""
+    answer = F.expr("""element_at(array(concat("I'm unable to provide a translation of ", c_name), concat(c_name, '\nI cannot help with the request'), c_name, concat('Sorry, but it seems there was a typo in ', c_name)), cast(c_custkey % 4 + 1 AS int))""")
+    return table(spark, d, "customer").select("c_custkey", is_refusal(answer).alias("refused"))
+
+
+@registered("SELECT o_orderkey, coalesce(nullif(o_custkey, 7) > 500, false) AS valid FROM orders")
+def split_validity(spark, d):
+    """Both parts of a split together; what is neither true nor false is not valid."""
+    good, bad = filters.split_valid(table(spark, d, "orders"), F.nullif("o_custkey", F.lit(7)) > 500)
+    return good.select("o_orderkey", F.lit(True).alias("valid")).unionAll(bad.select("o_orderkey", F.lit(False).alias("valid")))
+
+
+@registered("""WITH a AS (SELECT * FROM orders WHERE o_totalprice > 100000), b AS (SELECT * FROM a WHERE regexp_matches(o_orderpriority, 'high|urgent', 'i'))
+SELECT 1 AS step, 'filter_by_column' AS rule, (SELECT count(*) FROM a) AS rows, (SELECT count(*) FROM orders) - (SELECT count(*) FROM a) AS removed
+UNION ALL SELECT 2, 'filter_by_match', (SELECT count(*) FROM b), (SELECT count(*) FROM a) - (SELECT count(*) FROM b)
+UNION ALL SELECT 3, 'remove_duplicates', (SELECT count(DISTINCT o_custkey) FROM b), (SELECT count(*) - count(DISTINCT o_custkey) FROM b)""")
+def clean_removed_counts(spark, d):
+    return rules.removed_counts(table(spark, d, "orders"), [
+        {"rule": "filter_by_column", "column": "o_totalprice", "operator": ">", "value": 100000},
+        {"rule": "filter_by_match", "column": "o_orderpriority", "value": "high|urgent"},
+        {"rule": "remove_duplicates", "columns": ["o_custkey"], "order_by": ["o_orderkey"]},
+    ])
+
+
+def _scratch(spark) -> str:
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='docloom-')}/scratch-{uuid.uuid4().hex}"
+
+
+@registered("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 > 0")
+def scan_ndjson_tolerant(spark, d):
+    """Broken lines and blank ones behind each drop out."""
+    folder = _scratch(spark) + ".nd.json"
+    line = F.to_json(F.struct("c_custkey", "c_name"))
+    table(spark, d, "customer").select(F.when(F.col("c_custkey") % 4 > 0, line).otherwise(F.concat(F.substring(line, F.lit(1), F.length(line) - 1), F.lit("\n")))).write.text(folder)
+    value = F.parse_json("value")
+    return readers.read_records(spark, folder).select(F.variant_get(value, "$.c_custkey", "bigint").alias("c_custkey"), F.variant_get(value, "$.c_name", "string").alias("c_name"))
+
+
+@registered("SELECT c_custkey, 'run-3' AS run FROM customer")
+def latest_output(spark, d):
+    """Of three runs' outputs the one whose name is the greatest."""
+    folder = _scratch(spark)
+    for run in (1, 3, 2):
+        sinks.write_table(table(spark, d, "customer").select("c_custkey", F.lit(f"run-{run}").alias("run")), f"{folder}/customer-{run}.parquet")
+    return readers.latest_table(spark, f"{folder}/customer-*.parquet")
+
+
+@registered("SELECT unnest(['classification', 'even', 'odd', 'url']) AS key")
+def metadata_key_union(spark, d):
+    """The keys that any record's metadata has; the classification is there whether mapped or not."""
+    value = F.to_json(F.struct("page_id", "url", F.expr("CASE WHEN page_id % 2 = 0 THEN page_id END").alias("e"), F.expr("CASE WHEN page_id % 2 = 1 THEN page_id END").alias("o")))
+    records = transform.map_records(table(spark, d, "pages").select(value.alias("value")), "value", {"id": "$.page_id", "name": "$.url", "metadata": {"url": "$.url", "even": "$.e", "odd": "$.o"}, "content": [{"data": "$.url"}]})
+    return spark.createDataFrame([(k,) for k in transform.metadata_keys(records)], "key string")
+
+
+def _joined_chunks(name: str, kind: str) -> None:
+    def query(spark, d):
+        rows = chunk.chunk_documents(table(spark, d, "documents").select("doc_id", "text"), Strategy(kind, kind, 300, 0, SEPARATORS, None), "text", "doc_id")
+        parts = F.array_sort(F.collect_list(F.struct(F.substring_index("chunk_id", "-", -1).cast("int").alias("at"), "chunk")))
+        whole = F.array_join(F.transform(parts, lambda x: x["chunk"]), "")
+        return rows.groupBy("doc_id").agg(F.md5(F.regexp_replace(whole, r"\s+", "")).alias("letters_md5"), (F.max(F.length("chunk")) <= 300).alias("within"))
+
+    query.__name__ = f"chunk_{name}_whole"
+    registered(r"SELECT doc_id, md5(regexp_replace(text, '\s+', '', 'g')) AS letters_md5, true AS within FROM documents WHERE regexp_matches(text, '\S')")(query)
+
+
+# chunks without overlap keep within their size and give the whole text, but for the white space between them
+for _name, _kind in (("recursive", "recursive"), ("sentences", "nltk")):
+    _joined_chunks(_name, _kind)
+
+
 @registered("SELECT o_orderkey::VARCHAR AS question_id, CASE WHEN o_orderkey % 3 = 0 THEN 'consistent' ELSE 'extrinsic' END AS rating FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 3 < 2")
 def semantic_validate(spark, d):
     documents = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("content"))

@@ -182,3 +182,19 @@ def test_throttle():
         raise ModelCallError("busy")
 
     assert limit.call(refuse) is None and slept[0] == 1.0 and slept[1] == 60.0
+
+
+def test_sentences_keep_what_closes_them():
+    from docloom.functions.splitters import sentence_split, sentences
+
+    text = 'He said "no." (Then he left.) She\n\nstayed [there!]  Why?'
+    assert sentences(text) == ['He said "no."', "(Then he left.)", "She", "stayed [there!]", "Why?"]
+    assert "".join("".join(sentence_split(text, 20, 0)).split()) == "".join(text.split())
+
+
+def test_head_values(spark):
+    from docloom.operators.aggregate import head_values
+
+    df = spark.createDataFrame([(1, 2, "b"), (1, 1, "z"), (1, 1, "a"), (2, 5, None), (None, 3, "n")], "k int, at int, v string")
+    assert {tuple(r) for r in head_values(df, "k", ["v"], ["at"]).collect()} == {(1, "a"), (2, None), (None, "n")}
+    assert head_values(df.limit(0), "k", ["v"], ["at"]).count() == 0
