@@ -636,9 +636,9 @@ def latest_output(spark, d):
     return readers.latest_table(spark, f"{folder}/customer-*.parquet")
 
 
-@registered("SELECT unnest(['classification', 'even', 'odd', 'url']) AS key")
+@registered("SELECT unnest(['classification', 'even', 'language', 'odd', 'type', 'url']) AS key")
 def metadata_key_union(spark, d):
-    """The keys that any record's metadata has; the classification is there whether mapped or not."""
+    """The keys that any record's metadata has; classification, language and type are there whether mapped or not."""
     value = F.to_json(F.struct("page_id", "url", F.expr("CASE WHEN page_id % 2 = 0 THEN page_id END").alias("e"), F.expr("CASE WHEN page_id % 2 = 1 THEN page_id END").alias("o")))
     records = transform.map_records(table(spark, d, "pages").select(value.alias("value")), "value", {"id": "$.page_id", "name": "$.url", "metadata": {"url": "$.url", "even": "$.e", "odd": "$.o"}, "content": [{"data": "$.url"}]})
     return spark.createDataFrame([(k,) for k in transform.metadata_keys(records)], "key string")
