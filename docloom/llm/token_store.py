@@ -41,21 +41,30 @@ from pyspark.sql import functions as F
 from docloom.llm.jaccard_join import _blocks, mix
 from docloom.llm.shared import cut
 
+#: AVERAGE is a power of two.
 WINDOW, AVERAGE, MOST = 8, 256, 4096
 #: Children of a node of the Merkle tree.
 FAN = 1024
 END_ID = 1
-_REMEMBERED = 1_200_000
+_REMEMBERED = 1_130_000
+#: Marks behind a word of ASCII letters, which the tokenizer's pattern always sets apart from it.
+_MARKS = b".,;:!?"
 _OPEN: dict = {}
 
 
 class WordEncoder:
-    """Ids of texts by way of their words: the tokenizer drops white space and joins nothing across it, so each distinct word is encoded once."""
+    """Ids of texts by way of their words: the tokenizer drops white space and joins nothing across it, so each distinct word is encoded once.
+
+    A word of ASCII letters is a single pre-token, and so is a run of marks behind it: the letters go to the library's model
+    with nothing but blanks to look for, once for all the marks that follow them.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         # texts with one of these go to the library as they are: a special token may reach over blanks and ends what stands before it
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
@@ -63,10 +72,24 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
+        marked, other, known = [], [], self.known
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            # of bytes, letters are those of ASCII
+            marked.append((word, stem, word[len(stem) :])) if stem.isalpha() else other.append(word)
+        stems = {s for _, s, _ in marked}.difference(known)
+        tails = {t for _, _, t in marked}.difference(known)
+        for some, tokenizer in ((list(stems), self.letters), (list(tails.union(other)), self.tokenizer)):
+            for i in range(0, len(some), 20_000):
+                self._learn(some[i : i + 20_000], tokenizer)
+        for word, stem, tail in marked:
+            known[word] = known[stem] + known[tail]
+
+    def _learn(self, words: list[bytes], tokenizer) -> None:
         """Words in one text, apart by blanks; their tokens are told apart by where they stand in it."""
         texts = [w.decode("utf-8", "replace") for w in words]
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(found.ids, self.kind)
         at = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
         bounds = np.searchsorted(at, np.concatenate([[0], np.cumsum(lengths)])).tolist()
@@ -81,9 +104,7 @@ class WordEncoder:
         # bytes split at ASCII white space only, which is white space by any definition; other stays inside the words.
         # The tokenizer lowers all letters, so lowering those of ASCII first only makes fewer words
         split = [[] if i in whole else (t or "").encode("utf-8", "replace").lower().split() for i, t in enumerate(texts)]
-        new = list(set().union(*split).difference(self.known))
-        for i in range(0, len(new), 20_000):
-            self.learn(new[i : i + 20_000])
+        self.learn(list(set().union(*split).difference(self.known)))
         return [whole[i] if i in whole else b"".join(map(self.known.__getitem__, words)) for i, words in enumerate(split)]
 
 
@@ -105,7 +126,7 @@ def cuts(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
     # a window that reaches over a document's start does not cut
     starts = np.concatenate([[0], ends[:-1]])
     inside = np.arange(len(ids)) - np.repeat(starts, np.diff(np.concatenate([[0], ends]))) >= WINDOW
-    found = np.flatnonzero(inside & (mix(rolled) % np.uint64(AVERAGE) == 0)) + 1
+    found = np.flatnonzero(inside & (mix(rolled) & np.uint64(AVERAGE - 1) == 0)) + 1
     found = np.union1d(found, ends)
     sizes = np.diff(np.concatenate([[0], found]))
     if sizes.max(initial=0) > MOST:
