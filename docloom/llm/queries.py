@@ -6,10 +6,10 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, quality, token_counts, token_store, toxicity
+from docloom.llm import byte_bpe, chat, decontaminate, fingerprints, jaccard_join, line_dedup, quality, runs, token_counts, token_store, topk, toxicity, whitening
 from docloom.llm.shared import shared_dir
 
 
@@ -91,6 +91,46 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.col("n_removed").cast("bigint").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all vectors for every fiftieth one, by inner products of whole numbers."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = topk.top_k(rows.where(F.col("id") % 50 == 0), rows, k=5, scale=256)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 widest components of all, each with variance 1."""
+    made = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000, id_col="vec_id", vector_col="embedding")
+    return made.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def looped_tail(doc_id: Column, text: Column) -> Column:
+    """The text; of a tenth of the documents with the words from some place on replaced by repeats of the first few of them."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def looped(s: Column) -> Column:
+        w, n = s["w"], s["n"]
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.when(n > 0, F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int")))), " ")).otherwise("")
+
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    counted = F.transform(F.array(words), lambda w: F.struct(w.alias("w"), F.size(w).cast("bigint").alias("n")))
+    return F.when(h % 10 == 0, F.transform(counted, looped)[0]).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of four periods or more in the words of every document, some of which get one first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", looped_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.periodic_runs(docs).withColumn("best", runs.greatest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), *(F.col("best")[c].alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(runs.written(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -102,6 +142,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_exact_topk": op11_exact_topk,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: DuckDB SQL for those that SQL can express over whole tables; the others are tested against brute force.
@@ -151,6 +194,18 @@ WITH RECURSIVE doc AS (
 )
 SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
 FROM doc AS d LEFT JOIN size AS s USING (doc_id) LEFT JOIN least AS l ON l.node = d.doc_id
+""",
+    "op11_exact_topk": r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.x, v.x)::BIGINT AS score
+    FROM v AS q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+WHERE rank <= 5
 """,
     "op4_chat_format": r"""
 WITH turns AS (
