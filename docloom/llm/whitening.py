@@ -42,8 +42,10 @@ def _matrix(rows: DataFrame, column: str, width: int) -> RowMatrix:
     return RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "row"), 0, width)
 
 
-def _finite(vector: Column) -> Column:
-    return F.coalesce(F.forall(vector, lambda c: c.isNotNull() & (F.abs(c) < F.lit(float("inf")))), F.lit(False))
+def _whole(vector: Column, scale: int, offset: int) -> Column:
+    """The components as whole numbers, null where one is null or not finite."""
+    whole = F.transform(vector, lambda c: F.when(F.abs(c) < F.lit(float("inf")), F.floor(scale * c.cast("double")) + F.lit(offset).cast("bigint")))
+    return F.when(F.forall(whole, lambda x: x.isNotNull()), whole)
 
 
 def _sums(rows: DataFrame) -> tuple[int, list[int]]:
@@ -62,7 +64,7 @@ def whiten(vectors: DataFrame, components: int = 32, scale: int = 64, offset: in
     ``deviation`` is the sum of (n * x - S)^2 over the dimensions, ``explained`` the component's share of the total
     variance, ``identity_error`` the largest distance of the whitened rows' covariance from the identity.
     """
-    rows = vectors.where(_finite(F.col(vector_col))).select(F.col(id_col).alias("__id"), F.transform(vector_col, lambda c: F.floor(scale * c.cast("double")) + F.lit(offset).cast("bigint")).alias("x"))
+    rows = vectors.select(F.col(id_col).alias("__id"), _whole(F.col(vector_col), scale, offset).alias("x"))
     kind = dict(rows.dtypes)["__id"]
     schema = f"`{id_col}` {kind}, component int, n bigint, deviation decimal(38,0), whitened double, explained double, identity_error double"
     n, sums = _sums(rows)
@@ -71,7 +73,7 @@ def whiten(vectors: DataFrame, components: int = 32, scale: int = 64, offset: in
     width = len(sums)
     moved = F.transform("x", lambda x, i: x * n - F.get(F.array(*(F.lit(s).cast("bigint") for s in sums)), i))
     squares = F.aggregate("moved", F.lit(0).cast("decimal(38,0)"), lambda total, d: (total + d.cast("decimal(19,0)") * d.cast("decimal(19,0)")).cast("decimal(38,0)"))
-    rows = rows.where(F.size("x") == width).select("__id", moved.alias("moved"))
+    rows = rows.where(F.coalesce(F.size("x") == width, F.lit(False))).select("__id", moved.alias("moved"))
     rows = rows.select("__id", squares.alias("deviation"), F.transform("moved", lambda d: d / F.lit(n)).alias("centred"))
     variance = rows.agg(F.sum(F.col("deviation").cast("double"))).first()[0] / n / n / n
     if not variance:
