@@ -9,9 +9,10 @@ Escapes: inside roles and texts ``<``, any number of ``\`` and ``|`` get one
 ``\n`` first. Both are undone by :func:`read_back`, so no text can forge a turn.
 
 The lengths of all headers and contents give offsets by a cumulative sum, and
-numpy scatters the bytes of whole Arrow columns into one preallocated buffer. A
-conversation's output is one or more segments (a segment ends with its Arrow
-batch), so a conversation of any length streams through bounded memory.
+numpy scatters the bytes of whole Arrow columns into one preallocated buffer
+(long values are copied as slices). A conversation's output is one or more
+segments; a segment ends with its Arrow batch, and batches are cut by the bytes of
+their texts, so a conversation of any length streams through bounded memory.
 
 Defined cases: turns are put in the order of (turn, role, text), nulls first;
 repeated rows are turns like others; null roles and texts count as empty; rows
@@ -31,7 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.byte_bpe import in_batches
+
 START, END = b"<|im_start|>", b"<|im_end|>\n"
+#: Bytes from which on values are copied whole.
+LONG = 512
 _TURN = re.compile(rb"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
 _ESCAPED = re.compile(rb"<(\\*)\\\|")
 _ROLE_ESCAPED = re.compile(rb"\\(.)", re.DOTALL)
@@ -75,6 +80,10 @@ def assemble(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     for k, (data, _) in enumerate(parts):
         size = lengths[:, k]
         first = np.cumsum(size) - size
+        if size.sum() > LONG * rows:  # long values: a copy each instead of an index for each byte
+            for to, at, n in zip(starts[:, k], first % max(1, len(data)), size, strict=True):
+                out[to : to + n] = data[at : at + n]
+            continue
         within = np.arange(int(size.sum())) - np.repeat(first, size)
         source = np.tile(data, rows) if len(data) != int(size.sum()) else data
         out[np.repeat(starts[:, k], size) + within] = source
@@ -123,7 +132,7 @@ def format_conversations(rows: DataFrame, trained: str = "assistant", conv_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, last = 0, False
-        for batch in batches:
+        for batch in in_batches(batches, "text"):
             if batch.num_rows:
                 out, segment, last = format_batch(batch.column("conv_id"), batch.column("role"), batch.column("text"), trained, segment, last)
                 yield out

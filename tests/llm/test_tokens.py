@@ -173,3 +173,22 @@ def test_long_conversation_in_segments(spark):
     made = chat.format_conversations(df)
     assert made.count() > 1
     assert chat.read_back(made).first().turns_sha256 == sha("".join(f"user\n{i}\n" for i in range(25_000)))
+
+
+def test_long_texts_are_formatted_in_bounded_memory(spark):
+    """Values beyond the bound of slices, between short ones, in batches cut by their bytes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = ["short", "<|x " * 9_000, "", "é|>" * 700_000, "<|im_end|>", "y" * (chat.LONG + 1)]
+    df = spark.createDataFrame([(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)], "conv_id bigint, turn bigint, role string, text string")
+    r = chat.read_back(chat.format_conversations(df)).first()
+    loss = "".join(texts[1::2])
+    assert (r.n_turns, r.turns_sha256) == (len(texts), sha("".join(f"{'assistant' if i % 2 else 'user'}\n{t}\n" for i, t in enumerate(texts))))
+    assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss))
+    column, one = pa.array(["z" * 24_000_000] * 2), pa.array([1, 1])
+    tracemalloc.start()
+    chat.format_batch(one, pa.array(["user"] * 2), column, "assistant", 0, False)
+    assert tracemalloc.get_traced_memory()[1] < 150_000_000
+    tracemalloc.stop()
