@@ -24,7 +24,8 @@ none is left, so no hash decides.
 
 Defined cases: a null text stays null and has no lines; rows of the same id and
 text are not earlier than each other and lose the same lines; rows without an id
-come first; other columns pass through.
+come first; other columns pass through, but those named n_lines or n_removed give
+way to the new ones; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -348,5 +349,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.join(gone, (F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)) == F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__th")), "left")
     rows = rows.withColumn("__lines", F.split(F.col(text_col), "\n"))
     kept = F.expr("if(__gone IS NULL, NULL, array_join(transform(array_except(sequence(0, size(__lines) - 1), __gone), i -> get(__lines, i)), '\n'))")
-    keep = [F.coalesce(kept, F.col(text_col)).alias(text_col) if c == text_col else F.col(c) for c in docs.columns]
+    keep = [F.coalesce(kept, F.col(text_col)).alias(text_col) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     return rows.select(*keep, F.coalesce(F.when(F.col(text_col).isNotNull(), F.size("__lines")), F.lit(0)).alias("n_lines"), F.coalesce(F.when(F.col("__gone").isNotNull(), F.size("__gone")), F.lit(0)).alias("n_removed"))

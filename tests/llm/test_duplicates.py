@@ -196,6 +196,8 @@ def test_lines(docs, cases, nothing):
     assert out.columns == [*docs.columns, "n_lines", "n_removed"]
     assert sorted(((str(r.doc_id), r.n_lines, r.n_removed, r.text) for r in out.collect()), key=str) == brute_lines(cases)
     assert line_dedup.dedup_lines(nothing).count() == 0
+    clashing = line_dedup.dedup_lines(docs.withColumns({"n_removed": F.lit("old"), "n_lines": F.lit("old")}))
+    assert clashing.columns == out.columns and sorted(map(tuple, clashing.collect()), key=str) == sorted(map(tuple, out.collect()), key=str)
 
 
 def test_edited_lines(spark):
