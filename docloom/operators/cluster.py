@@ -2,94 +2,310 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import product
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from math import isqrt
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.graph import connected_components
 from docloom.session import materialize
 
-#: Coordinates by which vectors are put into cells as wide as the radius.
-CELL_AXES = 3
-#: Vectors of a cell that travel together: an Arrow batch holds up to ten thousand pairs of such lists.
-LIST = 64
+#: Most pivots, and most numbers they may have together (they travel with each task); they are chosen from a sample four times as large.
+MOST_PIVOTS, PIVOT_NUMBERS = 2048, 500_000
+#: Numbers of a list of vectors, which a task holds at once; a larger cell is dealt into as many lists as it needs.
+LIST_NUMBERS = 500_000
+#: Axes of the first, cheap bound, vectors that are compared at a time, and rows that are sent at a time.
+BOUND_AXES, PIECE, SENT = 8, 512, 10_000
+#: A share of pairs up to which those that pass the first bound are compared one by one.
+FEW = 0.1
 
 
-def _within(eps: float):
-    """Pairs of two lists of vectors (of one, if they are the same list) within eps."""
+@dataclass(frozen=True)
+class Cells:
+    """Vectors by their nearest pivot; of each cell its lists and the rings that hold its vectors' distances from the pivot."""
 
-    def pairs(ids, x, other_ids, y, same: bool):
-        x64, y64 = x.astype(np.float64), y.astype(np.float64)
-        about = (x64 * x64).sum(1)[:, None] + (y64 * y64).sum(1)[None, :] - 2 * x64 @ y64.T
-        scale = 1 + np.abs(x64).max(initial=0) ** 2 * max(1, x64.shape[1]) + np.abs(y64).max(initial=0) ** 2 * max(1, y64.shape[1])
-        i, j = np.nonzero(about <= eps * eps + 1e-9 * scale)
+    pivots: np.ndarray
+    order: np.ndarray  # axes, those on which the pivots differ most first
+    between: np.ndarray  # distances of the pivots
+    lists: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    @property
+    def width(self) -> int:
+        return self.pivots.shape[1]
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        """From each vector to each pivot; infinite where a square leaves a double."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            out = np.empty((len(x), len(self.pivots)))
+            for k, pivot in enumerate(self.pivots):
+                out[:, k] = np.sqrt(((x - pivot) ** 2).sum(axis=1))
+        return out
+
+    def reached(self, away: np.ndarray, home: np.ndarray, eps: float) -> np.ndarray:
+        """Which other cells may hold a vector within eps.
+
+        Such a vector lies beyond the plane between the two pivots, so the plane is no farther than eps; and its distance
+        from its pivot differs from this vector's by eps at most. What cannot be told (infinities) counts as reached.
+        """
+        own = away[np.arange(len(away)), home][:, None]
+        with np.errstate(over="ignore", invalid="ignore"):
+            slack, squares = 1e-9 * (1 + own + away), 1e-9 * (1 + own * own + away * away)
+            apart = away * away - own * own > 2 * eps * self.between[home] + squares
+            apart |= (away > self.high + eps + slack) | (away < self.low - eps - slack)
+        apart |= self.lists == 0
+        apart[np.arange(len(away)), home] = True
+        return ~apart
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """The first ``width`` numbers of each list, zeros where there are fewer."""
+    sizes = np.asarray(column.value_lengths(), np.int64)
+    flat = np.asarray(column.flatten(), np.float64)
+    if (sizes == width).all():
+        return flat.reshape(-1, width)
+    out = np.zeros((len(sizes), width))
+    starts = np.cumsum(sizes) - sizes
+    for k in range(len(sizes)):
+        n = min(int(sizes[k]), width)
+        out[k, :n] = flat[starts[k] : starts[k] + n]
+    return out
+
+
+class _Side:
+    """Vectors on one side of a comparison."""
+
+    def __init__(self, batch: pa.RecordBatch, cells: Cells):
+        self.ids = batch.column("id").to_numpy(zero_copy_only=False)
+        self.away = batch.column("away").to_numpy()
+        vectors = batch.column("v")
+        self.sizes = np.asarray(vectors.value_lengths(), np.int64)
+        self.x = _matrix(vectors, cells.width)
+        # vectors of other lengths are compared one by one
+        self.whole = None if (self.sizes == cells.width).all() else [np.asarray(v.values, np.float64) for v in vectors]
+        self.leading = self.x[:, cells.order[:BOUND_AXES]]
+
+    def __getitem__(self, rows: slice) -> _Side:
+        part = object.__new__(_Side)
+        part.ids, part.away, part.sizes, part.x, part.leading = (a[rows] for a in (self.ids, self.away, self.sizes, self.x, self.leading))
+        part.whole = self.whole and self.whole[rows]
+        return part
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+
+def _together(sides: list[_Side]) -> _Side:
+    out = object.__new__(_Side)
+    for name in ("ids", "away", "sizes", "x", "leading"):
+        setattr(out, name, np.concatenate([getattr(s, name) for s in sides]))
+    out.whole = None if all(s.whole is None for s in sides) else [v for s in sides for v in (s.whole or list(s.x))]
+    return out
+
+
+def _beyond(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
+    """Pairs that are surely farther apart than eps, by the squares and the product of all."""
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    with np.errstate(invalid="ignore"):
+        return xx[:, None] + yy[None, :] - 2 * (x @ y.T) > eps * eps + 1e-9 * (1 + xx[:, None] + yy[None, :])
+
+
+def _near(own: _Side, other: _Side, eps: float, same: bool, count) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and distance of the pairs within eps.
+
+    Rings round the cell's pivot come first, then the distance on the leading axes; only what neither rules out is compared
+    on all axes, in the end number by number in the order of the axes.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        left = ~(np.abs(own.away[:, None] - other.away[None, :]) > eps + 1e-9 * (1 + own.away[:, None] + other.away[None, :]))
+        left &= own.sizes[:, None] == other.sizes[None, :]
         if same:
-            i, j = i[i < j], j[i < j]
-        # exactly, in the order of the coordinates
+            left &= np.arange(len(own))[:, None] < np.arange(len(other))[None, :]
+        count("met", len(own) * (len(own) - 1) // 2 if same else left.size)
+        left &= ~_beyond(own.leading, other.leading, eps)
+        count("compared", int(left.sum()))
+        if left.mean() > FEW:
+            left &= ~_beyond(own.x, other.x, eps)
+        i, j = np.nonzero(left)
         total = np.zeros(len(i))
-        for k in range(x64.shape[1]):
-            total += (x64[i, k] - y64[j, k]) * (x64[i, k] - y64[j, k])
-        d = np.sqrt(total)
-        near = d <= eps
-        return ids[i[near]], other_ids[j[near]], d[near]
+        if own.whole is None and other.whole is None:
+            for at in range(0, len(i), 65_536):
+                a, b, some = i[at : at + 65_536], j[at : at + 65_536], total[at : at + 65_536]
+                for k in range(own.x.shape[1]):
+                    d = own.x[a, k] - other.x[b, k]
+                    some += d * d
+        else:
+            of = lambda side, k: side.whole[k] if side.whole is not None else side.x[k]
+            for k, (a, b) in enumerate(zip(i, j, strict=True)):
+                for d in of(own, a) - of(other, b):
+                    total[k] += d * d
+    d = np.sqrt(total)
+    near = d <= eps
+    return i[near], j[near], d[near]
+
+
+def _usable(vector: str) -> Column:
+    """Not null, not empty, and without nulls, NaN and infinities."""
+    return F.coalesce((F.size(vector) > 0) & F.forall(vector, lambda c: c.isNotNull() & (F.abs(c) < F.lit(float("inf")))), F.lit(False))
+
+
+def _spread(sample: np.ndarray, most: int) -> np.ndarray:
+    """Of a sample the vectors that lie farthest from those chosen before."""
+    chosen, nearest = [0], np.full(len(sample), np.inf)
+    while len(chosen) < most:
+        with np.errstate(over="ignore"):
+            nearest = np.minimum(nearest, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+        if not nearest.max() > 0:
+            break
+        chosen.append(int(nearest.argmax()))
+    return sample[chosen]
+
 
-    def run(batches):
+def _cells(rows: DataFrame) -> Cells | None:
+    """Pivots from a sample by a hash of the ids, and what falls to each; None if there are no rows."""
+    sizes = {r["size"]: r["n"] for r in rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return None
+    n, size = sum(sizes.values()), max(sizes, key=lambda k: (sizes[k], k))
+    listed = max(64, LIST_NUMBERS // size)
+    # as many as can pay: each of a small table's cells, and four of a list's size, may save visits
+    most = max(1, min(MOST_PIVOTS, PIVOT_NUMBERS // size, 2 * isqrt(n), max(64, 4 * n // listed)))
+    sample = rows.where(F.size("v") == size).orderBy("mix", "id").select("v").limit(4 * most).collect()
+    pivots = _spread(np.array([r["v"] for r in sample], np.float64), most)
+    with np.errstate(over="ignore", invalid="ignore"):
+        order = np.argsort(-np.nan_to_num(pivots.var(axis=0)), kind="stable")
+    blank = np.zeros(len(pivots))
+    draft = Cells(pivots, order, np.zeros((len(pivots),) * 2), blank, blank, blank)
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                own, other = (batch.column(c)[row].values for c in ("members", "others"))
-                ids, other_ids = (m.field("id").to_numpy(zero_copy_only=False) for m in (own, other))
-                x, y = (m.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(m), -1) for m in (own, other))
-                a, b, d = pairs(ids, x, other_ids, y, batch.column("same")[row].as_py())
-                if len(d):
-                    swap = np.array(a > b, bool)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.where(swap, b, a), own.field("id").type), pa.array(np.where(swap, a, b), own.field("id").type), pa.array(d)], ["a", "b", "distance"])
+            away = draft.distances(_matrix(batch.column("v"), draft.width))
+            home = away.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(home, pa.int32()), pa.array(away[np.arange(len(home)), home])], ["cell", "away"])
+
+    found = rows.select("v").mapInArrow(homes, "cell int, away double").groupBy("cell").agg(F.count("*").alias("n"), F.min("away").alias("low"), F.max("away").alias("high")).collect()
+    lists, low, high = np.zeros(len(pivots), np.int64), np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
+    for r in found:
+        lists[r["cell"]], low[r["cell"]], high[r["cell"]] = -(-r["n"] // listed), r["low"], r["high"]
+    return Cells(pivots, order, draft.distances(pivots), lists, low, high)
 
-    return run
 
+def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "embedding", work: Mapping[str, Any] | None = None) -> DataFrame:
+    """Pairs (a, b, distance) with a < b within eps; ids are distinct.
 
-def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "embedding") -> DataFrame:
-    """Pairs (a, b, distance) with a < b within eps; ids are distinct, and vectors of other lengths or with nulls are near none.
+    Vectors that are null, empty or hold nulls, NaN or infinities are near none, nor are vectors of different lengths near
+    each other. Each vector falls to the nearest of some pivots. It stands in a list of its cell and visits the lists of
+    those cells that its distances from the pivots do not rule out (of two cells one visits the other), so distant cells
+    never meet, whatever their number of axes. Lists are bounded: a cell of many vectors is dealt into several, and a task
+    holds one list while visitors stream by.
 
-    Two vectors within eps differ by eps at most in every coordinate, so they lie in the same or adjoining cells of a
-    grid over a few coordinates: an equi-join on cells. The vectors of a cell travel in lists of bounded length, and two
-    lists are compared by one product of matrices, with the exact distance after it.
+    ``work`` may hold accumulators: ``met`` (pairs that meet in a task) and ``compared`` (those compared on all axes).
     """
-    axes = range(CELL_AXES)
-    # vectors of one length share a grid
-    cell = F.array(F.size(vector), *(F.coalesce(F.floor(F.get(vector, F.lit(i)).cast("double") / eps).cast("int"), F.lit(0)) for i in axes))
-    rows = df.where(F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull())).select(F.col(id_col).alias("id"), F.col(vector).alias("v"), cell.alias("cell"))
-    rows = rows.where(F.size("v") > 0)
-    sizes = rows.groupBy("cell").agg(F.ceil(F.count("*") / LIST).cast("int").alias("lists"))
-    dealt = rows.join(sizes, "cell").withColumn("list", F.pmod(F.xxhash64("id"), "lists"))
-    lists = dealt.groupBy("cell", "list").agg(F.collect_list(F.struct("id", "v")).alias("members"))
-    steps = [F.array(F.col("cell")[0], *(F.col("cell")[i + 1] + s for i, s in enumerate(way))) for way in product((-1, 0, 1), repeat=CELL_AXES)]
-    # of two lists one finds the other
-    other = lists.select(F.explode(F.array(*steps)).alias("near"), F.struct("cell", "list").alias("place"), F.col("members").alias("others"))
-    both = lists.withColumn("own", F.struct("cell", "list")).join(other, F.col("cell") == F.col("near")).where("own <= place")
-    kind = dict(rows.dtypes)["id"]
-    return both.select("members", "others", (F.col("own") == F.col("place")).alias("same")).mapInArrow(_within(eps), f"a {kind}, b {kind}, distance double")
+    rows = df.where(_usable(vector)).select(F.col(id_col).alias("id"), F.col(vector).alias("v"), F.xxhash64(F.col(id_col)).alias("mix"))
+    kind, vectors = dict(rows.dtypes)["id"], dict(rows.dtypes)["v"]
+    cells = _cells(rows)
+    if cells is None:
+        return df.sparkSession.createDataFrame([], f"a {kind}, b {kind}, distance double")
+    counters = dict(work or {})
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, PIECE):
+                batch = whole.slice(at, PIECE)
+                away = cells.distances(_matrix(batch.column("v"), cells.width))
+                home = away.argmin(axis=1)
+                own = batch.column("mix").to_numpy() % cells.lists[home]
+                who, cell = np.nonzero(cells.reached(away, home, eps))
+                first = (home[who] < cell) == ((home[who] + cell) % 2 == 0)
+                who, cell = who[first], cell[first]
+                # each list of a reached cell, and of the own cell those behind the own list
+                times = cells.lists[cell]
+                number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                later = cells.lists[home] - 1 - own
+                behind = np.arange(later.sum()) - np.repeat(np.cumsum(later) - later, later)
+                rest = np.repeat(np.arange(len(home)), later)
+                took = np.concatenate([np.arange(len(home)), np.repeat(who, times), rest])
+                place = np.concatenate([home, np.repeat(cell, times), home[rest]])
+                listed = np.concatenate([own, number, own[rest] + 1 + behind])
+                visits = np.repeat([0, 1], [len(home), len(took) - len(home)])
+                sent = pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(listed, pa.int64()), pa.array(visits, pa.int32()), pa.array(away[took, place])], ["cell", "list", "visits", "away"])
+                for k in range(0, len(took), SENT):
+                    rows_of = pa.array(took[k : k + SENT])
+                    yield pa.RecordBatch.from_arrays([*sent.slice(k, SENT).columns, *(batch.column(c).take(rows_of) for c in ("id", "v"))], [*sent.schema.names, "id", "v"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def count(name: str, n: int) -> None:
+            if name in counters:
+                counters[name].add(n)
+
+        def found(own: _Side, other: _Side, same: bool) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(own), PIECE):
+                for to in range(at if same else 0, len(other), PIECE):
+                    a, b = own[at : at + PIECE], other[to : to + PIECE]
+                    i, j, d = _near(a, b, eps, same and at == to, count)
+                    if len(d):
+                        one, two = a.ids[i], b.ids[j]
+                        swap = np.array(one > two, bool)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.where(swap, two, one), id_type), pa.array(np.where(swap, one, two), id_type), pa.array(d)], ["a", "b", "distance"])
+
+        key, held, parts, id_type = None, None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            id_type = batch.schema.field("id").type
+            marks = np.stack([np.asarray(batch.column(c)) for c in ("cell", "list", "visits")], axis=1)
+            cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                at, visits = tuple(marks[a, :2]), marks[a, 2]
+                if parts and (visits or at != key):
+                    held, parts = _together(parts), []
+                    yield from found(held, held, True)
+                if at != key:
+                    key, held = at, None
+                side = _Side(batch.slice(a, b - a), cells)
+                if not visits:
+                    parts.append(side)
+                elif held is not None:
+                    yield from found(held, side, False)
+        if parts:
+            held = _together(parts)
+            yield from found(held, held, True)
+
+    placed = rows.mapInArrow(visit, f"cell int, list bigint, visits int, away double, id {kind}, v {vectors}")
+    met = placed.repartition("cell", "list").sortWithinPartitions("cell", "list", "visits")
+    return met.mapInArrow(compare, f"a {kind}, b {kind}, distance double")
 
 
 def density_labels(df: DataFrame, eps: float = 0.25, min_samples: int = 2, id_col: str = "id", vector: str = "embedding", out: str = "label") -> DataFrame:
-    """Adds the smallest core id of each row's cluster, null for noise.
+    """Adds the smallest core id of each row's cluster, null for noise and for vectors that are near none.
 
     With min_samples 2 every point of a pair is a core, so clusters are the components of the neighbourhood graph. In
-    general a border point joins the smallest label among its core neighbours.
+    general a border point joins the smallest label among its core neighbours. Equal vectors are looked at once, with their
+    number, and named by their smallest id.
     """
-    pairs = materialize(neighbours(df, eps, id_col, vector))
+    alike = materialize(df.where(_usable(vector)).groupBy(F.col(vector).alias("__v")).agg(F.min(id_col).alias("node"), F.count("*").alias("copies")))
+    pairs = materialize(neighbours(alike, eps, "node", "__v"))
     both = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    cores = both.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= min_samples - 1).select(F.col("a").alias("core"))
-    inner = both.join(cores, F.col("a") == F.col("core"), "left_semi").join(cores, F.col("b") == F.col("core"), "left_semi")
+    if min_samples <= 2:  # whoever is in a pair or has a copy is a core, and all others if one is enough
+        cores, inner = alike.where(F.col("copies") >= min_samples).select(F.col("node").alias("core")), pairs
+    else:
+        crowds = both.join(alike.select(F.col("node").alias("b"), "copies"), "b").select(F.col("a").alias("node"), "copies").unionAll(alike.select("node", "copies"))
+        cores = materialize(crowds.groupBy("node").agg(F.sum("copies").alias("n")).where(F.col("n") >= min_samples).select(F.col("node").alias("core")))
+        inner = both.join(cores, F.col("a") == F.col("core"), "left_semi").join(cores, F.col("b") == F.col("core"), "left_semi")
     linked = connected_components(inner.select(F.col("a").alias("u"), F.col("b").alias("v")))
     alone = cores.join(linked, F.col("core") == F.col("node"), "left_anti").select(F.col("core").alias("node"), F.col("core").alias("component"))
-    cored = linked.unionAll(alone)
-    border = both.join(cores, F.col("a") == F.col("core"), "left_anti").join(cored, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("component")).withColumnRenamed("a", "node")
-    labels = cored.unionAll(border).select(F.col("node").alias("__node"), F.col("component").alias(out))
-    return df.join(labels, F.col(id_col) == F.col("__node"), "left").drop("__node")
+    labels = linked.unionAll(alone)
+    if min_samples > 2:
+        border = both.join(cores, F.col("a") == F.col("core"), "left_anti").join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("component")).withColumnRenamed("a", "node")
+        labels = labels.unionAll(border)
+    named = alike.select("__v", "node").join(labels, "node").select("__v", F.col("component").alias(out))
+    return df.join(named, F.col(vector) == F.col("__v"), "left").drop("__v")
 
 
 def split_clustered(df: DataFrame, labels: Sequence[str]) -> tuple[DataFrame, DataFrame]:
