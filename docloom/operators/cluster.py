@@ -84,6 +84,7 @@ class _Side:
     def __init__(self, batch: pa.RecordBatch, cells: Cells):
         self.ids = batch.column("id").to_numpy(zero_copy_only=False)
         self.away = batch.column("away").to_numpy()
+        self.asks = batch.column("asks").to_numpy(zero_copy_only=False).astype(bool)
         vectors = batch.column("v")
         self.sizes = np.asarray(vectors.value_lengths(), np.int64)
         self.x = _matrix(vectors, cells.width)
@@ -93,7 +94,7 @@ class _Side:
 
     def __getitem__(self, rows: slice) -> _Side:
         part = object.__new__(_Side)
-        part.ids, part.away, part.sizes, part.x, part.leading = (a[rows] for a in (self.ids, self.away, self.sizes, self.x, self.leading))
+        part.ids, part.away, part.asks, part.sizes, part.x, part.leading = (a[rows] for a in (self.ids, self.away, self.asks, self.sizes, self.x, self.leading))
         part.whole = self.whole and self.whole[rows]
         return part
 
@@ -103,7 +104,7 @@ class _Side:
 
 def _together(sides: list[_Side]) -> _Side:
     out = object.__new__(_Side)
-    for name in ("ids", "away", "sizes", "x", "leading"):
+    for name in ("ids", "away", "asks", "sizes", "x", "leading"):
         setattr(out, name, np.concatenate([getattr(s, name) for s in sides]))
     out.whole = None if all(s.whole is None for s in sides) else [v for s in sides for v in (s.whole or list(s.x))]
     return out
@@ -116,7 +117,7 @@ def _beyond(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
         return xx[:, None] + yy[None, :] - 2 * (x @ y.T) > eps * eps + 1e-9 * (1 + xx[:, None] + yy[None, :])
 
 
-def _near(own: _Side, other: _Side, eps: float, same: bool, count) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _near(own: _Side, other: _Side, eps: float, same: bool, visits: bool, every: bool, count) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions and distance of the pairs within eps.
 
     Rings round the cell's pivot come first, then the distance on the leading axes; only what neither rules out is compared
@@ -127,6 +128,9 @@ def _near(own: _Side, other: _Side, eps: float, same: bool, count) -> tuple[np.n
         left &= own.sizes[:, None] == other.sizes[None, :]
         if same:
             left &= np.arange(len(own))[:, None] < np.arange(len(other))[None, :]
+        left &= own.asks[:, None] | other.asks[None, :]
+        if visits and own.asks.any() and not every:  # two that ask visit each other; the greater one counts
+            left &= ~own.asks[:, None] | (own.ids[:, None] < other.ids[None, :])
         count("met", len(own) * (len(own) - 1) // 2 if same else left.size)
         left &= ~_beyond(own.leading, other.leading, eps)
         count("compared", int(left.sum()))
@@ -196,7 +200,7 @@ def _cells(rows: DataFrame) -> Cells | None:
     return Cells(pivots, order, draft.distances(pivots), lists, low, high)
 
 
-def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "embedding", work: Mapping[str, Any] | None = None) -> DataFrame:
+def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "embedding", asking: str | None = None, work: Mapping[str, Any] | None = None) -> DataFrame:
     """Pairs (a, b, distance) with a < b within eps; ids are distinct.
 
     Vectors that are null, empty or hold nulls, NaN or infinities are near none, nor are vectors of different lengths near
@@ -205,9 +209,11 @@ def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "emb
     never meet, whatever their number of axes. Lists are bounded: a cell of many vectors is dealt into several, and a task
     holds one list while visitors stream by.
 
+    With ``asking``, a boolean column, only pairs of which one row at least asks are wanted, and only those rows visit.
+
     ``work`` may hold accumulators: ``met`` (pairs that meet in a task) and ``compared`` (those compared on all axes).
     """
-    rows = df.where(_usable(vector)).select(F.col(id_col).alias("id"), F.col(vector).alias("v"), F.xxhash64(F.col(id_col)).alias("mix"))
+    rows = df.where(_usable(vector)).select(F.col(id_col).alias("id"), F.col(vector).alias("v"), F.xxhash64(F.col(id_col)).alias("mix"), (F.coalesce(asking, F.lit(False)) if asking else F.lit(True)).alias("asks"))
     kind, vectors = dict(rows.dtypes)["id"], dict(rows.dtypes)["v"]
     cells = _cells(rows)
     if cells is None:
@@ -221,23 +227,24 @@ def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "emb
                 away = cells.distances(_matrix(batch.column("v"), cells.width))
                 home = away.argmin(axis=1)
                 own = batch.column("mix").to_numpy() % cells.lists[home]
+                asks = batch.column("asks").to_numpy(zero_copy_only=False).astype(bool)
                 who, cell = np.nonzero(cells.reached(away, home, eps))
-                first = (home[who] < cell) == ((home[who] + cell) % 2 == 0)
+                first = asks[who] if asking else (home[who] < cell) == ((home[who] + cell) % 2 == 0)
                 who, cell = who[first], cell[first]
-                # each list of a reached cell, and of the own cell those behind the own list
+                # each list of a reached cell, and of the own cell those behind the own list, or all others
                 times = cells.lists[cell]
                 number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                later = cells.lists[home] - 1 - own
+                later = np.where(asks, cells.lists[home] - 1, 0) if asking else cells.lists[home] - 1 - own
                 behind = np.arange(later.sum()) - np.repeat(np.cumsum(later) - later, later)
                 rest = np.repeat(np.arange(len(home)), later)
                 took = np.concatenate([np.arange(len(home)), np.repeat(who, times), rest])
                 place = np.concatenate([home, np.repeat(cell, times), home[rest]])
-                listed = np.concatenate([own, number, own[rest] + 1 + behind])
+                listed = np.concatenate([own, number, behind + (behind >= own[rest]) if asking else own[rest] + 1 + behind])
                 visits = np.repeat([0, 1], [len(home), len(took) - len(home)])
                 sent = pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(listed, pa.int64()), pa.array(visits, pa.int32()), pa.array(away[took, place])], ["cell", "list", "visits", "away"])
                 for k in range(0, len(took), SENT):
                     rows_of = pa.array(took[k : k + SENT])
-                    yield pa.RecordBatch.from_arrays([*sent.slice(k, SENT).columns, *(batch.column(c).take(rows_of) for c in ("id", "v"))], [*sent.schema.names, "id", "v"])
+                    yield pa.RecordBatch.from_arrays([*sent.slice(k, SENT).columns, *(batch.column(c).take(rows_of) for c in ("id", "v", "asks"))], [*sent.schema.names, "id", "v", "asks"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def count(name: str, n: int) -> None:
@@ -248,7 +255,7 @@ def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "emb
             for at in range(0, len(own), PIECE):
                 for to in range(at if same else 0, len(other), PIECE):
                     a, b = own[at : at + PIECE], other[to : to + PIECE]
-                    i, j, d = _near(a, b, eps, same and at == to, count)
+                    i, j, d = _near(a, b, eps, same and at == to, not same, not asking, count)
                     if len(d):
                         one, two = a.ids[i], b.ids[j]
                         swap = np.array(one > two, bool)
@@ -277,7 +284,7 @@ def neighbours(df: DataFrame, eps: float, id_col: str = "id", vector: str = "emb
             held = _together(parts)
             yield from found(held, held, True)
 
-    placed = rows.mapInArrow(visit, f"cell int, list bigint, visits int, away double, id {kind}, v {vectors}")
+    placed = rows.mapInArrow(visit, f"cell int, list bigint, visits int, away double, id {kind}, v {vectors}, asks boolean")
     met = placed.repartition("cell", "list").sortWithinPartitions("cell", "list", "visits")
     return met.mapInArrow(compare, f"a {kind}, b {kind}, distance double")
 

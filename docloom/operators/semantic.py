@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from docloom.functions.columns import question_id
 from docloom.functions.ports import Chat
 from docloom.operators.aggregate import concat_texts, group_records
-from docloom.operators.cluster import across_definitions, density_labels
+from docloom.operators.cluster import across_definitions, density_labels, neighbours
 from docloom.operators.dedupe import remove_duplicates
 from docloom.operators.embed import ask, create_embeddings
+from docloom.operators.graph import connected_components, spanning_forest
 from docloom.operators.sets import concatenate
 from docloom.session import materialize
 
@@ -62,32 +63,68 @@ def merge_small_clusters(questions: DataFrame, make: Callable[[], Chat], cluster
     return expand_merge_results(questions, ask(prompts, "merge_questions", make, "response").select(cluster, "response"), cluster)
 
 
+def _alike(texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Of equal vectors of one large cluster the first stands for all; it asks for neighbours unless it did so before."""
+    first = texts.groupBy("root", "embedding").agg(F.min("id").alias("id"))
+    return first.withColumn("asks", F.lit(True)) if known is None else first.join(known.select("id", F.lit(False).alias("__asked")), "id", "left").select("root", "embedding", "id", F.col("__asked").isNull().alias("asks"))
+
+
+def _links(texts: DataFrame, alike: DataFrame, end: float) -> DataFrame:
+    """(u, v, weight): pairs of questions of one large cluster within the last radius, copies of a vector linked to the first of them."""
+    pairs = neighbours(alike, end + 1e-12, asking="asks").where(F.substring_index("a", "|", 1) == F.substring_index("b", "|", 1))
+    copies = texts.join(alike.select("root", "embedding", F.col("id").alias("first")), ["root", "embedding"]).where("id <> first")
+    return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("distance").alias("weight")).unionAll(copies.select("first", "id", F.lit(0.0)))
+
+
 def merge_recursively(questions: DataFrame, make_embedder, make_chat: Callable[[], Chat], most: int, start: float = 0.001, step: float = 0.001, end: float = 0.25, settle: float = 0.1) -> DataFrame:
-    """Large clusters by growing radii: in each round small new clusters merge, until the radius ends or, beyond ``settle``, nothing changed.
+    """Large clusters by growing radii: at each radius small new clusters merge, until the radius ends or, beyond ``settle``, nothing changed.
 
-    Every round works on all large clusters at once, so the number of jobs does not depend on how many there are.
+    The pairs within the last radius are found once; their least spanning forest, cut at a radius, has that radius's
+    clusters, and radii at which no edge of it begins are passed over. After a merge only the new questions are embedded
+    and look for neighbours. All large clusters are worked on at once, each by itself.
     """
-    rows = questions.select("cluster_id", "question_id", "source_id", "question", "answer").withColumnRenamed("cluster_id", "root")
+    last = int((end - start) / step + 1e-9)
+    begins = F.greatest(F.lit(0), F.ceil((F.col("weight") - start) / step - 1e-9)).cast("int")
+    named = lambda df: df.select("root", "question_id", "question").distinct().withColumn("id", F.concat_ws("|", "root", "question_id"))
+    embedded = lambda new: create_embeddings(new, "question", make_embedder).select("id", "root", "question_id", "embedding")
+    rows = materialize(questions.select("cluster_id", "question_id", "source_id", "question", "answer").withColumnRenamed("cluster_id", "root"))
+    texts = materialize(embedded(named(rows)))
+    alike = materialize(_alike(texts))
+    edges = materialize(_links(texts, alike, end))
+    forest = materialize(spanning_forest(edges))
     done = rows.select(F.lit("").alias("signature")).limit(0)
-    eps = start
-    while eps <= end + 1e-12:
-        texts = create_embeddings(rows.select("root", "question_id", "question").distinct(), "question", make_embedder)
-        texts = texts.withColumn("id", F.concat_ws("|", "root", "question_id"))
-        labelled = density_labels(texts, eps).where("label IS NOT NULL").withColumn("group", F.concat_ws("|", "root", "label"))
+    level, merged_before = -1, False
+    while True:
+        # after a merge the next radius, else the next at which two clusters meet
+        following = level + 1 if merged_before else forest.where(begins > level).agg(F.min(begins)).first()[0]
+        if following is None or following > last or (following > level + 1 and start + step * (following - 1) > settle):
+            return rows.withColumnRenamed("root", "cluster_id")
+        level = following
+        linked = connected_components(forest.where(begins <= level).select("u", "v"))
+        labelled = texts.join(linked, F.col("id") == F.col("node")).select("id", "root", "question_id", F.col("component").alias("group"))
         groups = labelled.groupBy("group").agg(F.md5(F.array_join(F.array_sort(F.collect_set("question_id")), "|")).alias("signature"), F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= most))
         new = materialize(groups.join(done, "signature", "left_anti"))
         members = labelled.join(new.select("group"), "group", "left_semi").select("root", "question_id", "group")
         chosen = materialize(rows.join(members, ["root", "question_id"]))
-        if not chosen.isEmpty():
-            merged = merge_small_clusters(chosen.drop("root").withColumnRenamed("group", "cluster_id"), make_chat)
-            merged = merged.withColumn("root", F.substring_index("cluster_id", "|", 1)).select("root", "question_id", "source_id", "question", "answer")
-            rest = rows.join(members.select("root", "question_id"), ["root", "question_id"], "left_anti")
-            rows = materialize(remove_duplicates(concatenate(rest, merged), ["root", "question_id", "source_id"], order_by=["question", "answer"]))
-            done = materialize(done.unionByName(new.select("signature")))
-        elif eps > settle:
-            break
-        eps += step
-    return rows.withColumnRenamed("root", "cluster_id")
+        merged_before = not chosen.isEmpty()
+        if not merged_before:
+            if start + step * level > settle:
+                return rows.withColumnRenamed("root", "cluster_id")
+            continue
+        merged = merge_small_clusters(chosen.drop("root").withColumnRenamed("group", "cluster_id"), make_chat)
+        merged = merged.withColumn("root", F.substring_index("cluster_id", "|", 1)).select("root", "question_id", "source_id", "question", "answer")
+        rest = rows.join(members.select("root", "question_id"), ["root", "question_id"], "left_anti")
+        rows = materialize(remove_duplicates(concatenate(rest, merged), ["root", "question_id", "source_id"], order_by=["question", "answer"]))
+        done = materialize(done.unionByName(new.select("signature")))
+        kept = texts.join(named(rows).select("id"), "id", "left_semi")
+        texts = materialize(kept.unionByName(embedded(named(rows).join(texts.select("id"), "id", "left_anti"))))
+        touched = members.select("root").distinct()
+        known = alike
+        alike = materialize(_alike(texts, known))
+        ids = texts.select("id")
+        old = edges.join(ids.toDF("u"), "u", "left_semi").join(ids.toDF("v"), "v", "left_semi").select("u", "v", "weight")
+        edges = materialize(old.unionAll(_links(texts.join(touched, "root", "left_semi"), alike.join(touched, "root", "left_semi"), end)))
+        forest = materialize(spanning_forest(edges))
 
 
 def validate(questions: DataFrame, documents: DataFrame, make: Callable[[], Chat], order_by: list[str] | None = None) -> DataFrame:

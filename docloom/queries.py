@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.columns import is_refusal, is_zero_vector, iso_time, question_id
 from docloom.functions.splitters import SEPARATORS, Strategy
-from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, joins, project, publish, quality_checks, semantic, sets, text, transform, translate
+from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, graph, joins, project, publish, quality_checks, semantic, sets, text, transform, translate
 from docloom.plans import rules
 from docloom.sources import readers, sinks
 
@@ -373,6 +373,20 @@ def cluster_components(spark, d):
     return cluster.density_labels(table(spark, d, "embeddings").select("vec_id", "embedding"), EPS, 2, "vec_id", out="cluster").select("vec_id", "cluster")
 
 
+_RADII = (1.06, 1.1, 1.12)
+
+
+@registered("WITH RECURSIVE " + f"""near AS (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d FROM embeddings AS a JOIN embeddings AS b ON a.vec_id <> b.vec_id),
+    edges AS (SELECT radius, a, b FROM near JOIN (SELECT unnest({list(_RADII)}::DOUBLE[]) AS radius) ON d <= radius),
+    reached(radius, node, seen) AS (SELECT radius, a, a FROM edges UNION SELECT r.radius, r.node, e.b FROM reached AS r JOIN edges AS e ON e.a = r.seen AND e.radius = r.radius)
+SELECT radius, node AS vec_id, min(seen) AS cluster FROM reached GROUP BY radius, node""")
+def cluster_radii(spark, d):
+    """Single-linkage clusters at several radii from one neighbourhood join and its least spanning forest."""
+    pairs = cluster.neighbours(table(spark, d, "embeddings"), max(_RADII), "vec_id")
+    forest = graph.spanning_forest(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("distance").alias("weight")))
+    return graph.components_at(forest, _RADII).select(F.col("weight").alias("radius"), F.col("node").alias("vec_id"), F.col("component").alias("cluster"))
+
+
 @registered(f"""WITH RECURSIVE {_LABELS}, named AS (SELECT vec_id, coalesce(labels.label::VARCHAR, '-1') AS cluster_id FROM (SELECT vec_id FROM embeddings) AS v LEFT JOIN labels ON node = vec_id)
 SELECT n.vec_id, n.cluster_id, u.cluster_uuid, u.size_category FROM named AS n JOIN (SELECT cluster_id, md5(string_agg(vec_id::VARCHAR, '|' ORDER BY vec_id::VARCHAR)) AS cluster_uuid, CASE WHEN count(*) > 3 THEN 'large' ELSE 'small' END AS size_category FROM named GROUP BY cluster_id) AS u USING (cluster_id)""")
 def cluster_uuid(spark, d):
