@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +12,9 @@ from docloom.functions.columns import is_refusal, is_zero_vector, iso_time, ques
 from docloom.functions.splitters import SEPARATORS, Strategy
 from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, graph, joins, project, publish, quality_checks, semantic, sets, text, transform, translate
 from docloom.plans import rules
+from docloom.session import checkpoint_dir
 from docloom.sources import readers, sinks
+from docloom.streaming import loads
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -493,6 +494,24 @@ def transform_wildcard(spark, d):
     return rows.select("id", F.md5(F.regexp_replace(F.trim("content_full"), r"\s*\n\s*", "\n")).alias("content_md5"))
 
 
+@registered("""WITH now AS (SELECT doc_id, text, doc_id % 9 = 4 AS gone, CASE WHEN doc_id % 5 = 0 THEN 'again ' || coalesce(text, '') ELSE text END AS later FROM documents)
+SELECT doc_id, 0::BIGINT AS batch, 'I' AS action, md5(coalesce(text, '')) AS md5 FROM now WHERE doc_id % 7 <> 3
+UNION ALL SELECT doc_id, 1::BIGINT, CASE WHEN gone THEN 'D' WHEN doc_id % 7 = 3 THEN 'I' ELSE 'U' END, md5(coalesce(later, ''))
+FROM now WHERE CASE WHEN gone THEN doc_id % 7 <> 3 ELSE doc_id % 7 = 3 OR later IS DISTINCT FROM text END""")
+def stream_changes(spark, d):
+    """Two loads of the documents by a stream: the second has new, changed, deleted and unchanged ones, and those deleted before they came."""
+    folder = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    later = F.when(F.col("id") % 5 == 0, F.concat(F.lit("again "), F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
+    first = docs.where("id % 7 <> 3").withColumn("action", F.lit(None).cast("string"))
+    second = docs.withColumn("text", later).withColumn("action", F.when(F.col("id") % 9 == 4, "D"))
+    for name, rows in (("a", first), ("b", second)):
+        rows.write.parquet(f"{folder}/in/load={name}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in/load=*")
+        loads.incremental(stream, f"{folder}/out", lambda df: df, f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(F.col("id").alias("doc_id"), F.col("batch").cast("bigint").alias("batch"), "action", F.md5(F.coalesce("text", F.lit(""))).alias("md5"))
+
+
 @registered(f"WITH {_LOADS} SELECT now.id, CASE WHEN now.md5 = before.md5 THEN 'N' WHEN before.md5 IS NULL THEN 'I' ELSE 'U' END AS action FROM now LEFT JOIN before ON now.id = before.id")
 def delta_left(spark, d):
     return delta.compare_with_previous(*_loads(spark, d), ["md5"], [delta.Comparison("md5")]).select("id", "action")
@@ -523,7 +542,7 @@ def delta_merge_dedupe(spark, d):
 
 def _written(name: str, ending: str, sql: str) -> None:
     def query(spark, d):
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-")
+        folder = checkpoint_dir(spark)
         df = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"), F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
         uri = sinks.write_table(df, f"{folder}/orders-{uuid.uuid4().hex}.{ending}")
         return readers.read_table(spark, uri).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", iso_time(F.col("o_orderdate").cast("timestamp")).alias("o_orderdate"))
@@ -628,7 +647,7 @@ def clean_removed_counts(spark, d):
 
 
 def _scratch(spark) -> str:
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='docloom-')}/scratch-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
 
 
 @registered("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 > 0")

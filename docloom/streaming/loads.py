@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
-from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docloom.operators import delta
 from docloom.plans.rules import rule
 
 #: Rules that look at one row at a time and so run on a stream as they are.
@@ -30,23 +28,69 @@ def windowed_counts(events: DataFrame, time: str = "ts", by: Sequence[str] = ("e
     return events.withWatermark(time, late).groupBy(F.window(time, width), *by).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-def incremental(stream: DataFrame, path: str, step: Callable[[DataFrame], DataFrame], checkpoint: str, key: str = "id") -> StreamingQuery:
-    """Write what each micro-batch adds or changes to its own folder, so a batch that runs again replaces itself.
+_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
-    Rows are held against what earlier batches wrote: those whose ``action`` says N and that are there already are not
-    processed again.
+
+def changes(stream: DataFrame, key: str = "id", compare: Sequence[str] | None = None, order_by: str | None = None, action: str = "action") -> DataFrame:
+    """The rows of a stream that are new, changed or deleted, with their code in ``action``; what came before unchanged is left out.
+
+    State per key is the hash of the row last seen, in Spark's state store: no earlier output is read, and a batch that runs
+    again gets the state from before it. ``compare`` names the columns that tell a change (all but ``action`` if none are
+    named); a row whose own ``action`` is D deletes its key, and does nothing if the key is unknown. Of several rows of a
+    key in one batch the last by ``order_by`` (then by its content) counts. Rows without a key are known by their content.
+    """
+    import pandas as pd
+
+    columns = [c for c in stream.columns if c != action]
+    content = F.md5(F.to_json(F.struct(*(compare or columns)), _TIMES | {"ignoreNullFields": "false"}))
+    gone = F.coalesce(F.col(action) == "D", F.lit(False)) if action in stream.columns else F.lit(False)
+    texts = bool(order_by) and dict(stream.dtypes)[order_by] == "string"
+    place = F.lit(0.0) if not order_by else F.col(order_by) if texts else F.col(order_by).cast("double")
+    blank = "" if texts else 0.0
+    packed = stream.select(F.coalesce(F.col(key).cast("string"), content).alias("key"), content.alias("content"), gone.alias("gone"), place.alias("place"), F.to_json(F.struct(*columns), _TIMES).alias("row"))
+    def decide(_, parts, state):
+        last = None
+        for part in parts:
+            for content, gone, place, row in zip(part["content"], part["gone"], part["place"], part["row"], strict=True):
+                known = place is not None and place == place
+                at = (known, place if known else blank, content)
+                if last is None or at > last[0]:
+                    last = (at, bool(gone), content, row)
+        _, gone, content, row = last
+        before = state.get[0] if state.exists else None
+        if gone:
+            code = None if before is None else "D"
+            if before is not None:
+                state.remove()
+        else:
+            code = "I" if before is None else None if before == content else "U"
+            if code:
+                state.update((content,))
+        yield pd.DataFrame({"row": [row] if code else [], "code": [code] if code else []}, dtype="object")
+
+    decided = packed.groupBy("key").applyInPandasWithState(decide, "row string, code string", "content string", "update", "NoTimeout")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.select(*columns).schema)
+    return decided.select(F.from_json("row", kinds, _TIMES).alias("row"), F.col("code").alias(action)).select("row.*", action)
+
+
+def incremental(stream: DataFrame, path: str, step: Callable[[DataFrame], DataFrame], checkpoint: str, key: str = "id", compare: Sequence[str] | None = None, order_by: str | None = None) -> StreamingQuery:
+    """Write what each micro-batch inserts, changes or deletes to its own folder, so a batch that runs again replaces itself.
+
+    ``step`` processes inserted and changed rows; deleted ones are written as they came, with D. See :func:`changes`.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        try:
-            earlier = batch.sparkSession.read.parquet(path).where(F.col("batch") < number).drop("batch")
-        except AnalysisException:  # no batch has been written
-            earlier = None
-        if "action" not in batch.columns:
-            batch = batch.withColumn("action", F.lit("I"))
-        if earlier is not None:
-            known = earlier.select(F.col(key).alias("__known")).distinct()
-            batch = batch.join(known, F.col(key) == F.col("__known"), "left").withColumn("action", F.when((F.col("action") == "N") & F.col("__known").isNull(), "U").otherwise(F.col("action"))).drop("__known")
-        step(delta.prepare(batch, "INCREMENTAL", earlier, on=key)[0]).write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        kept = F.col("action") != "D"
+        made = step(batch.where(kept)).unionByName(batch.where(~kept), allowMissingColumns=True)
+        made.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    found = changes(stream, key, compare, order_by)
+    return found.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
+    """What the loads of :func:`incremental` come to: of each key the row written last, unless it is deleted."""
+    rows = spark.read.parquet(path)
+    content = F.md5(F.to_json(F.struct(*(c for c in rows.columns if c not in ("batch", "action"))), _TIMES))
+    newest = Window.partitionBy(F.coalesce(F.col(key).cast("string"), content)).orderBy(F.desc("batch"))
+    return rows.withColumn("__nth", F.row_number().over(newest)).where("__nth = 1 AND action <> 'D'").drop("__nth", "batch")
