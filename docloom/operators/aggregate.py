@@ -64,3 +64,8 @@ def group_records(df: DataFrame, key: str, columns: Sequence[str], out: str = "r
 
 def action_counts(df: DataFrame, action: str = "action") -> DataFrame:
     return df.agg(*(F.count(F.when(F.col(action) == code, 1)).alias(name) for code, name in (("I", "inserted"), ("U", "updated"), ("D", "deleted"), ("N", "unchanged"))))
+
+
+def first_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:
+    """The first k distinct values of a column with how many rows have each, as a report names them; nulls are none."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_rows")).orderBy(column).limit(k)

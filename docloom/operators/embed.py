@@ -16,7 +16,7 @@ from docloom.session import materialize
 
 
 def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], out: str = "embedding", throttle: Throttle = Throttle(), most_tokens: float = 100_000) -> DataFrame:
-    """(column, out) of the distinct texts; a text that fails gets a zero vector."""
+    """(column, out) of the distinct texts; a text that fails gets a zero vector. A vector of other dimensions than the model's is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, pace = make(), replace(throttle)
@@ -26,18 +26,32 @@ def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], out
             # calls of bounded size, each within the quota; one that fails gives zero vectors for its texts
             for some in token_batches(found, most_tokens):
                 made = pace.call(lambda some=some: model.embed(some), sum(map(count_tokens, some))) or []
+                wrong = {len(v) for v in made if v} - {model.dimensions}
+                if wrong or len(made) > len(some):
+                    raise ValueError(f"a model of {model.dimensions} dimensions gave {len(made)} vectors for {len(some)} texts, of dimensions {sorted(wrong) or model.dimensions}")
                 vectors += [v or zero for v in made] + [zero] * (len(some) - len(made))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.list_(pa.float32()))], [column, out])
 
     return texts.select(column).where(F.col(column).isNotNull()).distinct().mapInArrow(run, f"`{column}` string, `{out}` array<float>")
 
 
-def create_embeddings(df: DataFrame, column: str, make: Callable[[], Embedder], out: str = "embedding") -> DataFrame:
-    """Keeps vectors that rows have and that are not all zero; every other text is embedded once and joined back."""
+def create_embeddings(df: DataFrame, column: str, make: Callable[[], Embedder], out: str = "embedding", previous: DataFrame | None = None) -> DataFrame:
+    """Keeps vectors that rows have and that are not all zero; every other text is embedded once and joined back.
+
+    ``previous``, an earlier output with the same two columns, gives its vectors to texts that it knows (the least of several,
+    none that is null or all zero); it is cut down to these texts first, and the model sees the others only.
+    """
     require(df, column)
     own = F.when(~F.coalesce(is_zero_vector(F.col(out)), F.lit(True)), F.col(out)) if out in df.columns else F.lit(None).cast("array<float>")
     rows = df.withColumn("__own", own)
-    made = embed_texts(rows.where("__own IS NULL"), column, make, "__new").withColumnRenamed(column, "__text")
+    todo = rows.where(F.col("__own").isNull() & F.col(column).isNotNull()).select(column).distinct()
+    made = None
+    if previous is not None:
+        known = previous.where(~F.coalesce(is_zero_vector(F.col(out)), F.lit(True))).select(column, F.col(out).cast("array<float>").alias("__new"))
+        known = known.join(todo, column, "left_semi").groupBy(column).agg(F.min("__new").alias("__new"))
+        todo, made = todo.join(known, column, "left_anti"), known
+    fresh = embed_texts(todo, column, make, "__new")
+    made = (fresh if made is None else fresh.unionByName(made)).withColumnRenamed(column, "__text")
     joined = rows.join(made, F.col("__own").isNull() & (F.col(column) == F.col("__text")), "left")
     return joined.withColumn(out, F.coalesce("__own", "__new")).drop("__own", "__new", "__text")
 

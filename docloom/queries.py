@@ -467,6 +467,57 @@ def dq_summary(spark, d):
     return quality_checks.run_checks(_documents(spark, d).select(*_SUITE["schema"]), quality_checks.expand(_SUITE))
 
 
+@registered("""WITH t AS (SELECT doc_id::VARCHAR AS id, source AS title, text AS content, length(text) AS length, md5(text) AS md5, nullif(lang, 'en') AS content_type FROM documents)
+SELECT 'expect_column_values_to_be_of_type' AS expectation, unnest(['content', 'title', 'id', 'length', 'content_type', 'md5', 'metadata_region']) AS "column", true AS success, 0::BIGINT AS failed
+UNION ALL SELECT 'expect_column_values_to_not_be_null', c, n = 0, n FROM (
+    SELECT unnest(['content', 'title', 'id', 'length', 'content_type', 'md5']) AS c,
+           unnest([count(*) - count(content), count(*) - count(title), count(*) - count(id), count(*) - count(length), count(*) - count(content_type), count(*) - count(md5)]) AS n FROM t)
+UNION ALL SELECT 'expect_column_values_to_be_unique', c, n = 0, n FROM (
+    SELECT 'id' AS c, coalesce(sum(n) FILTER (WHERE n > 1), 0)::BIGINT AS n FROM (SELECT count(*) AS n FROM t WHERE id IS NOT NULL GROUP BY id)
+    UNION ALL SELECT 'title', coalesce(sum(n) FILTER (WHERE n > 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM t WHERE title IS NOT NULL GROUP BY title)
+    UNION ALL SELECT 'md5', coalesce(sum(n) FILTER (WHERE n > 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM t WHERE md5 IS NOT NULL GROUP BY md5))""")
+def dq_clean_suite(spark, d):
+    """The ready-made suite over the documents as a cleaned table."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("title"), F.col("text").alias("content"), F.length("text").cast("bigint").alias("length"), F.md5("text").alias("md5"), F.nullif("lang", F.lit("en")).alias("content_type"), F.lit(None).cast("string").alias("metadata_region"))
+    return quality_checks.run_checks(docs, quality_checks.expand(quality_checks.CLEAN_SUITE))
+
+
+_MORE = [
+    ("expect_column_values_to_be_null", "lang", {}), ("expect_column_values_to_not_be_in_set", "lang", {"value_set": ["fr", "de"]}),
+    ("expect_column_values_to_not_match_regex", "text", {"regex": "[0-9]{4}"}), ("expect_column_value_lengths_to_be_between", "text", {"min_value": 200, "max_value": 5000}),
+    ("expect_column_min_to_be_between", "n_chars", {"min_value": 0}), ("expect_column_max_to_be_between", "n_chars", {"max_value": 1000}),
+    ("expect_column_mean_to_be_between", "n_chars", {"min_value": 10, "max_value": 100000}), ("expect_column_sum_to_be_between", "n_chars", {"max_value": 5}),
+]
+
+
+@registered("""SELECT c.expectation, c.c AS "column", c.n = 0 AS success, c.n AS failed FROM (
+    SELECT unnest(['expect_column_values_to_be_null', 'expect_column_values_to_not_be_in_set', 'expect_column_values_to_not_match_regex', 'expect_column_value_lengths_to_be_between',
+                   'expect_column_min_to_be_between', 'expect_column_max_to_be_between', 'expect_column_mean_to_be_between', 'expect_column_sum_to_be_between']) AS expectation,
+           unnest(['lang', 'lang', 'text', 'text', 'n_chars', 'n_chars', 'n_chars', 'n_chars']) AS c,
+           unnest([count(lang), count(*) FILTER (WHERE lang IN ('fr', 'de')), count(*) FILTER (WHERE regexp_matches(text, '[0-9]{4}')), count(*) FILTER (WHERE length(text) NOT BETWEEN 200 AND 5000),
+                   (min(n_chars) < 0)::BIGINT, (max(n_chars) > 1000)::BIGINT, (avg(n_chars) NOT BETWEEN 10 AND 100000)::BIGINT, (sum(n_chars) > 5)::BIGINT]) AS n
+    FROM documents) AS c""")
+def dq_more_expectations(spark, d):
+    """Expectations of the registries, in one aggregation."""
+    return quality_checks.run_checks(table(spark, d, "documents"), [quality_checks.Check(e, c, k) for e, c, k in _MORE])
+
+
+@registered("SELECT doc_id, (CASE WHEN doc_id % 3 = 0 OR text IN (SELECT text FROM documents WHERE doc_id % 3 = 0) THEN -1 ELSE length(text) END)::FLOAT AS a FROM documents WHERE text IS NOT NULL")
+def embed_reused(spark, d):
+    """Vectors of an earlier output, which knows the texts of a third of the documents, and the model's for all other texts."""
+    docs = table(spark, d, "documents").select("doc_id", "text").where("text IS NOT NULL")
+    earlier = docs.where("doc_id % 3 = 0").select("text", F.array(F.lit(-1.0).cast("float"), F.lit(0.0).cast("float")).alias("embedding"))
+    df = embed.create_embeddings(docs, "text", _Lengths, previous=earlier)
+    return df.select("doc_id", F.get("embedding", F.lit(0)).alias("a"))
+
+
+@registered("SELECT doc_id, 1::BIGINT AS n_rows FROM documents WHERE doc_id % 4 = 0 ORDER BY doc_id LIMIT 10")
+def first_failed_ids(spark, d):
+    """The first ids of a report on documents whose embedding failed."""
+    failed = table(spark, d, "documents").withColumn("embedding", F.when(F.col("doc_id") % 4 == 0, F.array(F.lit(0.0))).otherwise(F.array(F.lit(1.0))))
+    return aggregate.first_values(failed.where(is_zero_vector(F.col("embedding"))), "doc_id", 10)
+
+
 @registered("SELECT doc_id, lang IN ('fr', 'de') AS public FROM documents")
 def public_flag(spark, d):
     return table(spark, d, "documents").select("doc_id", publish.is_public(F.when(F.col("lang") == "fr", "PUBLIC").when(F.col("lang") == "de", "1").otherwise("PRIVATE")).alias("public"))

@@ -133,6 +133,44 @@ def test_suites(spark):
         quality_checks.run_checks(df, [quality_checks.Check("unknown", "title")])
 
 
+def test_registered_expectations(spark):
+    df = spark.createDataFrame([(1, "ab", 0.0, [1]), (2, "abcd", -0.0, [1]), (3, None, 2.5, [2]), (None, "ab", None, None)], "id int, t string, x double, l array<int>")
+    check = lambda *c, **k: quality_checks.Check(*c, k)
+    made = quality_checks.run_checks(df, [
+        check(quality_checks.UNIQUE, "id"), check(quality_checks.UNIQUE, "t"), check(quality_checks.UNIQUE, "x"), check(quality_checks.UNIQUE, "l"), check(quality_checks.UNIQUE, "gone"),
+        check("expect_column_value_lengths_to_be_between", "t", max_value=3), check("expect_column_median_to_be_between", "id", min_value=2, max_value=2),
+        check("expect_column_unique_value_count_to_be_between", "t", min_value=2, max_value=2), check("expect_column_max_to_be_between", "x", max_value=2), check(quality_checks.BETWEEN, "id", min_value=2),
+    ])
+    got = {(r.expectation.split("_column_")[1], r.column): r.failed for r in made.collect()}
+    assert {c: n for (e, c), n in got.items() if e == "values_to_be_unique"} == {"id": 0, "t": 2, "x": 2, "l": 2, "gone": 1}
+    assert [got[k] for k in (("value_lengths_to_be_between", "t"), ("median_to_be_between", "id"), ("unique_value_count_to_be_between", "t"), ("max_to_be_between", "x"), ("values_to_be_between", "id"))] == [1, 0, 0, 1, 1]
+    nothing = quality_checks.run_checks(df.limit(0), [check("expect_column_min_to_be_between", "x", min_value=0), check(quality_checks.UNIQUE, "id")])
+    assert sorted(r.failed for r in nothing.collect()) == [0, 1]
+    with pytest.raises(ConfigError):
+        quality_checks.run_checks(df, [check("expect_nothing", "id")])
+
+
+def test_known_texts_are_not_embedded_again(spark):
+    class Once:
+        dimensions = 1
+
+        def embed(self, texts):
+            if {"old", "own"} & set(texts):
+                raise ValueError("known texts are not asked for")
+            return [[float(len(t))] for t in texts]
+
+    class Wide(Once):
+        def embed(self, texts):
+            return [[1.0, 2.0] for _ in texts]
+
+    df = spark.createDataFrame([(1, "old", None), (2, "new", None), (3, "old", [0.0]), (4, None, None), (5, "own", [7.0]), (6, "zero", None)], "id int, t string, embedding array<float>")
+    earlier = spark.createDataFrame([("old", [5.0]), ("old", [4.0]), ("own", [1.0]), ("other", [2.0]), ("zero", [0.0]), ("new", None)], "t string, embedding array<float>")
+    got = {r.id: r.embedding for r in embed.create_embeddings(df, "t", Once, previous=earlier).collect()}
+    assert got == {1: [4.0], 2: [3.0], 3: [4.0], 4: None, 5: [7.0], 6: [4.0]}
+    with pytest.raises(Exception, match="dimensions"):
+        embed.create_embeddings(df, "t", Wide).collect()
+
+
 def test_root_documents(spark):
     df = spark.createDataFrame([("a", "b", "A", "d", "http://a", "PUBLIC"), ("b", None, "B", "e", "http://b", "PUBLIC")], "id string, metadata_root_document_id string, title string, metadata_description string, metadata_url string, content_type string")
     out = joins.root_documents(df)
