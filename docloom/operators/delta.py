@@ -81,8 +81,8 @@ def prepare(df: DataFrame, load_type: str, previous: DataFrame | None = None, on
 
     Earlier rows that are deleted or past ``expiry`` (if they have its column) are not carried. ``force`` processes carried
     rows again as updates and leaves ``modified`` aside. ``modified`` ("metadata" or "content") processes only rows whose
-    flag of that name says so, if there is one; the others come from the earlier output as they were. Without an earlier
-    output everything but deletions is processed, whatever ``modified`` says.
+    flag of that name says so, if there is one; the others come from the earlier output as they were, one row for each
+    id (the first in the order of all columns). Without an earlier output everything but deletions is processed, whatever ``modified`` says.
     """
     load_type, previous_on = load_type.upper(), previous_on or on
     if action not in df.columns:
@@ -103,8 +103,8 @@ def prepare(df: DataFrame, load_type: str, previous: DataFrame | None = None, on
         return concatenate(todo, carried.withColumn(action, F.lit("U"))), None
     if modified and f"{modified}_is_modified" in todo.columns:
         flag = F.coalesce(F.col(f"{modified}_is_modified").isin("I", "U"), F.lit(False))
-        kept = semi(previous, todo.where(~flag), previous_on, on)
-        return todo.where(flag), concatenate(kept, semi(carried, kept, previous_on, keep=False))
+        kept = remove_duplicates(semi(previous, todo.where(~flag), previous_on, on), [previous_on])
+        return todo.where(flag), concatenate(kept, remove_duplicates(semi(carried, kept, previous_on, keep=False), [previous_on]))
     return todo, carried
 
 

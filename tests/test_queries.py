@@ -5,6 +5,7 @@ import os
 import pytest
 
 import docloom.queries as registered
+from docloom.functions.html import html_to_text
 
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
@@ -25,6 +26,24 @@ def canonical(rows):
     return sorted(tuple(map(plain, r)) for r in rows)
 
 
+def _words_are_kept(spark, out, table, key, column, size, plain):
+    """Chunks are bounded, and a text's words stand in its chunks in their order (overlaps and table heads stand there twice)."""
+    chunks = {}
+    for r in out.collect():
+        assert 0 < len(r.chunk) <= size
+        chunks.setdefault(r[key], []).append((int(r.chunk_id.rsplit("-", 1)[1]), r.chunk))
+    for row in spark.read.parquet(f"{DIR}/{table}.parquet").collect():
+        words = iter(" ".join(plain(c) for _, c in sorted(chunks.get(row[key], []))).split())
+        assert all(w in words for w in plain(row[column] or "").split()), row[key]
+
+
+#: What queries without a counterpart in SQL must hold.
+HELD = {
+    "chunk_recursive": lambda spark, out: _words_are_kept(spark, out, "documents", "doc_id", "text", 2000, lambda t: t),
+    "chunk_html": lambda spark, out: _words_are_kept(spark, out, "pages", "page_id", "html", 600, lambda t: html_to_text(t) or ""),
+}
+
+
 @pytest.mark.parametrize("name", sorted(registered.QUERIES))
 def test_query(spark, duck, name):
     out = registered.QUERIES[name](spark, DIR)
@@ -32,6 +51,7 @@ def test_query(spark, duck, name):
     got = [tuple(r) for r in out.select(*columns).collect()]
     if name not in registered.ORACLE_SQL:
         assert got
+        HELD[name](spark, out)
         return
     done = duck.execute(registered.ORACLE_SQL[name])
     names = [d[0] for d in done.description]

@@ -111,6 +111,14 @@ def test_expired_rows_are_not_carried(spark):
     assert kept.count() == 0
 
 
+def test_earlier_rows_of_an_id_are_carried_once(spark):
+    now = spark.createDataFrame([("1", "U", "N"), ("2", "U", "U"), ("3", "N", "N")], "id string, action string, content_is_modified string")
+    before = spark.createDataFrame([("1", "b"), ("1", "a"), ("2", "c"), ("3", "e"), ("3", "d")], "id string, text string").withColumn("action", F.lit("I"))
+    todo, carried = delta.prepare(now, "DELTA", before, modified="content")
+    assert [r.id for r in todo.collect()] == ["2"]
+    assert sorted((r.id, r.text) for r in carried.collect()) == [("1", "a"), ("3", "d")]
+
+
 def test_comparison(spark):
     df = spark.createDataFrame([("a", "a"), (None, "a"), ("a", None), ("a", "b"), (None, None)], "md5 string, md5_prev string")
     assert [r.action for r in delta.compare(df, [delta.Comparison("md5")]).collect()] == ["N", "D", "I", "U", "I"]
