@@ -98,3 +98,24 @@ def is_refusal(column: Column) -> Column:
     for pattern in REFUSALS:
         found = found | column.rlike(r"(?im)\A" + pattern.removeprefix("^"))
     return F.coalesce(found, F.lit(False))
+
+
+_REPLY = "struct<choices:array<struct<finish_reason:string,message:struct<content:string,refusal:string,tool_calls:array<struct<function:struct<arguments:string>>>>>>>"
+
+
+def checked_reply(reply: Column, tool: bool = False) -> Column:
+    """(text, problem) of a chat completion as JSON; the text is null where there is a problem.
+
+    ``text`` is the content, or the arguments of the first tool call if there is one (with ``tool`` there must be one, and
+    its arguments must be JSON). Problems: no response, content filter, length, refusal, no tool call, broken arguments.
+    """
+    first = F.get(F.from_json(reply, _REPLY)["choices"], 0)
+    message = first["message"]
+    arguments = F.get(message["tool_calls"], 0)["function"]["arguments"]
+    text = F.coalesce(arguments, F.lit(None).cast("string") if tool else message["content"])
+    problem = (
+        F.when(first.isNull(), "no response").when(first["finish_reason"] == "content_filter", "content filter").when(first["finish_reason"] == "length", "length")
+        .when(F.coalesce(message["refusal"], F.lit("")) != "", "refusal").when(F.lit(tool) & arguments.isNull(), "no tool call")
+        .when(arguments.isNotNull() & F.try_parse_json(arguments).isNull(), "broken arguments").when(text.isNull(), "no response")
+    )
+    return F.struct(F.when(problem.isNull(), text).alias("text"), problem.alias("problem"))

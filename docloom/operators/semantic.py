@@ -41,6 +41,12 @@ def create_questions(articles: DataFrame, make: Callable[[], Chat], language: st
     return rows.withColumn("question_id", question_id(F.col("question"), F.col("answer"))).withColumn("question_uuid", F.md5(F.concat_ws("|", "question_id", "source_id"))), todo
 
 
+def with_languages(questions: DataFrame, articles: DataFrame, language: str = "metadata_language", out: str = "language") -> DataFrame:
+    """The language of each question's source article; null where there is no such article. Of repeated articles the first language in order."""
+    known = articles.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("__id")).agg(F.min(language).alias("__language"))
+    return questions.drop(out).join(known, F.col("source_id") == F.col("__id"), "left").withColumn(out, F.col("__language")).drop("__id", "__language")
+
+
 def expand_merge_results(questions: DataFrame, responses: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     """The questions of each cluster after a model has merged them.
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.columns import is_refusal, is_zero_vector, iso_time, question_id
+from docloom.functions.columns import checked_reply, is_refusal, is_zero_vector, iso_time, question_id
 from docloom.functions.splitters import SEPARATORS, Strategy
 from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, graph, joins, project, publish, quality_checks, semantic, sets, text, transform, translate
 from docloom.plans import rules
@@ -606,6 +606,75 @@ for _name, _ending in (("parquet", "parquet"), ("ndjson", "nd.json"), ("csv", "c
     _written(_name, _ending, "SELECT o_orderkey, o_custkey, o_totalprice, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS o_orderdate FROM orders")
 
 
+_NATION = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+
+
+def _as_json(spark, d) -> DataFrame:
+    return table(spark, d, "nation").select(F.struct("n_nationkey", "n_name", "n_regionkey").alias("row"))
+
+
+def _parsed(records: DataFrame) -> DataFrame:
+    return records.select(F.from_json("value", "n_nationkey bigint, n_name string, n_regionkey bigint").alias("row")).select("row.*")
+
+
+@registered(_NATION)
+def scan_yaml(spark, d):
+    """Lists in several YAML files, each parsed where it is read."""
+    uri = f"{checkpoint_dir(spark)}/nation-{uuid.uuid4().hex}.yaml"
+    _as_json(spark, d).select(F.concat(F.lit("- "), F.to_json("row"))).repartition(3).write.text(uri)
+    return _parsed(readers.read_records(spark, uri))
+
+
+@registered(_NATION)
+def scan_json(spark, d):
+    """An array in a JSON file."""
+    uri = f"{checkpoint_dir(spark)}/nation-{uuid.uuid4().hex}.json"
+    _as_json(spark, d).agg(F.to_json(F.collect_list("row"))).write.text(uri)
+    return readers.read_table(spark, uri).select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("bigint").alias("n_regionkey"))
+
+
+@registered(_NATION)
+def moved_input(spark, d):
+    """A table read from where its input was moved to."""
+    uri = sinks.write_table(_as_json(spark, d).select("row.*"), f"{checkpoint_dir(spark)}/in-{uuid.uuid4().hex}/nation.parquet")
+    return readers.read_table(spark, sinks.move_to_processed(spark, uri)).select("n_nationkey", "n_name", "n_regionkey")
+
+
+@registered("""SELECT CASE WHEN page_id % 3 = 0 THEN 'error' ELSE 'document' END AS kind, CASE WHEN page_id % 3 > 0 THEN page_id::VARCHAR END AS id, CASE WHEN page_id % 3 = 0 THEN md5('no json: ' || url) END AS record_md5 FROM pages""")
+def error_split(spark, d):
+    """Documents and, beside them, the records that are none, both read back."""
+    value = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("no json: "), "url")).otherwise(F.to_json(F.struct("page_id", "url")))
+    made = transform.map_records(table(spark, d, "pages").select(value.alias("value")), "value", {"id": "$.page_id", "name": "$.url", "content": []})
+    good, bad = sinks.write_split(made, f"{checkpoint_dir(spark)}/documents-{uuid.uuid4().hex}.parquet")
+    documents = readers.read_table(spark, good).select(F.lit("document").alias("kind"), "id", F.lit(None).cast("string").alias("record_md5"))
+    return documents.unionByName(readers.read_table(spark, bad).select(F.lit("error").alias("kind"), F.lit(None).cast("string").alias("id"), F.md5("record").alias("record_md5")))
+
+
+@registered("""WITH k AS (SELECT conv_id, turn, text, (conv_id + turn) % 8 AS k FROM conversations)
+SELECT conv_id, turn, CASE k WHEN 0 THEN NULL WHEN 5 THEN '{"a": ' || turn || '}' ELSE CASE WHEN k IN (1, 2, 3, 4, 6) THEN NULL ELSE text END END AS reply,
+       CASE k WHEN 0 THEN 'no response' WHEN 1 THEN 'content filter' WHEN 2 THEN 'length' WHEN 3 THEN 'refusal' WHEN 4 THEN 'broken arguments' WHEN 6 THEN 'no response' WHEN 7 THEN CASE WHEN text IS NULL THEN 'no response' END END AS problem FROM k""")
+def reply_checks(spark, d):
+    """Replies without a choice, cut off, filtered, refused, with whole and broken tool arguments, without and with a text."""
+    k = (F.col("conv_id") + F.col("turn")) % 8
+    arguments = F.when(k == 4, '{"a": ').when(k == 5, F.concat(F.lit('{"a": '), "turn", F.lit("}")))
+    message = F.struct(F.when(k == 6, None).otherwise(F.col("text")).alias("content"), F.when(k == 3, "no").alias("refusal"), F.when(arguments.isNotNull(), F.array(F.struct(F.struct(arguments.alias("arguments")).alias("function")))).alias("tool_calls"))
+    choice = F.struct(F.when(k == 1, "content_filter").when(k == 2, "length").otherwise("stop").alias("finish_reason"), message.alias("message"))
+    reply = F.to_json(F.struct(F.when(k == 0, F.array().cast(f"array<{_CHOICE}>")).otherwise(F.array(choice)).alias("choices")))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", checked_reply(reply).alias("r"))
+    return rows.select("conv_id", "turn", F.col("r.text").alias("reply"), F.col("r.problem").alias("problem"))
+
+
+_CHOICE = "struct<finish_reason:string,message:struct<content:string,refusal:string,tool_calls:array<struct<function:struct<arguments:string>>>>>"
+
+
+@registered("SELECT o_orderkey, c_mktsegment AS language FROM orders LEFT JOIN customer ON c_custkey = CASE WHEN o_orderkey % 4 = 0 THEN -1 ELSE o_custkey END")
+def question_languages(spark, d):
+    """Questions with the language of their source article, some of which are gone."""
+    questions = table(spark, d, "orders").select("o_orderkey", F.expr("CASE WHEN o_orderkey % 4 = 0 THEN -1 ELSE o_custkey END").alias("source_id"), F.lit("old").alias("language"))
+    articles = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("metadata_language"))
+    return semantic.with_languages(questions, articles).select("o_orderkey", "language")
+
+
 class _Answers:
     """A chat that rates by the answer's first word, and translates into lower case all but what speaks of buildings."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +41,17 @@ def read_records(spark: SparkSession, uri: str) -> DataFrame:
     if kind == "ndjson":
         return spark.read.text(uri).where(F.try_parse_json("value").isNotNull())
     if kind == "yaml":
-        import yaml
 
-        text = "\n".join(r[0] for r in spark.read.text(uri, wholetext=True).collect())
-        found = yaml.safe_load(text)
-        return spark.createDataFrame([(json.dumps(x, default=str),) for x in (found if isinstance(found, list) else [found])], "value string")
+        def parse(batches):
+            import yaml
+
+            for batch in batches:
+                for text in batch.column(0):
+                    found = [x for document in yaml.safe_load_all(text.as_py()) if document is not None for x in (document if isinstance(document, list) else [document])]
+                    yield pa.RecordBatch.from_arrays([pa.array([json.dumps(x, default=str) for x in found], pa.string())], ["value"])
+
+        # each file is parsed where it is read
+        return spark.read.text(uri, wholetext=True).where(F.trim("value") != "").mapInArrow(parse, "value string")
     return read_table(spark, uri).select(F.to_json(F.struct("*")).alias("value"))
 
 

@@ -80,6 +80,13 @@ def write_table(df: DataFrame, uri: str, mode: str = "errorifexists") -> str:
     return uri
 
 
+def write_split(documents: DataFrame, uri: str, mode: str = "errorifexists") -> tuple[str, str]:
+    """Documents without an ``error`` to uri, the others with their error and record as NDJSON beside it; both paths."""
+    good = write_table(documents.where("error IS NULL").drop("error", "record"), uri, mode)
+    stem = uri.rstrip("/").removesuffix(".nd.json") if uri.rstrip("/").endswith(".nd.json") else uri.rstrip("/").rsplit(".", 1)[0]
+    return good, write_table(documents.where("error IS NOT NULL").select("error", "record"), f"{stem}_errors.nd.json", mode)
+
+
 def move_to_processed(spark, uri: str) -> str:
     """Move an input into the folder ``processed`` beside it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)

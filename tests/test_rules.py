@@ -130,3 +130,14 @@ def test_match_and_removal_split_a_table(spark, values, pattern):
     df = spark.createDataFrame([(v,) for v in values], "t string")
     both = filters.filter_by_match(df, "t", pattern).collect() + filters.remove_by_match(df, "t", pattern).collect()
     assert sorted(r[0] or "\0" for r in both) == sorted(v or "\0" for v in values)
+
+
+def test_replies(spark):
+    from docloom.functions.columns import checked_reply
+
+    whole = '{"choices": [{"finish_reason": "stop", "message": {"content": "hi"}}]}'
+    called = '{"choices": [{"finish_reason": "tool_calls", "message": {"content": null, "tool_calls": [{"function": {"arguments": "{\\"a\\": 1}"}}]}}]}'
+    df = spark.createDataFrame([(1, whole), (2, called), (3, None), (4, "no json"), (5, '{"choices": []}'), (6, '{"choices": [{"finish_reason": "length", "message": {"content": "h"}}]}')], "id int, r string")
+    got = {r.id: (tuple(r.plain), tuple(r.tool)) for r in df.select("id", checked_reply(df.r).alias("plain"), checked_reply(df.r, tool=True).alias("tool")).collect()}
+    assert got[1] == (("hi", None), (None, "no tool call")) and got[2] == (('{"a": 1}', None),) * 2
+    assert got[3] == got[4] == got[5] == ((None, "no response"),) * 2 and got[6][0] == (None, "length")
