@@ -8,7 +8,7 @@ import math
 import re
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Protocol
 
 from docloom.errors import ModelCallError
@@ -83,6 +83,27 @@ class Throttle:
         return None
 
 
+    @property
+    def bounded(self) -> bool:
+        return not (math.isinf(self.requests_per_minute) and math.isinf(self.tokens_per_minute))
+
+    def lease(self, part: int, of: int) -> Throttle:
+        """One of ``of`` equal parts of the quota; the first calls of the parts are as far apart as calls of the whole may be."""
+        first = self.clock() + part * 60 / self.requests_per_minute
+        return replace(self, requests_per_minute=self.requests_per_minute / of, tokens_per_minute=self.tokens_per_minute / of, free_at=max(self.free_at, first))
+
+
+@dataclass
+class Deployed:
+    """A maker of models with the quota of their deployment, which all calls of one table share."""
+
+    make: Callable[[], object]
+    throttle: Throttle
+
+    def __call__(self) -> object:
+        return self.make()
+
+
 _SLOT = re.compile(r"\{\{\s*(\w+)\s*\}\}")
 
 

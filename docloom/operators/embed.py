@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +16,20 @@ from docloom.functions.tokens import count_tokens, token_batches
 from docloom.session import materialize
 
 
-def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], out: str = "embedding", throttle: Throttle = Throttle(), most_tokens: float = 100_000) -> DataFrame:
+def _leased(df: DataFrame, make: Callable[[], object], throttle: Throttle | None) -> tuple[DataFrame, Callable[[], Throttle]]:
+    """The rows, and what makes a task's own pace. A bounded quota is leased in equal parts to as many partitions as can run at once."""
+    quota = throttle or getattr(make, "throttle", None) or Throttle()
+    if not quota.bounded:
+        return df, lambda: replace(quota)
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(parts), lambda: quota.lease(TaskContext.get().partitionId() % parts, parts)
+
+
+def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], out: str = "embedding", throttle: Throttle | None = None, most_tokens: float = 100_000) -> DataFrame:
     """(column, out) of the distinct texts; a text that fails gets a zero vector. A vector of other dimensions than the model's is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, pace = make(), replace(throttle)
+        model, pace = make(), lease()
         for batch in batches:
             found, vectors = batch.column(0).to_pylist(), []
             zero = [0.0] * model.dimensions
@@ -32,7 +42,8 @@ def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], out
                 vectors += [v or zero for v in made] + [zero] * (len(some) - len(made))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.list_(pa.float32()))], [column, out])
 
-    return texts.select(column).where(F.col(column).isNotNull()).distinct().mapInArrow(run, f"`{column}` string, `{out}` array<float>")
+    rows, lease = _leased(texts.select(column).where(F.col(column).isNotNull()).distinct(), make, throttle)
+    return rows.mapInArrow(run, f"`{column}` string, `{out}` array<float>")
 
 
 def create_embeddings(df: DataFrame, column: str, make: Callable[[], Embedder], out: str = "embedding", previous: DataFrame | None = None) -> DataFrame:
@@ -56,13 +67,14 @@ def create_embeddings(df: DataFrame, column: str, make: Callable[[], Embedder],
     return joined.withColumn(out, F.coalesce("__own", "__new")).drop("__own", "__new", "__text")
 
 
-def ask(df: DataFrame, prompt: str, make: Callable[[], Chat], out: str, variables: dict[str, str] | None = None, template: str | None = None, throttle: Throttle = Throttle(), most_tokens: float = 100_000) -> DataFrame:
+def ask(df: DataFrame, prompt: str, make: Callable[[], Chat], out: str, variables: dict[str, str] | None = None, template: str | None = None, throttle: Throttle | None = None, most_tokens: float = 100_000) -> DataFrame:
     """Adds the answers to a prompt rendered from each row; a variable without such a column stands for itself. The rows are written once, as a model's answers may differ from call to call."""
     variables, template = variables or PROMPTS[prompt], template or TEMPLATES[prompt]
     names = df.columns
+    rows, lease = _leased(df, make, throttle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, pace = make(), replace(throttle)
+        model, pace = make(), lease()
         for batch in batches:
             columns = {v: batch.column(c).to_pylist() if c in names else [c] * batch.num_rows for v, c in variables.items()}
             prompts = [render(template, dict(zip(columns, row, strict=True))) for row in zip(*columns.values(), strict=True)]
@@ -72,7 +84,7 @@ def ask(df: DataFrame, prompt: str, make: Callable[[], Chat], out: str, variable
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, pa.string())], [*batch.schema.names, out])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
-    return materialize(df.mapInArrow(run, f"{schema}, `{out}` string"))
+    return materialize(rows.mapInArrow(run, f"{schema}, `{out}` string"))
 
 
 def generate_metadata(df: DataFrame, prompts: Sequence[str], make: Callable[[], Chat], enabled: bool = True) -> DataFrame:

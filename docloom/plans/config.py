@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, fields
 from typing import Any
 
 from docloom.errors import ConfigError
+from docloom.functions.ports import Throttle
 
 
 @dataclass(frozen=True)
@@ -57,6 +59,12 @@ def deployment(items: Sequence[Mapping[str, Any]], name: str, model: str | None
     return found
 
 
+def quota(found: Mapping[str, Any]) -> Throttle:
+    """The pace of a deployment: its tokens a minute, and six requests a minute for every thousand of them unless it names its own."""
+    tokens = float(found.get("tpm") or math.inf)
+    return Throttle(requests_per_minute=float(found.get("rpm") or tokens / 1000 * 6), tokens_per_minute=tokens, attempts=int(found.get("attempts", 5)), cool_down=float(found.get("cool_down", 60)))
+
+
 def read_config(path: str) -> dict[str, Any]:
     import yaml
 

@@ -10,8 +10,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.errors import ConfigError
-from docloom.functions.ports import Chat, Embedder, HashingEmbedder, TemplateChat
+from docloom.functions.ports import Chat, Deployed, Embedder, HashingEmbedder, TemplateChat
 from docloom.operators import chunk, delta, embed, joins, project, semantic, sets, transform, translate
+from docloom.plans.config import deployment, quota
 from docloom.plans.hooks import Hooks
 from docloom.plans.rules import clean
 from docloom.session import materialize
@@ -131,12 +132,17 @@ def expand_steps(names: Sequence[str] | None, questions: bool = False) -> list[s
     return [x for n in wanted for x in (SEMANTIC if questions and n == "chunk" else (n,))]
 
 
-def from_config(spark: SparkSession, config: Mapping[str, Any], hooks: Hooks | None = None) -> Pipeline:
-    """Steps from ``pipeline: [{name, type, inputs, ...options}]``; a step without inputs reads the one before it."""
+def from_config(spark: SparkSession, config: Mapping[str, Any], hooks: Hooks | None = None, make_embedder: Callable[[], Embedder] = HashingEmbedder, make_chat: Callable[[], Chat] = TemplateChat) -> Pipeline:
+    """Steps from ``pipeline: [{name, type, inputs, ...options}]``; a step without inputs reads the one before it.
+
+    ``models: {chat, embed}`` name entries of ``deployments``, whose quotas all calls of a step share.
+    """
     steps, before = [], "input"
     for item in config.get("pipeline") or [{"name": n, "type": n} for n in DEFAULT]:
         options = {k: v for k, v in item.items() if k not in ("name", "type", "inputs", "write")}
         base = {k: v for k, v in (config.get(item["type"]) or {}).items()}
         steps.append(Step(item["name"], item["type"], item.get("inputs") or (before,), base | options, bool(item.get("write"))))
         before = item["name"]
-    return Pipeline(steps, hooks or Hooks())
+    models = config.get("models") or {}
+    paced = lambda make, use: Deployed(make, quota(deployment(config.get("deployments") or [], models[use]))) if use in models else make
+    return Pipeline(steps, hooks or Hooks(), make_embedder=paced(make_embedder, "embed"), make_chat=paced(make_chat, "chat"))

@@ -312,3 +312,28 @@ def test_calls_are_paced_and_bounded(spark):
     rows = spark.createDataFrame([("a b c",), ("d",)], "text string").coalesce(1)
     asked = lambda most: sorted(str(r.out) for r in embed.ask(rows, "x", Refusing, "out", {"text": "text"}, "{{ text }}", Throttle(cool_down=0), most).collect())
     assert asked(3) == ["A B C", "D"] and asked(100) == ["None", "None"]
+
+
+def test_partitions_share_a_quota(spark):
+    from docloom.plans.config import quota
+
+    class Clock:
+        dimensions = 1
+
+        def answer(self, prompts):
+            import time
+
+            return [str(time.time()) for _ in prompts]
+
+    rows = spark.createDataFrame([(f"text {i}",) for i in range(24)], "text string").repartition(8)
+    for deployed, least in (({"name": "a", "rpm": 600}, 0.1), ({"name": "a", "tpm": 1200, "rpm": 6_000}, 0.1)):
+        make = from_config(spark, {"deployments": [deployed], "models": {"chat": "a"}}, make_chat=Clock).make_chat
+        made = embed.ask(rows, "x", make, "at", {"text": "text"}, "{{ text }}", most_tokens=2)
+        at = sorted(float(r["at"]) for r in made.collect())
+        # ten calls of two tokens a second: of any twelve in a row the last comes a second after the first, but for one call of each part
+        assert len(at) == 24 and all(b - a >= least * (11 - spark.sparkContext.defaultParallelism) for a, b in zip(at, at[11:], strict=False))
+        assert at[-1] - at[0] >= 24 * least - 1
+    pace = quota({"name": "b", "tpm": 350_000})
+    assert (pace.requests_per_minute, pace.tokens_per_minute) == (2100, 350_000) and not quota({"name": "c"}).bounded
+    part = pace.lease(2, 4)
+    assert (part.requests_per_minute, part.tokens_per_minute) == (525, 87_500)
