@@ -606,6 +606,14 @@ for _name, _ending in (("parquet", "parquet"), ("ndjson", "nd.json"), ("csv", "c
     _written(_name, _ending, "SELECT o_orderkey, o_custkey, o_totalprice, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS o_orderdate FROM orders")
 
 
+@registered("""WITH v AS (SELECT doc_id::VARCHAR AS id, length(text) AS a, length(text) - length(replace(text, ' ', '')) AS b FROM documents WHERE text IS NOT NULL)
+SELECT id, CASE WHEN count(*) OVER (PARTITION BY a, b) > 1 THEN min(id) OVER (PARTITION BY a, b) ELSE '-1' END AS cluster_id FROM v""")
+def clustered_frame(spark, d):
+    """Questions embedded, labelled and named by cluster; near are those of the same length and number of blanks."""
+    questions = table(spark, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").cast("string").alias("question_uuid"), F.col("text").alias("question"))
+    return semantic.clustered(questions, _Lengths, 0.5).select(F.col("question_uuid").alias("id"), "cluster_id")
+
+
 _NATION = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
 
 
