@@ -8,7 +8,8 @@ their bytes.
 
 Defined cases: a null text is encoded as the empty text (no ids, decoded to
 b""); rows with a null or repeated document id are encoded like any other, one
-output row per input row; extra columns of the input are not carried.
+output row per input row; extra columns are dropped unless named in ``keep``; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations

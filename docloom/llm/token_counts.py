@@ -9,7 +9,8 @@ sums above the touched leaves change.
 
 Defined cases: a null text counts as empty; null edits are none; edits apply one
 after the other, positions in code points of the text as it then is, and are cut
-to its length; repeated rows are counted alike.
+to its length; repeated rows are counted alike; other columns are not read but by
+the edits; an empty table gives an empty result.
 """
 
 from __future__ import annotations
