@@ -3,53 +3,94 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from typing import Any
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.content import columns_of
-from docloom.functions.mapping import map_document, roots
+from docloom.functions import mapping as paths
+from docloom.functions.content import texts_of
 
-_FIELDS = ("id", "title", "metadata", "content_full", "content_raw", "html_content", "content_type", "error", "record")
+_FIELDS = ("id", "title", "metadata", "content", "content_full", "content_raw", "html_content", "content_type", "error", "record")
+_TEXTS = ("content_full", "content_raw", "html_content")
 #: Metadata without a value.
 DEFAULTS = {"language": "English", "classification": "PROTECTED", "type": "KNOWLEDGE"}
 EXPIRY = "2260-12-31T23:59:59.999999Z"
+#: JSON of content with a classification that is not empty and not PUBLIC; a key's opening quote follows a brace or a comma, a text's never ends before a colon.
+_NOT_PUBLIC = r'[{,]"classification":(?!("PUBLIC"|null|""|\[\]|\{\}|false|0)[,}])'
 
 
-def map_records(records: DataFrame, json_col: str, mapping: dict[str, Any] | None = None, root: str | None = None, delimiter: str | None = None) -> DataFrame:
-    """One row a document: fields, metadata as a JSON object, and ``error`` with the record where it cannot be read.
+def _parsed_texts(delimiter: str | None) -> Any:
+    @F.pandas_udf(", ".join(f"{t} string" for t in _TEXTS))
+    def texts(contents: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([dict.fromkeys(_TEXTS) if c is None else texts_of(json.loads(c), delimiter) for c in contents], columns=list(_TEXTS))
+
+    return texts(F.col("content"))
+
+
+def _plain_texts(blocks: Column, delimiter: str | None) -> Column:
+    text = lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.lit(""))
+    held = lambda b: F.when(b["rows"].isNotNull(), F.concat(F.coalesce(text(b["columns"]), F.lit("")), F.lit("\n"), text(b["rows"]))).otherwise(F.coalesce(F.array_join(F.transform(b["data"], text), "\n"), F.lit("")))
+    title = lambda b: F.when(text(b["title"]) != "", F.concat(F.lit(f"\n{delimiter or ''}# "), text(b["title"]), F.lit("\n"))).otherwise("")
+    raw = F.array_join(F.transform(blocks, held), "\n")
+    full = F.array_join(F.transform(blocks, lambda b: F.concat(title(b), held(b))), "\n")
+    return F.struct(full.alias("content_full"), raw.alias("content_raw"), raw.alias("html_content"))
 
-    Content is recursive, which no Spark type is, so it is parsed and flattened in Arrow batches.
-    """
 
-    def rows(text: str | None) -> Iterator[dict[str, Any]]:
-        try:
-            for found in roots(json.loads(text or "null"), root):
-                document = map_document(found, mapping) if mapping else found
-                if not isinstance(document, dict) or not document.get("name"):
-                    raise ValueError("a document needs a name")
-                metadata = DEFAULTS | {k: v for k, v in (document.get("metadata") or {}).items() if v is not None}
-                key = document.get("id")
-                yield {"id": None if key is None else str(key), "title": str(document["name"]), "metadata": json.dumps(metadata, sort_keys=True, ensure_ascii=False), "error": None, "record": None} | columns_of(document | {"metadata": metadata}, delimiter)
-        except (ValueError, TypeError, KeyError, AttributeError) as problem:
-            yield dict.fromkeys(_FIELDS) | {"error": f"{type(problem).__name__}: {problem}", "record": text}
+def map_records(records: DataFrame, json_col: str, mapping: dict[str, Any] | None = None, root: str | None = None, delimiter: str | None = None, markup: bool = True) -> DataFrame:
+    """One row a document: fields, metadata and content as JSON, and ``error`` with the record where it cannot be read.
+
+    Records are parsed once, as VARIANT, and the mapping is an expression over them. Only the texts of content leave the JVM,
+    because HTML needs a parser and blocks within blocks have no Spark type, and only where a query takes them; with
+    ``markup=False`` HTML and what a block's data hold beside texts stay as they stand, and nothing leaves it.
+
+    A record that is null, no JSON, beyond the size of a VARIANT or has a key twice is an error with its text; so is one without
+    a value at ``root``. Each document without a name, or with metadata that are no object, is an error with its own JSON; the
+    documents beside it stay. An empty list, like an empty table, has no documents. Only ``json_col`` is read, so other columns
+    may have any name. A document is MIXED if its metadata say public and any classification inside its content does not.
+    """
+    if mapping:
+        paths.checked(mapping)
+    elif not markup:
+        raise ValueError("content that is not mapped has blocks within blocks")
+    fields = mapping or {"id": "$.id", "name": "$.name"}
+    text = lambda v: F.try_variant_get(v, "$", "string")
 
-    def run(batches):
-        schema = pa.schema([(f, pa.string()) for f in _FIELDS])
-        for batch in batches:
-            yield pa.RecordBatch.from_pylist([r for t in batch.column(0).to_pylist() for r in rows(t)], schema)
+    def document(found: Column) -> Column:
+        name = F.nullif(text(paths.first(found, fields["name"])), F.lit(""))
+        wrong = F.when(name.isNull(), "ValueError: a document needs a name")
+        if not mapping:
+            wrong = wrong.when(paths.own_metadata(found, DEFAULTS).isNull(), "TypeError: metadata must be an object")
+        return F.struct(found.alias("doc"), name.alias("title"), wrong.alias("error"), F.when(wrong.isNotNull(), F.to_json(found)).alias("record"))
 
-    return records.select(json_col).mapInArrow(run, ", ".join(f"{f} string" for f in _FIELDS))
+    unread = lambda why: F.array(F.struct(F.lit(None).cast("variant").alias("doc"), F.lit(None).cast("string").alias("title"), F.lit(why).alias("error"), F.col("record")))
+    parsed = records.select(F.col(json_col).alias("record"), F.try_parse_json(json_col).alias("value"))
+    found = F.when(F.col("value").isNull(), unread("ValueError: not a JSON record")).otherwise(F.coalesce(F.transform(paths.roots(F.col("value"), root), document), unread(f"ValueError: no value at {root}")))
+    rows = parsed.select(F.explode(found).alias("found")).select("found.*")
+    good = lambda value: F.when(F.col("error").isNull(), value)
+    doc = F.col("doc")
+    if mapping:
+        metadata, blocks = paths.metadata(doc, mapping, DEFAULTS), paths.content(doc, mapping)
+        content = F.to_json("blocks")
+    else:
+        metadata, blocks = paths.own_metadata(doc, DEFAULTS), F.lit(None).cast("string")
+        content = F.coalesce(F.to_json(paths.first(doc, "$.content")), F.lit("[]"))
+    rows = rows.select("title", "error", "record", good(text(paths.first(doc, fields["id"]))).alias("id"), good(metadata).alias("values"), good(blocks).alias("blocks"), *([] if mapping else ["doc"]))
+    rows = rows.select("id", "title", F.to_json("values").alias("metadata"), good(content).alias("content"), "values", "blocks", "error", "record")
+    groups = F.coalesce(F.to_json(F.col("values")["access_groups"]), F.lit("[]"))
+    private = (F.coalesce(F.nullif(text(F.col("values")["classification"]), F.lit("")), F.lit("PROTECTED")) != "PUBLIC") | ~groups.isin("null", "[]", '""', "{}", "false", "0")
+    kind = F.when(private, "PRIVATE").when(F.col("content").rlike(_NOT_PUBLIC), "MIXED").otherwise("PUBLIC")
+    texts = _parsed_texts(delimiter) if markup else good(_plain_texts(F.col("blocks"), delimiter))
+    rows = rows.select("*", texts.alias("texts"), good(kind).alias("content_type"))
+    return rows.select(*(F.col("texts")[f].alias(f) if f in _TEXTS else F.when(F.col("error").isNull(), F.col(f)).alias(f) if f == "title" else F.col(f) for f in _FIELDS))
 
 
 def curate(documents: DataFrame, metadata_keys: list[str], content_column: str = "content_full") -> DataFrame:
     """The curated table: one column for each metadata key, hashes, and where there is no id one made of the content, the same in every run."""
     if content_column not in ("content_full", "content_raw", "html_content"):
         raise ValueError(f"not a content column: {content_column}")
-    rows = documents.where("error IS NULL").withColumn("id", F.coalesce("id", F.md5(F.to_json(F.struct("title", "metadata", "content_full")))))
+    rows = documents.where("error IS NULL").withColumn("id", F.coalesce("id", F.md5(F.to_json(F.struct("title", "metadata", "content")))))
     meta = lambda k: F.get_json_object("metadata", f"$['{k}']")
     typed = {"created": "timestamp", "modified": "timestamp", "expiry": "timestamp"}
     listed = ("tags", "access_groups", "region")

@@ -540,7 +540,7 @@ def transform_wildcard(spark, d):
     """Twelve parts of every document in their order."""
     parts = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.struct(F.concat(F.lit("part "), i, F.lit(" of "), F.col("page_id")).alias("body")))
     records = table(spark, d, "pages").select(F.to_json(F.struct("page_id", "url", parts.alias("parts"))).alias("value"))
-    rows = transform.map_records(records, "value", {"id": "$.page_id", "name": "$.url", "content": [{"data": "$.parts[*].body"}]})
+    rows = transform.map_records(records, "value", {"id": "$.page_id", "name": "$.url", "content": [{"data": "$.parts[*].body"}]}, markup=False)
     # what stands between the parts is the mapping's own choice of blanks
     return rows.select("id", F.md5(F.regexp_replace(F.trim("content_full"), r"\s*\n\s*", "\n")).alias("content_md5"))
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from docloom.functions.columns import question_id
 from docloom.functions.html import html_to_text, split_html, strip_attributes
-from docloom.functions.mapping import flatten, map_document, roots
 from docloom.functions.ports import HashingEmbedder, TemplateChat, Throttle, render
 from docloom.functions.splitters import recursive_split, sentence_split, splitter, strategy
 from docloom.functions.tokens import count_message_tokens, token_batches
@@ -65,23 +64,6 @@ def test_split_tables_hold_each_word_once(seed):
     assert words == Counter(re.findall(r"w\d+", html))
 
 
-DOC = {"id": 7, "attributes": {"title": "T", "meta": {"d": "desc"}, "blocks": [{"title": f"b{i}", "parts": [{"text": f"p{i}.{j}"} for j in range(2)]} for i in range(12)], "t2": [{"rows": [["a", "b"]], "columns": ["x", "y"], "groups": ["g"]}]}}
-MAPPING = {"id": "$.id", "name": "$.attributes.title", "metadata": {"description": "$.attributes.meta.d", "none": "$.no"}, "content": [{"title": "$.attributes.blocks[*].title", "data": "$.attributes.blocks[*].parts[*].text"}, {"rows": "$.attributes.t2[*].rows", "columns": "$.attributes.t2[*].columns", "metadata": {"access_groups": "$.attributes.t2[*].groups"}}]}
-
-
-def test_mapping():
-    out = map_document(DOC, MAPPING)
-    assert out["id"] == 7 and out["metadata"] == {"description": "desc", "none": None}
-    assert len(out["content"]) == 25 and out["content"][23] == {"title": "b11", "data": ["p11.1"]}
-    assert out["content"][24] == {"columns": ["x", "y"], "rows": [["a", "b"]], "metadata": {"access_groups": ["g"]}}
-    assert ("$.attributes.blocks.11.title", "b11") in flatten(DOC) and flatten({"a": []}) == []
-    assert roots({"x": [[1], [2]]}, "$.x[0]") == [1]
-    with pytest.raises(ValueError):
-        roots(DOC, "$.missing")
-    with pytest.raises(ValueError):
-        map_document(DOC, {"id": "$.id"})
-
-
 def test_transform(spark):
     records = spark.createDataFrame([(json.dumps([{"id": 1, "name": "A", "metadata": {"classification": "PUBLIC", "tags": ["x"], "created": "2024-01-02T03:04:05Z"}, "content": [{"title": "h", "data": ["<p>hi</p>", "there"]}]}, {"id": 2}]),), ("no json",), (json.dumps({"name": "B", "content": "text"}),)], "value string")
     made = transform.map_records(records, "value")
