@@ -602,7 +602,7 @@ def _written(name: str, ending: str, sql: str) -> None:
     registered(sql)(query)
 
 
-for _name, _ending in (("parquet", "parquet"), ("ndjson", "nd.json"), ("csv", "csv")):
+for _name, _ending in (("parquet", "parquet"), ("ndjson", "nd.json"), ("csv", "csv"), ("avro", "avro")):
     _written(_name, _ending, "SELECT o_orderkey, o_custkey, o_totalprice, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS o_orderdate FROM orders")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.errors import SourceNotFound
+from docloom.sources import avro
 
 #: Other names of file types.
 ALIASES = {"yml": "yaml", "jsonl": "ndjson", "nd.json": "ndjson"}
@@ -25,12 +26,15 @@ def file_kind(uri: str) -> str:
     return kind
 
 
-def avro_available(spark: SparkSession) -> bool:
+def avro_format(spark: SparkSession) -> str:
+    """Spark's Avro source where its package is there, else the one of this library."""
     try:
         spark.read.format("avro").schema("x int").load("file:/")
     except Exception as problem:  # noqa: BLE001 any other failure means that the source is there
-        return "Failed to find data source" not in str(problem)
-    return True
+        if "Failed to find data source" in str(problem):
+            spark.dataSource.register(avro.AvroSource)
+            return avro.FORMAT
+    return "avro"
 
 
 def read_records(spark: SparkSession, uri: str) -> DataFrame:
@@ -63,9 +67,11 @@ def read_table(spark: SparkSession, uri: str, columns: Sequence[str] | None = No
     elif kind == "csv":
         df = spark.read.csv(uri, header=True, inferSchema=True, multiLine=True, escape='"')
     elif kind == "avro":
-        if not avro_available(spark):
-            raise NotImplementedError("this Spark has no Avro package; put spark-avro on its class path or use Parquet")
-        df = spark.read.format("avro").load(uri)
+        found = [s.getPath().toString() for s in matching(spark, uri)]
+        if not found:
+            raise SourceNotFound(f"nothing matches {uri}")
+        kind = avro_format(spark)
+        df = spark.read.format(kind).load(found) if kind == "avro" else spark.read.format(kind).option("paths", json.dumps(found)).load()
     elif kind == "yaml":
         rows = read_records(spark, uri)
         return spark.read.json(rows.rdd.map(lambda r: r[0]))

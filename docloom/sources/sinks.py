@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from docloom.errors import SinkError
 from docloom.functions.columns import iso_time
-from docloom.sources.readers import avro_available, file_kind, latest
+from docloom.sources.readers import avro_format, file_kind, latest, matching
 
 
 @dataclass(frozen=True)
@@ -59,20 +59,25 @@ def normalized(df: DataFrame, iso: bool = False) -> DataFrame:
 
 
 def write_table(df: DataFrame, uri: str, mode: str = "errorifexists") -> str:
-    """Parquet, NDJSON, JSON or CSV; Avro where Spark has it, else Parquet beside it. Returns the path written."""
+    """Parquet, Avro, NDJSON, JSON or CSV. Returns the path written."""
     repeated = sorted({c for c in df.columns if df.columns.count(c) > 1})
     if repeated:
         raise SinkError(f"repeated columns: {', '.join(repeated)}")
     kind = file_kind(uri)
-    if kind == "avro" and not avro_available(df.sparkSession):
-        kind, uri = "parquet", uri.removesuffix(".avro") + ".parquet"
     writer = normalized(df, iso=kind != "parquet").write.mode(mode)
     if kind == "parquet":
         writer.parquet(uri)
     elif kind in ("json", "ndjson"):
         writer.option("ignoreNullFields", "false").json(uri)
     elif kind == "avro":
-        writer.format("avro").save(uri)
+        # a Python source knows no save mode but these two
+        if mode not in ("append", "overwrite"):
+            if matching(df.sparkSession, uri):
+                if mode == "ignore":
+                    return uri
+                raise SinkError(f"there is something at {uri}")
+            writer = writer.mode("append")
+        writer.format(avro_format(df.sparkSession)).save(uri)
     elif kind == "csv":
         writer.option("header", "true").csv(uri)
     else:
