@@ -60,8 +60,13 @@ def sentences(text: str) -> list[str]:
 
 
 def sentence_split(text: str, size: int = 1000, overlap: int = 200, length: Callable[[str], int] = len) -> list[str]:
-    """Chunks of whole sentences (ended by a mark and white space, or a blank line); a longer sentence is cut at spaces."""
-    parts = [p for s in sentences(text) for p in ([s] if length(s) <= size else recursive_split(s, size, 0, (" ", ""), length))]
+    """Chunks of whole sentences (ended by a mark and white space, or a blank line)."""
+    return pack_sentences(sentences(text), size, overlap, length)
+
+
+def pack_sentences(found: Sequence[str], size: int, overlap: int = 0, length: Callable[[str], int] = len) -> list[str]:
+    """As many sentences a chunk as fit; a longer sentence is cut at spaces."""
+    parts = [p for s in found for p in ([s] if length(s) <= size else recursive_split(s, size, 0, (" ", ""), length))]
     return _with_overlap(parts, size, overlap, length, " ")
 
 

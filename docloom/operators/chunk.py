@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.columns import require
 from docloom.functions.splitters import Strategy, splitter, strategy
+from docloom.operators import sentences
 from docloom.operators.project import chunk_ids
 
 
@@ -18,7 +19,11 @@ def chunk_documents(df: DataFrame, plan: str | Strategy = "default", content: st
     require(df, content, id_col)
     if dict(df.dtypes)[content] != "string":
         raise ValueError(f"{content} is not a text column")
-    cut = splitter(strategy(plan) if isinstance(plan, str) else plan, length)
+    plan = strategy(plan) if isinstance(plan, str) else plan
+    if plan.text_splitter.lower() == "learned":
+        # what the texts tell about their sentences is counted first
+        return sentences.chunk_sentences(df, sentences.learn(df, content), plan, content, id_col)
+    cut = splitter(plan, length)
 
     @F.pandas_udf("array<string>")
     def split(texts: pd.Series) -> pd.Series:

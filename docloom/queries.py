@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.columns import checked_reply, is_refusal, is_zero_vector, iso_time, question_id
 from docloom.functions.splitters import SEPARATORS, Strategy
-from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, graph, joins, project, publish, quality_checks, semantic, sets, text, transform, translate
+from docloom.operators import aggregate, chunk, cluster, dedupe, delta, embed, filters, graph, joins, project, publish, quality_checks, semantic, sentences, sets, text, transform, translate
 from docloom.plans import rules
 from docloom.session import checkpoint_dir
 from docloom.sources import readers, sinks
@@ -821,6 +821,52 @@ for _name, _kind in (("recursive", "recursive"), ("sentences", "nltk")):
     _joined_chunks(_name, _kind)
 
 
+# counts of words, abbreviations, counts behind clear ends, starters
+_LEARNED = r"""pieces AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS p FROM documents),
+bare AS (SELECT doc_id, p, list_transform(p, lambda x: regexp_replace(x, '[\x20\x09-\x0D]+$', '')) AS w FROM pieces),
+flat AS (SELECT doc_id, unnest(p) AS piece, unnest(w) AS word, unnest(range(1, len(p) + 1)) AS place, unnest(list_append(w[2:], NULL)) AS behind FROM bare),
+told AS (SELECT *, regexp_replace(word, '["''”’»)\]]*$', '') AS core, lower(regexp_replace(word, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g')) AS type,
+    lower(regexp_replace(behind, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g')) AS next FROM flat),
+marked AS (SELECT *, CASE WHEN regexp_matches(core, '(\.\.|…)$') THEN '…' WHEN core LIKE '%.' THEN '.' WHEN regexp_matches(core, '[!?。！？]$') THEN '!' END AS mark FROM told),
+total AS (SELECT count(*) AS n, count(*) FILTER (mark = '.') AS periods FROM marked),
+counts AS (SELECT type, count(*) AS n, count(*) FILTER (mark = '.') AS periods FROM marked GROUP BY type),
+sized AS (SELECT c.*, t.periods / t.n AS p, c.n - c.periods AS without, length(type) - length(replace(type, '.', '')) AS dots FROM counts c, total t),
+words AS (SELECT type, n, periods, CASE WHEN periods > 0 AND regexp_matches(type, '\p{L}') THEN
+    -2 * (periods * ln(p) + CASE WHEN without = 0 THEN 0 ELSE without * ln(1 - p) END - periods * ln(0.99::DOUBLE) - without * ln(1 - 0.99::DOUBLE))
+    * exp(-(length(type) - dots)) * (dots + 1) * pow((length(type) - dots)::DOUBLE, -without) END AS score FROM sized),
+held AS (SELECT type, coalesce(score >= 0.3, false) OR regexp_matches(type, '^(\p{L}|\p{N}+)$') AS held FROM words),
+begins AS (SELECT next AS type, count(*) AS begins FROM marked JOIN held USING (type) WHERE next IS NOT NULL AND (mark = '!' OR (mark = '.' AND NOT held)) GROUP BY next),
+starts AS (SELECT sum(begins)::DOUBLE AS a, (SELECT n::DOUBLE FROM total) AS n FROM begins),
+g AS (SELECT type, begins, c.n AS b, a, s.n, b / s.n AS p0, begins / a AS p1, (b - begins) / (s.n - a) AS p2, s.n - a - b + begins AS rest FROM begins JOIN counts c USING (type), starts s WHERE regexp_matches(type, '\p{L}')),
+starters AS (SELECT type, b AS n, begins, -2 * (begins * ln(p0) + (a - begins) * ln(1 - p0) + (b - begins) * ln(p0) + rest * ln(1 - p0)
+    - begins * ln(p1) - CASE WHEN a = begins THEN 0 ELSE (a - begins) * ln(1 - p1) END - CASE WHEN b = begins THEN 0 ELSE (b - begins) * ln(p2) END - rest * ln(1 - p2)) AS score,
+    begins / a > b / g.n AS often FROM g)"""
+
+
+@registered(f"""WITH {_LEARNED}
+SELECT 'word' AS kind, type, n, periods AS counted, round(score, 3) + 0.0 AS score, score >= 0.3 AS is_one FROM words WHERE score IS NOT NULL
+UNION ALL SELECT 'starter', type, n, begins, round(score, 3) + 0.0, score >= 30 AND often FROM starters""")
+def sentence_statistics(spark, d):
+    """What the documents tell about abbreviations and the beginnings of sentences."""
+    model = sentences.learn(table(spark, d, "documents"))
+    words = model.words.where("score IS NOT NULL").select(F.lit("word").alias("kind"), "type", "n", F.col("periods").alias("counted"), (F.round("score", 3) + F.lit(0.0)).alias("score"), F.col("abbreviation").alias("is_one"))
+    return words.unionByName(model.starters.select(F.lit("starter").alias("kind"), "type", "n", F.col("begins").alias("counted"), (F.round("score", 3) + F.lit(0.0)).alias("score"), F.col("starter").alias("is_one")))
+
+
+@registered(rf"""WITH {_LEARNED},
+ends AS (SELECT m.doc_id, m.place, m.piece, m.behind IS NULL OR regexp_matches(m.piece, '\n[\x20\x09-\x0D]*\n') OR coalesce(CASE m.mark WHEN '!' THEN true WHEN '…' THEN capital
+    WHEN '.' THEN NOT h.held OR (capital AND coalesce(s.score >= 30 AND s.often, false)) END, false) AS is_end
+    FROM (SELECT *, regexp_matches(regexp_replace(behind, '^[^\p{{L}}\p{{N}}]+', ''), '^\p{{Lu}}') AS capital FROM marked) m JOIN held h USING (type) LEFT JOIN starters s ON s.type = m.next),
+numbered AS (SELECT doc_id, place, piece, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM ends),
+cut AS (SELECT doc_id, k, string_agg(piece, '' ORDER BY place) AS sentence FROM numbered GROUP BY doc_id, k)
+SELECT d.doc_id, count(k) AS n_sentences, md5(coalesce(string_agg(sentence, '|' ORDER BY k), '')) AS sentences_md5 FROM documents d LEFT JOIN cut USING (doc_id) GROUP BY d.doc_id""")
+def sentences_learned(spark, d):
+    """The documents' sentences by the statistics of all documents."""
+    docs = table(spark, d, "documents")
+    rows = sentences.split_sentences(docs, sentences.learn(docs), "text", "doc_id")
+    return rows.select("doc_id", F.size("sentences").cast("bigint").alias("n_sentences"), F.md5(F.array_join("sentences", "|")).alias("sentences_md5"))
+
+
 @registered("SELECT o_orderkey::VARCHAR AS question_id, CASE WHEN o_orderkey % 3 = 0 THEN 'consistent' ELSE 'extrinsic' END AS rating FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 3 < 2")
 def semantic_validate(spark, d):
     documents = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("content"))
