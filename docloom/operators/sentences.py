@@ -31,6 +31,8 @@ ABBREVIATION, STARTER, CERTAIN = 0.3, 30.0, 0.99
 _BLANK = r"[\x20\x09-\x0D]"
 _PIECE = rf"[^\x20\x09-\x0D]+{_BLANK}*"
 _CLOSING = r"""["'”’»)\]]*$"""
+#: What every end of a sentence holds; one cheap match before the closer ones.
+_ANY = r"[.!?…。！？\n]"
 _EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 
 
@@ -69,8 +71,10 @@ def learn(df: DataFrame, text: str = "text") -> Model:
     """Counts of all words and of the words behind ends of sentences; two aggregations over the texts, two rows to the driver."""
     require(df, text)
     pieces = df.select(_pieces(F.col(text)).alias("pieces"))
-    words = pieces.select(F.explode("pieces").alias("piece")).select(_type(_word(F.col("piece"))).alias("type"), (_mark(F.col("piece")) == ".").alias("period"))
-    counts = written(words.groupBy("type").agg(F.count("*").alias("n"), F.count_if("period").alias("periods")))
+    # patterns are matched once for each different word
+    words = pieces.select(F.explode("pieces").alias("piece")).groupBy("piece").agg(F.count("*").alias("n"))
+    words = words.select(_type(_word(F.col("piece"))).alias("type"), F.when(_mark(F.col("piece")) == ".", F.col("n")).otherwise(0).alias("periods"), "n")
+    counts = written(words.groupBy("type").agg(F.sum("n").alias("n"), F.sum("periods").alias("periods")))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("periods"), F.lit(0)).alias("periods")).first()
 
     p = F.lit(total.periods / max(total.n, 1))
@@ -81,9 +85,10 @@ def learn(df: DataFrame, text: str = "text") -> Model:
     known = counts.withColumn("score", score).withColumn("abbreviation", F.coalesce(F.col("score") >= ABBREVIATION, F.lit(False)))
 
     pairs = pieces.select(F.explode(F.arrays_zip(F.slice("pieces", 1, F.greatest(F.size("pieces") - 1, F.lit(0))).alias("piece"), F.slice("pieces", 2, F.greatest(F.size("pieces") - 1, F.lit(0))).alias("behind"))).alias("pair")).select("pair.*")
-    ends = pairs.select(_mark(F.col("piece")).alias("mark"), _type(_word(F.col("piece"))).alias("type"), _type(_word(F.col("behind"))).alias("behind")).where("mark IN ('.', '!')")
+    pairs = pairs.where(F.col("piece").rlike(_ANY)).groupBy("piece", "behind").agg(F.count("*").alias("n"))
+    ends = pairs.select("n", _mark(F.col("piece")).alias("mark"), _type(_word(F.col("piece"))).alias("type"), _type(_word(F.col("behind"))).alias("behind")).where("mark IN ('.', '!')")
     # counted by pair before the join, so that no frequent word meets the model more than once for each word behind it
-    ends = ends.groupBy("mark", "type", "behind").agg(F.count("*").alias("n"))
+    ends = ends.groupBy("mark", "type", "behind").agg(F.sum("n").alias("n"))
     clear = (F.col("mark") == "!") | ~_held(F.col("abbreviation"), F.col("type"))
     begins = written(ends.join(known.select("type", "abbreviation"), "type").where(clear).groupBy(F.col("behind").alias("type")).agg(F.sum("n").alias("begins")))
     a = begins.agg(F.coalesce(F.sum("begins"), F.lit(0))).first()[0]
@@ -110,7 +115,7 @@ def split_sentences(df: DataFrame, model: Model, text: str = "text", id_col: str
     require(df, text, id_col)
     docs = df.select(F.col(id_col).alias("id"), F.md5(F.to_json(F.struct(F.col(id_col).alias("id"), F.col(text).alias("text")))).alias("key"), _pieces(F.col(text)).alias("pieces"), *([F.col(keep).alias("kept")] if keep else []))
     last = F.size("pieces") - 1
-    ends = F.filter(F.transform("pieces", lambda p, i: F.struct((i + 1).alias("at"), p.alias("piece"), F.get("pieces", i + 1).alias("behind"))), lambda x: (x["at"] <= last) & (_mark(x["piece"]).isNotNull() | x["piece"].rlike(rf"\n{_BLANK}*\n")))
+    ends = F.filter(F.transform("pieces", lambda p, i: F.struct((i + 1).alias("at"), p.alias("piece"), F.get("pieces", i + 1).alias("behind"))), lambda x: (x["at"] <= last) & x["piece"].rlike(_ANY) & (_mark(x["piece"]).isNotNull() | x["piece"].rlike(rf"\n{_BLANK}*\n")))
     ends = docs.select("key", F.explode(ends).alias("end")).select("key", "end.*")
     ends = ends.select("key", "at", _mark(F.col("piece")).alias("mark"), F.col("piece").rlike(rf"\n{_BLANK}*\n").alias("blank"), _type(_word(F.col("piece"))).alias("type"), _type(_word(F.col("behind"))).alias("behind"), F.regexp_replace("behind", r"^[^\p{L}\p{N}]+", "").rlike(r"^\p{Lu}").alias("capital"))
     abbreviations = model.words.where("abbreviation").select("type", "abbreviation")
