@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.jaccard_join import _blocks, mix
-from docloom.llm.shared import cut
+from docloom.llm.shared import cut, give_back_memory
 
 BITS = 14
 FIELD = 1 << BITS
@@ -146,6 +146,7 @@ def raw_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         for block in _blocks(batches):
             total += counts_of(block.column(0).to_pylist())
         _TOKENS.clear()
+        give_back_memory()
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
 
@@ -189,6 +190,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             out = block.drop_columns(["__text"]).combine_chunks().append_column("log_weight", pa.array(weights, pa.float64()))
             yield from out.to_batches()
         _TOKENS.clear()
+        give_back_memory()
 
     return rows.mapInArrow(run, schema)
 

@@ -37,7 +37,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 def give_back_memory() -> None:
     """Return what a Python worker has freed to the system, so that the tasks it is used for next start small."""
+    import pyarrow as pa
+
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

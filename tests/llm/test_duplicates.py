@@ -285,3 +285,45 @@ def test_candidates_by_chance(spark):
 
 def test_sha_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_word_hashes_and_sets():
+    long = "Q" * 64
+    text = f"One two\tTHREE\x0bone\n\n{long} {long}x {long.lower()}X Été été \x1fone one two  one"
+    words = text.translate(LOWER).encode().split()
+    hashes, starts = jaccard_join.word_hashes(text.encode())
+    assert len(hashes) == len(starts) == len(words)
+    assert [list(hashes).index(h) for h in hashes] == [words.index(w) for w in words]
+
+    texts = [None, "", " \n", "a", "A b", "a b c d e f g", text, " ".join("abcab" * 50), "a b c d e f g a b c d e f g"]
+    grams, offsets = jaccard_join.shingle_sets(texts * 30)
+    found = [frozenset(grams[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    whole = [shingles((t or "").translate(LOWER).encode().split()) for t in texts] * 30
+    assert [len(x) for x in found] == [len(x) for x in whole] == list(offsets[1:] - offsets[:-1])
+    assert all((a == b) == (x == y) and len(a & b) == len(x & y) for a, x in zip(found[:9], whole) for b, y in zip(found, whole))
+
+
+def test_sets_in_bounded_memory():
+    import tracemalloc
+
+    random.seed(9)
+    texts = [" ".join(str(random.randrange(10**6)) for _ in range(400)) for _ in range(2500)]
+    jaccard_join.shingle_sets(texts[:1])
+    tracemalloc.start()
+    grams, _ = jaccard_join.shingle_sets(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # the sets, once more while they are put together, and what a part of the texts needs
+    assert len(grams) > 900_000
+    assert peak < 2 * grams.nbytes + 60_000_000
+
+
+def test_sets_and_groups_of_one_pass(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, None), (3, "A b c d e  f"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    own, groups = jaccard_join.sets_and_groups(docs)
+    own = own.collect()
+    assert sorted((r.id or 0, r.n, r.key is None) for r in own) == [(0, 0, True), (0, 2, False), (1, 2, False), (1, 2, False), (2, 0, True), (3, 2, False)]
+    assert len({r.key for r in own if r.key is not None}) == 1
+    assert groups.count() == 0
