@@ -38,25 +38,27 @@ CHARS_PER_BATCH = 2_000_000
 #: Ids decoded by one query.
 IDS_PER_QUERY = 300_000
 
-#: One merge of each live word a step; a word without a pair to merge is put out once, done, and leaves.
+#: One merge of each live word a step; a row is a word with the list of its tokens, and a word without a pair to merge is put
+#: out once, done, and leaves.
 _CONTRACT_SHORT = """
-WITH RECURSIVE contracted(word, pos, tok, done) AS (
-    SELECT word, pos, tok, false FROM start
+WITH RECURSIVE contracted(word, toks, done) AS (
+    SELECT word, toks, false FROM start
   UNION ALL
-    SELECT word, pos, CASE WHEN here = best THEN (best >> 24)::INTEGER ELSE tok END, best IS NULL
-    FROM (
-        SELECT *, lag(here) OVER (PARTITION BY word ORDER BY pos) AS before,
-               min(here) OVER (PARTITION BY word) AS best
-        FROM (
-            SELECT c.*, (m.id::BIGINT << 24) | c.pos AS here
-            FROM (SELECT word, pos, tok, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS nxt
-                  FROM contracted WHERE NOT done) AS c
-            LEFT JOIN merges AS m ON m.l = c.tok AND m.r = c.nxt
-        )
-    )
-    WHERE best IS NULL OR before IS DISTINCT FROM best
+    SELECT c.word,
+           CASE WHEN best IS NULL THEN toks
+                ELSE list_concat(toks[:(best & 255) - 1], [(best >> 8)::INTEGER], toks[(best & 255) + 2:]) END,
+           best IS NULL
+    FROM contracted AS c
+    LEFT JOIN (
+        SELECT word, min((m.id::BIGINT << 8) | pos) AS best
+        FROM (SELECT word, unnest(toks) AS tok, unnest(toks[2:]) AS nxt, generate_subscripts(toks, 1) AS pos
+              FROM contracted WHERE NOT done) AS p
+        JOIN merges AS m ON m.l = p.tok AND m.r = p.nxt
+        GROUP BY word
+    ) AS b ON b.word = c.word
+    WHERE NOT c.done
 )
-SELECT word, pos, tok FROM contracted WHERE done ORDER BY word, pos
+SELECT word, toks FROM contracted WHERE done ORDER BY word
 """
 
 #: For long words: a step contracts every pair that is the leftmost of minimum rank among those up to the longest token's
@@ -129,7 +131,15 @@ class ByteBpe:
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM rows_")
             self.con.unregister("rows_")
 
-    def _contract(self, words: list[bytes], query: str) -> list[np.ndarray]:
+    def _contract_short(self, words: list[bytes]) -> list[np.ndarray]:
+        ends = np.cumsum([0, *map(len, words)])
+        toks = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]))
+        self.con.register("start", pa.table({"word": np.arange(len(words), dtype=np.int32), "toks": toks}))
+        done = self.con.sql(_CONTRACT_SHORT).to_arrow_table().column("toks").combine_chunks()
+        self.con.unregister("start")
+        return np.split(done.flatten().to_numpy(), np.cumsum(done.value_lengths().to_numpy())[:-1])
+
+    def _contract_long(self, words: list[bytes]) -> list[np.ndarray]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths)
         start = pa.table({
@@ -141,9 +151,9 @@ class ByteBpe:
             self.con.register("start", start)
             # so many steps that the states of a query stay within a bounded number of rows
             steps = max(1, ROWS_PER_QUERY // start.num_rows)
-            done = self.con.execute(query.replace("{steps}", str(steps)).replace("{reach}", str(self.reach))).fetchnumpy()
+            done = self.con.execute(_CONTRACT_LONG.replace("{steps}", str(steps)).replace("{reach}", str(self.reach))).fetchnumpy()
             self.con.unregister("start")
-            if "step" not in done or not (done["step"] == steps).any():
+            if not (done["step"] == steps).any():
                 break
             start = pa.table({c: np.asarray(done[c], np.int32) for c in ("word", "pos", "tok")})
         cuts = np.searchsorted(done["word"], np.arange(1, len(words)))
@@ -152,13 +162,13 @@ class ByteBpe:
     def learn(self, new: list[str]) -> None:
         """Contract words and remember their ids (little-endian int32)."""
         coded = [(w, w.encode("utf-8", "surrogatepass")) for w in new]
-        for query, part, size in (
-            (_CONTRACT_SHORT, [x for x in coded if len(x[1]) <= SHORT_WORD_BYTES], WORDS_PER_QUERY),
-            (_CONTRACT_LONG, [x for x in coded if len(x[1]) > SHORT_WORD_BYTES], 64),
+        for contract, part, size in (
+            (self._contract_short, [x for x in coded if len(x[1]) <= SHORT_WORD_BYTES], WORDS_PER_QUERY),
+            (self._contract_long, [x for x in coded if len(x[1]) > SHORT_WORD_BYTES], 64),
         ):
             for i in range(0, len(part), size):
                 some = part[i : i + size]
-                for (word, _), ids in zip(some, self._contract([b for _, b in some], query), strict=True):
+                for (word, _), ids in zip(some, contract([b for _, b in some]), strict=True):
                     self.remembered[word] = ids.tobytes()
 
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:

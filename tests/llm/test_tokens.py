@@ -43,6 +43,24 @@ def test_bpe_words(encoding):
         assert b"".join(next(coder.decode_batch([ids]))) == text.encode()
 
 
+def test_many_short_words(encoding):
+    import time
+
+    def seconds(f):
+        start = time.process_time()
+        out = f()
+        return time.process_time() - start, out
+
+    coder = byte_bpe.ByteBpe(byte_bpe.read_ranks(RANKS), P.PATTERN)
+    random.seed(6)
+    words = [" " + "".join(random.choice("etaoinshrdluéñ") for _ in range(random.randint(1, 14))) for _ in range(20_000)] + ["x", " ", "é" * 32, "a" * 64]
+    words = list(dict.fromkeys(words))
+    spent = min(seconds(lambda: coder.learn(words))[0] for _ in range(3))
+    assert all(np.frombuffer(coder.remembered[w], np.int32).tolist() == encoding.encode_ordinary(w) for w in words)
+    # against the time that this machine takes to add up numbers
+    assert spent < 6 * min(seconds(lambda: sum(range(2_000_000)))[0] for _ in range(5))
+
+
 def test_edits(encoding):
     counter = token_counts.counter(RANKS, P.PATTERN)
     random.seed(3)
