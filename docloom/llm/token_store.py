@@ -47,16 +47,22 @@ WINDOW, AVERAGE, MOST = 8, 256, 4096
 FAN = 1024
 END_ID = 1
 _REMEMBERED = 1_130_000
-#: Marks behind a word of ASCII letters, which the tokenizer's pattern always sets apart from it.
-_MARKS = b".,;:!?"
+#: Marks behind a word of letters, which the tokenizer's pattern always sets apart from it: those of ASCII but the apostrophe.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _OPEN: dict = {}
 
 
+def _latin(word: str) -> bool:
+    """Whether a word is of Latin letters that stay letters when they are lowered (a dotted capital I becomes a letter and a mark)."""
+    return word.isalpha() and max(word) < "\u0250" and word.lower().isalpha()
+
+
 class WordEncoder:
     """Ids of texts by way of their words: the tokenizer drops white space and joins nothing across it, so each distinct word is encoded once.
 
-    A word of ASCII letters is a single pre-token, and so is a run of marks behind it: the letters go to the library's model
-    with nothing but blanks to look for, once for all the marks that follow them.
+    A word of letters is a single pre-token, and so is a run of marks behind it: the letters go to the library once for all the
+    marks that follow them, those of ASCII to its model with nothing but blanks to look for. Where the last token of a pre-token
+    shows itself by a suffix, and as many show as there are words, nothing has to be told of where tokens stand.
     """
 
     def __init__(self, path: str):
@@ -67,23 +73,44 @@ class WordEncoder:
         self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         # texts with one of these go to the library as they are: a special token may reach over blanks and ends what stands before it
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
         self.kind = np.dtype(f"<u{self.width}")
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
-        marked, other, known = [], [], self.known
+        marked, other, wide, known = [], [], set(), self.known
         for word in words:
             stem = word.rstrip(_MARKS)
             # of bytes, letters are those of ASCII
-            marked.append((word, stem, word[len(stem) :])) if stem.isalpha() else other.append(word)
-        stems = {s for _, s, _ in marked}.difference(known)
+            if not stem.isalpha():
+                if not _latin(stem.decode("utf-8", "replace")):
+                    other.append(word)
+                    continue
+                wide.add(stem)
+            marked.append((word, stem, word[len(stem) :]))
+        wide.difference_update(known)
+        stems = {s for _, s, _ in marked}.difference(known, wide)
         tails = {t for _, _, t in marked}.difference(known)
-        for some, tokenizer in ((list(stems), self.letters), (list(tails.union(other)), self.tokenizer)):
+        for some, tokenizer, learn in ((list(stems), self.letters, self._learn_letters), (list(wide), self.tokenizer, self._learn_letters), (list(tails.union(other)), self.tokenizer, self._learn)):
             for i in range(0, len(some), 20_000):
-                self._learn(some[i : i + 20_000], tokenizer)
+                learn(some[i : i + 20_000], tokenizer)
         for word, stem, tail in marked:
-            known[word] = known[stem] + known[tail]
+            if tail:
+                known[word] = known[stem] + known[tail]
+
+    def _learn_letters(self, words: list[bytes], tokenizer) -> None:
+        """Words of letters in one text, apart by blanks; each has one token at least that ends a pre-token."""
+        ids = np.array(tokenizer.encode_batch_fast([b" ".join(words).decode("utf-8", "replace")], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._learn(words, tokenizer)
+        data, w = ids.tobytes(), self.width
+        ends = (ends * w).tolist()
+        self.known.update(zip(words, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
 
     def _learn(self, words: list[bytes], tokenizer) -> None:
         """Words in one text, apart by blanks; their tokens are told apart by where they stand in it."""

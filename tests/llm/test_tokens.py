@@ -117,6 +117,22 @@ def test_special_tokens_as_the_library(spark, tmp_path):
     assert found == {i: [*plain.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
 
 
+def test_words_of_letters_and_marks():
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    library, coder = Tokenizer.from_file(path), token_store.WordEncoder(path)
+    text = "İstanbul İ. İİ?? étude, étude*** ÉTUDE naïve--x don't' d'Été!! ŉa ß ẞ. ﬁx... Åk a١b ªº ǅ! 日本! x\u0085y e\u0301. Ω K ΑΣ! ᾳ; _a_ \"q\" [x]{y}|z| a≠ #! a</w>b 1a. \ufb1d."
+    for one in [text, *text.split(" "), None, ""]:
+        assert np.frombuffer(coder.encode([one])[0], coder.kind).tolist() == library.encode(one or "", add_special_tokens=False).ids
+
+    # words of Latin letters are learned without being asked where their tokens stand, once for all marks behind them
+    asked = []
+    coder._learn, learn = lambda words, tokenizer: asked.extend(words) or learn(words, tokenizer), coder._learn
+    coder.encode(["événement événement*** événement--- trozo~ größe#"])
+    assert set(asked) <= {b"***", b"---", b"~", b"#"}
+
+
 @pytest.mark.parametrize("what", ["hashes", "sizes", "order", "chunk", "manifest"])
 def test_damage_is_found(spark, docs, tmp_path, what):
     folder, other = str(tmp_path / "s"), str(tmp_path / "t")
