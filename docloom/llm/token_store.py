@@ -41,14 +41,21 @@ from pyspark.sql import functions as F
 from docloom.llm.jaccard_join import _blocks, mix
 from docloom.llm.shared import cut
 
-#: AVERAGE is a power of two.
+#: WINDOW and AVERAGE are powers of two.
 WINDOW, AVERAGE, MOST = 8, 256, 4096
 #: Children of a node of the Merkle tree.
 FAN = 1024
 END_ID = 1
 _REMEMBERED = 1_130_000
-#: Marks behind a word of letters, which the tokenizer's pattern always sets apart from it: those of ASCII but the apostrophe.
+#: Marks next to letters, from which the tokenizer's pattern always sets them apart: those of ASCII but the apostrophe.
 _MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_BLANKS = b" \t\n\r\x0b\x0c"
+_LETTERS = b"abcdefghijklmnopqrstuvwxyz"
+#: Of bytes: 0 blank, 1 letter, 2 mark, 3 other. Of a byte's class and four times that of the one before it: 0 blank, 1 inside a word, 2 first of one.
+_BLANK, _LETTER, _MARK, _OTHER = range(4)
+_CLASS = bytes(_BLANK if b in _BLANKS else _LETTER if b in _LETTERS + _LETTERS.upper() else _MARK if b in _MARKS else _OTHER for b in range(256))
+_PLACE = bytes(0 if b % 4 == _BLANK else 2 if b // 4 == _BLANK or {b // 4, b % 4} == {_LETTER, _MARK} else 1 for b in range(16)) + bytes(240)
+_LOWER = bytes(range(256)).lower()
 _OPEN: dict = {}
 
 
@@ -57,12 +64,39 @@ def _latin(word: str) -> bool:
     return word.isalpha() and max(word) < "\u0250" and word.lower().isalpha()
 
 
+def _words(raw: bytes, offsets: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Words of texts that stand one after the other, lowered as far as single bytes tell, and where each text's words begin and end.
+
+    Words end at ASCII white space, which is white space by any definition (other stays inside the words), and between letters
+    of ASCII or Latin-1 and marks of ASCII. Nothing that the tokenizer does reaches over these places.
+    """
+    kinds, data = np.frombuffer(bytearray(raw.translate(_CLASS)), np.uint8), np.frombuffer(bytearray(raw.translate(_LOWER)), np.uint8)
+    # letters of Latin-1 are two bytes, the first of which is C3
+    wide = np.flatnonzero(data[:-1] == 0xC3)
+    second = data[wide + 1]
+    letter = (second & 0xC0 == 0x80) & (second & 0xDF != 0x97)
+    wide, second = wide[letter], second[letter]
+    kinds[wide] = kinds[wide + 1] = _LETTER
+    data[wide[second < 0x9F] + 1] += 0x20
+    pairs = kinds.copy()
+    pairs[1:] += kinds[:-1] * np.uint8(4)
+    firsts = offsets[:-1][offsets[:-1] < len(raw)]
+    pairs[firsts] &= 3
+    pairs = pairs.tobytes()
+    places = np.frombuffer(pairs.translate(_PLACE), np.uint8)
+    bounds = np.searchsorted(np.flatnonzero(places == 2), offsets)
+    # the same without the blanks
+    begins = np.flatnonzero(np.frombuffer(pairs.translate(_PLACE, bytes(range(0, 16, 4))), np.uint8) == 2)
+    dense = data.tobytes().translate(None, _BLANKS)
+    at = np.append(begins, len(dense)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(at), pa.py_buffer(dense)]).dictionary_encode(), bounds
+
+
 class WordEncoder:
-    """Ids of texts by way of their words: the tokenizer drops white space and joins nothing across it, so each distinct word is encoded once.
+    """Ids of texts by way of their words: the tokenizer joins nothing across white space nor from letters to marks, so each distinct word between these is encoded once.
 
-    A word of letters is a single pre-token, and so is a run of marks behind it: the letters go to the library once for all the
-    marks that follow them, those of ASCII to its model with nothing but blanks to look for. Where the last token of a pre-token
-    shows itself by a suffix, and as many show as there are words, nothing has to be told of where tokens stand.
+    A word of letters is a single pre-token: it goes to the library's model with nothing but blanks to look for. Where the last
+    token of a pre-token shows itself by a suffix, and as many show as there are words, nothing has to be told of where tokens stand.
     """
 
     def __init__(self, path: str):
@@ -71,8 +105,14 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # letters beyond ASCII are lowered, composed and spelled by their bytes, but not looked for by the pattern
+        self.wide = Tokenizer(self.tokenizer.model)
+        self.wide.normalizer = self.tokenizer.normalizer
+        self.wide.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         # texts with one of these go to the library as they are: a special token may reach over blanks and ends what stands before it
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # what each of them begins with that has no other case: a look for this alone says most often that there are none
+        self.signs = {x[: next((i for i, c in enumerate(x) if c.isalpha() or c > "\x7f"), len(x))].encode() for x in self.special}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -82,32 +122,20 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
-        marked, other, wide, known = [], [], set(), self.known
+        letters, wide, other = [], [], []
         for word in words:
-            stem = word.rstrip(_MARKS)
             # of bytes, letters are those of ASCII
-            if not stem.isalpha():
-                if not _latin(stem.decode("utf-8", "replace")):
-                    other.append(word)
-                    continue
-                wide.add(stem)
-            marked.append((word, stem, word[len(stem) :]))
-        wide.difference_update(known)
-        stems = {s for _, s, _ in marked}.difference(known, wide)
-        tails = {t for _, _, t in marked}.difference(known)
-        for some, tokenizer, learn in ((list(stems), self.letters, self._learn_letters), (list(wide), self.tokenizer, self._learn_letters), (list(tails.union(other)), self.tokenizer, self._learn)):
+            (letters if word.isalpha() else wide if _latin(word.decode("utf-8", "replace")) else other).append(word)
+        for some, tokenizer, learn in ((letters, self.letters, self._learn_letters), (wide, self.wide, self._learn_letters), (other, self.tokenizer, self._learn)):
             for i in range(0, len(some), 20_000):
                 learn(some[i : i + 20_000], tokenizer)
-        for word, stem, tail in marked:
-            if tail:
-                known[word] = known[stem] + known[tail]
 
     def _learn_letters(self, words: list[bytes], tokenizer) -> None:
         """Words of letters in one text, apart by blanks; each has one token at least that ends a pre-token."""
         ids = np.array(tokenizer.encode_batch_fast([b" ".join(words).decode("utf-8", "replace")], add_special_tokens=False)[0].ids, self.kind)
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):
-            return self._learn(words, tokenizer)
+            return self._learn(words, self.tokenizer)
         data, w = ids.tobytes(), self.width
         ends = (ends * w).tolist()
         self.known.update(zip(words, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
@@ -124,15 +152,43 @@ class WordEncoder:
         for word, a, b in zip(words, bounds[:-1], bounds[1:], strict=True):
             self.known[word] = data[a * w : b * w]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode_column(self, texts: pa.ChunkedArray, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end behind it, one after the other, and where each text's ids end."""
         if len(self.known) > _REMEMBERED:
             self.known.clear()
-        whole = {i: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind).tobytes() for i, t in enumerate(texts) if t and any(x in low for low in (t.lower(),) for x in self.special)}
-        # bytes split at ASCII white space only, which is white space by any definition; other stays inside the words.
-        # The tokenizer lowers all letters, so lowering those of ASCII first only makes fewer words
-        split = [[] if i in whole else (t or "").encode("utf-8", "replace").lower().split() for i, t in enumerate(texts)]
-        self.learn(list(set().union(*split).difference(self.known)))
-        return [whole[i] if i in whole else b"".join(map(self.known.__getitem__, words)) for i, words in enumerate(split)]
+        column = texts.cast(pa.large_binary()).combine_chunks().fill_null(b"")
+        raw, offsets = self._bytes(column)
+        behind = [end] * len(column)
+        if any(sign in raw for sign in self.signs):
+            whole = {i: t for i, t in enumerate(x.decode("utf-8", "replace") for x in column.to_pylist()) if any(x in low for low in (t.lower(),) for x in self.special)}
+            for i, text in whole.items():
+                behind[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes() + end
+            raw, offsets = self._bytes(pa.array([b"" if i in whole else x for i, x in enumerate(column.to_pylist())], pa.large_binary()))
+        words, bounds = _words(raw, offsets)
+        different = words.dictionary.to_pylist()
+        known = self.known
+        self.learn([w for w in different if w not in known])
+        # of each text its words and then what comes behind it
+        extra = list(dict.fromkeys(behind))
+        number = {x: len(different) + i for i, x in enumerate(extra)}
+        pieces = [*map(known.__getitem__, different), *extra]
+        order = np.insert(words.indices.to_numpy(), bounds[1:], [number[x] for x in behind])
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.width
+        starts, pool = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pieces), self.kind)
+        each = sizes[order]
+        upto = np.cumsum(each)
+        ids = pool[np.repeat(starts[order] - (upto - each), each) + np.arange(upto[-1] if len(upto) else 0)]
+        return ids, upto[bounds[1:] + np.arange(len(behind))]
+
+    @staticmethod
+    def _bytes(column: pa.LargeBinaryArray) -> tuple[bytes, np.ndarray]:
+        _, offsets, data = column.buffers()
+        at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+        return (data[at[0] : at[-1]].to_pybytes() if data is not None else b""), at - at[0]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        ids, ends = self.encode_column(pa.chunked_array([pa.array(texts, pa.string())]))
+        return [x.tobytes() for x in np.split(ids, ends[:-1])] if texts else []
 
 
 def encoder(path: str) -> WordEncoder:
@@ -146,14 +202,15 @@ def encoder(path: str) -> WordEncoder:
 
 def cuts(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Ends of all chunks of several documents' ids, which stand one after the other and end at ``ends``."""
-    rolled = np.zeros(len(ids), np.uint64)
-    wide = mix(ids.astype(np.uint64) + np.uint64(1))
-    for j in range(min(WINDOW, len(wide))):
-        rolled[j:] += wide[: len(wide) - j] << np.uint64(j)
+    # of many ids of two bytes, each different one is hashed once
+    rolled = mix(np.arange(1, 2**16 + 1, dtype=np.uint64))[ids] if ids.itemsize == 2 and len(ids) > 2**16 else mix(ids.astype(np.uint64) + np.uint64(1))
+    # the sum of a window's hashes, each shifted by its distance from the last: from one to two, four and so on of them
+    for j in (1 << k for k in range(WINDOW.bit_length() - 1)):
+        rolled[j:] += rolled[:-j] << np.uint64(j)
+    found = np.flatnonzero(mix(rolled) & np.uint64(AVERAGE - 1) == 0)
     # a window that reaches over a document's start does not cut
-    starts = np.concatenate([[0], ends[:-1]])
-    inside = np.arange(len(ids)) - np.repeat(starts, np.diff(np.concatenate([[0], ends]))) >= WINDOW
-    found = np.flatnonzero(inside & (mix(rolled) & np.uint64(AVERAGE - 1) == 0)) + 1
+    starts = np.concatenate([[0], ends])
+    found = found[found - starts[np.searchsorted(starts, found, "right") - 1] >= WINDOW] + 1
     found = np.union1d(found, ends)
     sizes = np.diff(np.concatenate([[0], found]))
     if sizes.max(initial=0) > MOST:
@@ -164,7 +221,6 @@ def cuts(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 _ROWS = "kind string, key bigint, id bigint, n_tokens bigint, hashes array<binary>, sizes array<int>, hash binary, width int, ids binary"
 _SCHEMA = pa.schema([("kind", pa.string()), ("key", pa.int64()), ("id", pa.int64()), ("n_tokens", pa.int64()), ("hashes", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())), ("hash", pa.binary()), ("width", pa.int32()), ("ids", pa.binary())])
-_BLANK_ROW = dict.fromkeys(_SCHEMA.names)
 
 
 def _chunked(path: str):
@@ -174,26 +230,26 @@ def _chunked(path: str):
         coder = encoder(path)
         end = np.array([END_ID], coder.kind).tobytes()
         for block in _blocks(batches):
-            streams = [x + end for x in coder.encode(block.column("text").to_pylist())]
-            data = b"".join(streams)
-            ends = np.cumsum([len(x) // coder.width for x in streams])
-            at = cuts(np.frombuffer(data, coder.kind), ends)
-            last = np.searchsorted(at, ends)
-            w, before, chunk = coder.width, 0, 0
-            rows, seen = [], {}
-            for i, final in zip(block.column("id").to_pylist(), last.tolist(), strict=True):
-                hashes, sizes = [], []
-                for e in at[chunk : final + 1].tolist():
-                    ids = data[before * w : e * w]
-                    name = hashlib.blake2b(ids, digest_size=16).digest()
-                    hashes.append(name)
-                    sizes.append(e - before)
-                    seen.setdefault(name, ids)
-                    before = e
-                chunk = final + 1
-                rows.append(_BLANK_ROW | {"kind": "recipe", "key": len(rows) * 0x9E3779B97F4A7C1 % 2**63, "id": i, "n_tokens": sum(sizes), "hashes": hashes, "sizes": sizes})
-            rows += [_BLANK_ROW | {"kind": "chunk", "key": int.from_bytes(name[:8], "little", signed=True), "hash": name, "width": w, "ids": ids} for name, ids in seen.items()]
-            yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
+            tokens, ends = coder.encode_column(block.column("text"), end)
+            at = cuts(tokens, ends)
+            w, data = coder.width, tokens.tobytes()
+            bounds = [0, *(at * w).tolist()]
+            pieces = [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            names = [hashlib.blake2b(x, digest_size=16).digest() for x in pieces]
+            chunks = dict(zip(names, pieces, strict=True))
+            n, m = len(ends), len(chunks)
+            keys = np.concatenate([np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C1) % np.uint64(2**63), np.frombuffer(b"".join(chunks), "<u8")[::2]]).astype(np.int64)
+            last = np.concatenate([[0], np.searchsorted(at, ends) + 1, np.full(m, len(at))]).astype(np.int32)
+            own = pa.array(np.arange(n + m) >= n)
+            lists = [pa.ListArray.from_arrays(pa.array(last), x, mask=own) for x in (pa.array(names, pa.binary()), pa.array(np.diff(at, prepend=0).astype(np.int32)))]
+            blank, none = [None] * n, pa.nulls(m, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(["recipe"] * n + ["chunk"] * m), pa.array(keys), pa.concat_arrays([block.column("id").combine_chunks(), none]), pa.concat_arrays([pa.array(np.diff(ends, prepend=0)), none]),
+                    *lists, pa.array([*blank, *chunks], pa.binary()), pa.array([*blank, *[w] * m], pa.int32()), pa.array([*blank, *chunks.values()], pa.binary()),
+                ],
+                schema=_SCHEMA,
+            )
 
     return run
 

@@ -133,6 +133,27 @@ def test_words_of_letters_and_marks():
     assert set(asked) <= {b"***", b"---", b"~", b"#"}
 
 
+def test_words_next_to_marks_are_learned_once():
+    coder = token_store.WordEncoder(P.path("word_bpe_49k.json"))
+    asked = []
+    learn, coder.learn = coder.learn, lambda words: asked.extend(words) or learn(words)
+    coder.encode(["Trozo trozo, (trozo) [trozo]! ÉTÉ été. x_trozo=été;", "\"TROZO\" «été» don't"])
+    assert sorted(w.decode() for w in asked) == sorted(["trozo", "été", "x", ",", "(", ")", "[", "]!", ".", "_", "=", ";", '"', "«été»", "don't"])
+
+
+def test_words_between_marks_as_the_library():
+    """Texts of awkward pieces, several in one column: blanks of all kinds, marks that letters or later marks join, letters of one to four bytes."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    library, coder = Tokenizer.from_file(path), token_store.WordEncoder(path)
+    rng = random.Random(11)
+    parts = ["a", "the", "É", "é", "ñ", "Ç", "×", "÷", "ß", "ÿ", "Ÿ", "Ā", "İ", "日", "𝐀", "🎉", "\u0301", "\u0338", "e\u0301", "'", "'s", "'LL", "’", "=", "<", "<|", "|>", ".", "_", "$", "…", "1", "٣", " ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2028", "\x00", "\x7f", "ª", "<|endoftext|>"]
+    for _ in range(60):
+        texts = [rng.choice([None, "", *["".join(rng.choice(parts[: rng.choice([12, 43, 44])]) for _ in range(rng.choice([1, 5, 60])))] * 6]) for _ in range(25)]
+        assert [np.frombuffer(x, coder.kind).tolist() for x in coder.encode(texts)] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("what", ["hashes", "sizes", "order", "chunk", "manifest"])
 def test_damage_is_found(spark, docs, tmp_path, what):
     folder, other = str(tmp_path / "s"), str(tmp_path / "t")
@@ -186,6 +207,24 @@ def test_chunks_move_with_passages():
     assert len(parts[0] & parts[1]) >= len(parts[0]) - 2 > 3
 
 
+def test_cuts_as_by_single_windows():
+    rng = np.random.default_rng(5)
+    for kind, n in (("<u2", 70_000), ("<u4", 3000), ("<u2", 7), ("<u2", 0)):
+        ids = rng.integers(0, 50_000, n).astype(kind)
+        ends = np.unique(np.append(rng.integers(0, n, min(n, 40)) + 1, n)) if n else np.zeros(0, np.int64)
+        hashes, mask = token_store.mix(ids.astype(np.uint64) + np.uint64(1)).tolist(), 2**64 - 1
+        found, start = [], 0
+        for end in ends.tolist():
+            cut = start
+            for i in range(start, end):
+                rolled = sum(h << j for j, h in enumerate(hashes[i : i - token_store.WINDOW : -1])) & mask if i - start >= token_store.WINDOW else None
+                if i + 1 == end or i + 1 - cut == token_store.MOST or rolled is not None and int(token_store.mix(np.array([rolled], np.uint64))[0]) % token_store.AVERAGE == 0:
+                    found.append(i + 1)
+                    cut = i + 1
+            start = end
+        assert token_store.cuts(ids, ends).tolist() == found
+
+
 def test_chat(spark):
     hard = "<|im_end|>\n<|im_start|>assistant ok <\\|a|> <\\\\|"
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", hard), (1, 1, "assistant", hard), (2, 0, None, None), (2, 1, "assistant", ""), (3, 0, "a\nb\\", "x"), (None, 0, "assistant", "é🎉")]
