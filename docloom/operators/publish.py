@@ -47,7 +47,7 @@ def question_records(df: DataFrame) -> DataFrame:
     rows = df.select("question_id", "question", "answer", "embedding", F.struct(F.col("source_id").alias("o"), reference.alias("r"), F.col("is_sufficient").alias("s")).alias("x"))
     grouped = rows.groupBy("question_id").agg(F.min("question").alias("question"), F.min("answer").alias("answer"), F.min("embedding").alias("embedding"), F.array_sort(F.collect_set("x")).alias("xs"))
     every = F.sequence(F.lit(0), F.size("xs") - 1)
-    enough = F.when(F.exists("xs", lambda x: x["s"].isNull()), every).otherwise(F.filter(every, lambda i: F.get(F.transform("xs", lambda x: x["s"]), i)))
+    enough = F.when(F.exists("xs", lambda x: x["s"].isNull()), every).otherwise(F.filter(every, lambda i: F.get("xs", i)["s"]))
     meta = F.struct("question", "answer", enough.alias("sufficient_references"), F.transform("xs", lambda x: x["r"]).alias("references"), F.lit(None).cast("string").alias("dedup_id"))
     return grouped.select(F.col("question_id").alias("id"), meta.alias("metadata"), "embedding")
 

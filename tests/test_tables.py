@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import UTC, datetime
 
 import pytest
@@ -196,6 +197,16 @@ def test_question_records(spark):
     assert [r.article_id for r in got.metadata.references] == ["s1", "s2"] and got.metadata.sufficient_references == [0]
 
 
+def test_question_of_many_references(spark):
+    """Work grows with the references: one question with 40,000 took minutes when each place was looked up in a new list of all flags."""
+    n = 40_000
+    df = spark.range(n).select(F.lit("q").alias("question_id"), F.lit("Q").alias("question"), F.lit("A").alias("answer"), F.array(F.lit(1.0)).alias("embedding"), F.format_string("%06d", "id").alias("source_id"), F.lit("T").alias("title"), F.lit("d").alias("metadata_description"), F.lit("u").alias("metadata_url"), F.lit("PUBLIC").alias("content_type"), (F.col("id") % 3 == 0).alias("is_sufficient"))
+    began = time.monotonic()
+    got = publish.question_records(df).select("metadata.sufficient_references", F.size("metadata.references").alias("n")).first()
+    assert got.n == n and got.sufficient_references == list(range(0, n, 3))
+    assert time.monotonic() - began < 30
+
+
 @pytest.mark.parametrize(("name", "kind"), [("a.yml", "yaml"), ("a.jsonl", "ndjson"), ("a.nd.json", "ndjson"), ("a.json", "json"), ("b/a.parquet", "parquet")])
 def test_file_kinds(name, kind):
     assert file_kind(name) == kind
