@@ -557,7 +557,7 @@ def stream_changes(spark, d):
     first = docs.where("id % 7 <> 3").withColumn("action", F.lit(None).cast("string"))
     second = docs.withColumn("text", later).withColumn("action", F.when(F.col("id") % 9 == 4, "D"))
     for name, rows in (("a", first), ("b", second)):
-        rows.write.parquet(f"{folder}/in/load={name}")
+        rows.write.parquet(f"{folder}/in/load={name}", compression="zstd")
         stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in/load=*")
         loads.incremental(stream, f"{folder}/out", lambda df: df, f"{folder}/state").awaitTermination()
     return spark.read.parquet(f"{folder}/out").select(F.col("id").alias("doc_id"), F.col("batch").cast("bigint").alias("batch"), "action", F.md5(F.coalesce("text", F.lit(""))).alias("md5"))

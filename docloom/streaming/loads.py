@@ -31,61 +31,59 @@ def windowed_counts(events: DataFrame, time: str = "ts", by: Sequence[str] = ("e
 _TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def changes(stream: DataFrame, key: str = "id", compare: Sequence[str] | None = None, order_by: str | None = None, action: str = "action") -> DataFrame:
-    """The rows of a stream that are new, changed or deleted, with their code in ``action``; what came before unchanged is left out.
+def changes(rows: DataFrame, before: DataFrame, order_by: str | None = None, action: str = "action", whole: Sequence[str] = ()) -> DataFrame:
+    """The last row of each key of a batch beside what was known of the key; ``__code`` is null where nothing changes.
 
-    State per key is the hash of the row last seen, in Spark's state store: no earlier output is read, and a batch that runs
-    again gets the state from before it. ``compare`` names the columns that tell a change (all but ``action`` if none are
-    named); a row whose own ``action`` is D deletes its key, and does nothing if the key is unknown. Of several rows of a
-    key in one batch the last by ``order_by`` (then by its content) counts. Rows without a key are known by their content.
+    ``rows`` have a key and their content's hash in ``__key`` and ``__content``, as has ``before`` in ``__key`` and ``__known``,
+    whose other keys are kept. A row whose own ``action`` is D deletes its key, and does nothing if the key is unknown. Of
+    several rows of a key the last by ``order_by`` counts, then by its content, deletion and the columns of ``whole``.
     """
-    import pandas as pd
-
-    columns = [c for c in stream.columns if c != action]
-    content = F.md5(F.to_json(F.struct(*(compare or columns)), _TIMES | {"ignoreNullFields": "false"}))
-    gone = F.coalesce(F.col(action) == "D", F.lit(False)) if action in stream.columns else F.lit(False)
-    texts = bool(order_by) and dict(stream.dtypes)[order_by] == "string"
-    place = F.lit(0.0) if not order_by else F.col(order_by) if texts else F.col(order_by).cast("double")
-    blank = "" if texts else 0.0
-    packed = stream.select(F.coalesce(F.col(key).cast("string"), content).alias("key"), content.alias("content"), gone.alias("gone"), place.alias("place"), F.to_json(F.struct(*columns), _TIMES).alias("row"))
-    def decide(_, parts, state):
-        last = None
-        for part in parts:
-            for content, gone, place, row in zip(part["content"], part["gone"], part["place"], part["row"], strict=True):
-                known = place is not None and place == place
-                at = (known, place if known else blank, content)
-                if last is None or at > last[0]:
-                    last = (at, bool(gone), content, row)
-        _, gone, content, row = last
-        before = state.get[0] if state.exists else None
-        if gone:
-            code = None if before is None else "D"
-            if before is not None:
-                state.remove()
-        else:
-            code = "I" if before is None else None if before == content else "U"
-            if code:
-                state.update((content,))
-        yield pd.DataFrame({"row": [row] if code else [], "code": [code] if code else []}, dtype="object")
-
-    decided = packed.groupBy("key").applyInPandasWithState(decide, "row string, code string", "content string", "update", "NoTimeout")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.select(*columns).schema)
-    return decided.select(F.from_json("row", kinds, _TIMES).alias("row"), F.col("code").alias(action)).select("row.*", action)
+    gone = F.coalesce(F.col(action) == "D", F.lit(False)) if action in rows.columns else F.lit(False)
+    # no number comes before all numbers, as null does
+    place = [] if not order_by else [F.when(~F.isnan(order_by), F.col(order_by)) if dict(rows.dtypes)[order_by] in ("float", "double") else F.col(order_by)]
+    ties = [F.md5(F.to_json(F.struct(*whole), _TIMES))] if whole else []
+    newest = Window.partitionBy("__key").orderBy(*(F.desc(c) for c in (*place, F.col("__content"), F.col("__gone"), *ties)))
+    last = rows.withColumn("__gone", gone).withColumn("__nth", F.row_number().over(newest)).where("__nth = 1").drop("__nth")
+    code = F.expr("CASE WHEN __content IS NULL THEN NULL WHEN __gone THEN if(__known IS NULL, NULL, 'D') WHEN __known IS NULL THEN 'I' WHEN __known <> __content THEN 'U' END")
+    return last.join(before, "__key", "full_outer").withColumn("__code", code)
+
+
+def _known(spark: SparkSession, path: str, number: int) -> DataFrame:
+    """The keys that the batch before this one left, with their content's hash."""
+    kind = "__key string, __known string, batch bigint"
+    if number == 0:
+        return spark.createDataFrame([], kind).drop("batch")
+    table = spark.read.schema(kind).parquet(f"{path}/{(number - 1) % 2}")
+    if not table.where(F.col("batch") != number - 1).isEmpty():
+        raise ValueError(f"{path} does not have what batch {number - 1} left")
+    return table.drop("batch")
 
 
 def incremental(stream: DataFrame, path: str, step: Callable[[DataFrame], DataFrame], checkpoint: str, key: str = "id", compare: Sequence[str] | None = None, order_by: str | None = None) -> StreamingQuery:
     """Write what each micro-batch inserts, changes or deletes to its own folder, so a batch that runs again replaces itself.
 
-    ``step`` processes inserted and changed rows; deleted ones are written as they came, with D. See :func:`changes`.
+    ``step`` processes inserted and changed rows; deleted ones are written as they came, with D; what came before unchanged
+    is left out. ``compare`` names the columns that tell a change (all but ``action`` if none are named). Rows without a key
+    are known by their content. See :func:`changes`.
+
+    The hash of the row last seen of each key is in a table in the checkpoint's folder, by turns at one of two places: no
+    earlier output is read, and a batch that runs again, which only the last one does, finds what the one before it left. A
+    batch is read once for its rows and once for their hashes, so ``stream`` must give the same rows both times.
     """
+    columns = [c for c in stream.columns if c != "action"]
+    content = F.md5(F.to_json(F.struct(*(compare or columns)), _TIMES | {"ignoreNullFields": "false"}))
+    rows = stream.withColumns({"__key": F.coalesce(F.col(key).cast("string"), content), "__content": content})
 
     def write(batch: DataFrame, number: int) -> None:
+        made = changes(batch, _known(batch.sparkSession, f"{checkpoint}/known", number), order_by, whole=columns if compare else ())
+        found = made.where("__code IS NOT NULL").select(*columns, F.col("__code").alias("action"))
         kept = F.col("action") != "D"
-        made = step(batch.where(kept)).unionByName(batch.where(~kept), allowMissingColumns=True)
-        made.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        done = step(found.where(kept)).unionByName(found.where(~kept), allowMissingColumns=True)
+        done.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        known = made.where("__gone IS NULL OR NOT __gone").select("__key", F.coalesce("__content", "__known").alias("__known"), F.lit(number).cast("bigint").alias("batch"))
+        known.write.mode("overwrite").parquet(f"{checkpoint}/known/{number % 2}")
 
-    found = changes(stream, key, compare, order_by)
-    return found.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def current(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
